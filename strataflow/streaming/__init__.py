@@ -1,0 +1 @@
+"""Left empty on purpose: every computation in this library is a batch plan."""

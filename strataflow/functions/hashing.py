@@ -71,11 +71,11 @@ def schema_hash(columns: DataFrame, by: Sequence[str] = (), out: str = "schema_h
 
 
 def content_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """S8 at table grain: row count and an order-insensitive digest, in one aggregate.
+    """S8 at table grain: row count and a digest that ignores the order of rows and columns, in one aggregate.
 
     The sum is kept next to the xor so that a pair of equal rows does not cancel out.
     """
-    names = [c for c in df.columns if c not in by]
+    names = sorted(c for c in df.columns if c not in by)
     row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(HASH_NULL)) for c in names])
     return (
         df.select(*by, row.alias("_row"))
@@ -91,6 +91,7 @@ def content_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.md5(
                 F.concat_ws(
                     "|",
+                    F.lit(",".join(names)),
                     F.col("row_count").cast("string"),
                     F.coalesce(F.col("_xor").cast("string"), F.lit("-")),
                     F.coalesce(F.col("_sum").cast("string"), F.lit("-")),

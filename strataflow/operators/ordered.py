@@ -18,6 +18,9 @@ from strataflow.session import cut_lineage
 # Rows of one key that a single task may hold in a window.
 HOT_LIMIT = 5_000_000
 
+# Rows that are numbered by one task; more are spread over range slices first.
+ONE_TASK_ROWS = 200_000
+
 SLICE = "_slice"
 
 
@@ -74,19 +77,22 @@ def _number_slices(sliced: DataFrame, keys: Sequence[str], order_by: Sequence[Co
     return local.join(before, on, "left").select(*kept, number.alias(out))
 
 
-def dense_number(df: DataFrame, order_by: Sequence[Column], out: str, start: int = 1) -> DataFrame:
-    """Consecutive integers in global order without passing all rows through one task.
+def dense_number(
+    df: DataFrame, order_by: Sequence[Column], out: str, start: int = 1, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Consecutive integers in global order; only a counted, small set passes through one task.
 
     ``order_by`` must be a total order.
     """
+    if df.count() <= one_task_rows:
+        alone = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order_by))
+        return df.withColumn(out, (alone + (start - 1)).cast("long"))
     sliced = range_slices(df, order_by)
     sizes = sliced.groupBy(SLICE).count().orderBy(SLICE).collect()  # one row per slice
     offsets, total = [], start - 1
     for row in sizes:
         offsets.append((row[SLICE], total))
         total += row["count"]
-    if not offsets:
-        return df.withColumn(out, F.lit(None).cast("long"))
     table = F.broadcast(df.sparkSession.createDataFrame(offsets, "_s int, _offset long"))
     local = F.row_number().over(W.partitionBy(SLICE).orderBy(*order_by))
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,8 +131,10 @@ def position_table(spark: SparkSession, taxonomy: list[tuple[str, str, str]] = P
     return spark.createDataFrame(rows, "_key string, _canonical string, _category string")
 
 
-def _registry_names(spark: SparkSession) -> list[tuple[str, str]]:
+@lru_cache(maxsize=1)
+def _registry_names() -> tuple[tuple[str, str], ...]:
     """Every ISO 3166-1 code of the JDK with its alpha-3 code and English name."""
+    spark = SparkSession.active()
     locale = spark.sparkContext._jvm.java.util.Locale
     english = locale.ENGLISH
     names = []
@@ -140,7 +144,7 @@ def _registry_names(spark: SparkSession) -> list[tuple[str, str]]:
         spelled = {name, name.replace("&", "and"), name.replace("St.", "Saint")}
         spelled.add(name.replace("&", "and").replace("St.", "Saint"))
         names += [(code, code), (place.getISO3Country(), code), *((n, code) for n in sorted(spelled))]
-    return names
+    return tuple(names)
 
 
 def country_table(
@@ -150,7 +154,7 @@ def country_table(
 ) -> DataFrame:
     """(match key, alpha-2): overrides first, then ISO short names, then the JDK's registry."""
     first = {}
-    for name, code in [*overrides, *extra_names, *_registry_names(spark)]:
+    for name, code in [*overrides, *extra_names, *_registry_names()]:
         first.setdefault(name.strip().lower(), code.upper())
     return spark.createDataFrame(list(first.items()), "_key string, _alpha2 string")
 

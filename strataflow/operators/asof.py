@@ -41,7 +41,7 @@ def asof_join(
     slim = usable.select(
         *[F.col(k).alias(f"_v_{k}") for k in keys],
         F.col(valid_from).alias("_from"),
-        (F.col(valid_to) if valid_to else F.lit(None)).alias("_to"),
+        (F.col(valid_to) if valid_to else F.lit(None).cast(versions.schema[valid_from].dataType)).alias("_to"),
         F.col(tie_break).alias("_tie"),
         F.struct(*[F.col(c).alias(name) for c, name in take.items()]).alias("_take"),
     )

@@ -78,13 +78,18 @@ def _number_slices(sliced: DataFrame, keys: Sequence[str], order_by: Sequence[Co
 
 
 def dense_number(
-    df: DataFrame, order_by: Sequence[Column], out: str, start: int = 1, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame,
+    order_by: Sequence[Column],
+    out: str,
+    start: int = 1,
+    rows: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Consecutive integers in global order; only a counted, small set passes through one task.
 
-    ``order_by`` must be a total order.
+    ``order_by`` must be a total order; ``rows`` is the row count where the caller knows it.
     """
-    if df.count() <= one_task_rows:
+    if (df.count() if rows is None else rows) <= one_task_rows:
         alone = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order_by))
         return df.withColumn(out, (alone + (start - 1)).cast("long"))
     sliced = range_slices(df, order_by)

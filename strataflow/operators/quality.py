@@ -1,8 +1,8 @@
 """Data-quality rules compiled to columns.
 
 A violation of a key rule (unique, foreign key) is first found on the key columns alone, combined
-map-side. The rows themselves only meet the violating keys, which are few in any usable table, through
-a broadcast whose size has been measured; where there are too many, the join shuffles instead.
+map-side, and written down. The rows themselves only meet the violating keys, which are few in any usable
+table: Spark sees the size of what was written and broadcasts it, or shuffles where there are too many.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from strataflow.functions.scalars import safe_ratio
 from strataflow.operators.ordered import same_keys
-from strataflow.session import broadcast_if_small
+from strataflow.session import cut_lineage
 
 CRITICAL, WARNING = "critical", "warning"
 REASON = "_dq_failure_reason"
@@ -142,7 +142,7 @@ def orphan_keys(df: DataFrame, column: str, target: DataFrame, target_column: st
 
 def _mark(df: DataFrame, keys: Sequence[str], bad: DataFrame, flag: str) -> DataFrame:
     renamed = bad.select(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
-    listed = broadcast_if_small(renamed).withColumn("_bad", F.lit(True))
+    listed = cut_lineage(renamed).withColumn("_bad", F.lit(True))
     joined = df.join(listed, same_keys(keys, [f"_b{i}" for i in range(len(keys))]), "left")
     return joined.select(*df.columns, F.coalesce("_bad", F.lit(False)).alias(flag))
 

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.operators.ordered import same_keys
+
 BATCH_COLUMN = "batch_id"
 
 
@@ -102,8 +104,22 @@ def group_agg(df: DataFrame, by: Sequence[str], aggs: Mapping[str, tuple[str, st
     """A1: named aggregates ``{out: (column, function)}``; the NULL group is kept.
 
     ``first``/``last`` take ``column@order`` and pick by that order, skipping NULL values.
+
+    Exact distinct counts are computed apart from the rest: together they would carry the state of every
+    other aggregate through a shuffle of all distinct values.
     """
-    return df.groupBy(*by).agg(*[_aggregate(column, fn).alias(out) for out, (column, fn) in aggs.items()])
+    def part(items) -> DataFrame:
+        return df.groupBy(*by).agg(*[_aggregate(column, fn).alias(out) for out, (column, fn) in items])
+
+    distinct = [(out, spec) for out, spec in aggs.items() if spec[1] == "count_distinct"]
+    others = [(out, spec) for out, spec in aggs.items() if spec[1] != "count_distinct"]
+    if not distinct or not others:
+        return part(aggs.items())
+    joined = part(others)
+    for item in distinct:
+        keyed = part([item]).withColumnsRenamed({k: f"_k_{k}" for k in by})
+        joined = joined.join(keyed, same_keys(by, [f"_k_{k}" for k in by]))
+    return joined.select(*by, *aggs)
 
 
 def _aggregate(column: str, fn: str) -> Column:

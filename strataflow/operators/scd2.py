@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.functions.hashing import row_hash
 from strataflow.operators.ordered import dense_number, same_keys
-from strataflow.session import broadcast_if_small, cut_lineage
+from strataflow.session import cut_lineage
 
 # The open ends of a version's validity.
 FAR_FUTURE = dt.date(9999, 12, 31)
@@ -39,23 +39,22 @@ def _check(incoming: DataFrame, natural_key: Sequence[str], tracked: Sequence[st
             raise ValueError(f"incoming rows lack the {what} {missing}")
 
 
-def _reject_duplicates(incoming: DataFrame, natural_key: Sequence[str]) -> None:
-    repeated = incoming.groupBy(*natural_key).count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"incoming rows repeat the natural key {repeated[0].asDict()}")
-
-
 def classify(
     existing: DataFrame, incoming: DataFrame, natural_key: Sequence[str], tracked: Sequence[str]
 ) -> DataFrame:
-    """Status of every natural key: one full outer join of key and hash, nothing wider is shuffled."""
+    """Status of every natural key: one full outer join of key and hash, nothing wider is shuffled.
+
+    ``arrivals`` is how often the key came in, 0 for absent keys.
+    """
     held = existing.where("is_current").select(
         *[F.col(k).alias(f"_h_{k}") for k in natural_key],
         row_hash(existing, tracked).alias("_h_hash"),
         F.lit(True).alias("_held"),
     )
-    came = incoming.select(
-        *natural_key, row_hash(incoming, tracked).alias("_hash"), F.lit(True).alias("_came")
+    came = (
+        incoming.select(*natural_key, row_hash(incoming, tracked).alias("_hash"))
+        .groupBy(*natural_key)
+        .agg(F.count("*").alias("_came"), F.max("_hash").alias("_hash"))
     )
     joined = came.join(held, same_keys(natural_key, [f"_h_{k}" for k in natural_key]), "full_outer")
     status = (
@@ -64,16 +63,16 @@ def classify(
         .when(F.col("_hash") == F.col("_h_hash"), UNCHANGED)
         .otherwise(CHANGED)
     )
-    keys = [F.when(F.col("_came"), F.col(k)).otherwise(F.col(f"_h_{k}")).alias(k) for k in natural_key]
-    return joined.select(*keys, status.alias("status"))
+    keys = [F.when(F.col("_came").isNotNull(), F.col(k)).otherwise(F.col(f"_h_{k}")).alias(k) for k in natural_key]
+    return joined.select(*keys, status.alias("status"), F.coalesce("_came", F.lit(0)).alias("arrivals"))
 
 
 def initial_load(
-    incoming: DataFrame, natural_key: Sequence[str], surrogate_key: str, effective: dt.date
+    incoming: DataFrame, natural_key: Sequence[str], surrogate_key: str, effective: dt.date, rows: int | None = None
 ) -> DataFrame:
     """D-5: every row is a first version, numbered from 1 in natural-key order."""
     order = [F.col(k).asc_nulls_last() for k in natural_key]
-    return _opened(dense_number(incoming, order, surrogate_key), effective)
+    return _opened(dense_number(incoming, order, surrogate_key, rows=rows), effective)
 
 
 def _opened(rows: DataFrame, effective: dt.date) -> DataFrame:
@@ -94,94 +93,77 @@ def scd2_merge(
     surrogate_key: str,
     batch_date: dt.date,
     first_version_effective: dt.date | None = None,
-    check_duplicates: bool = True,
+    enrich: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> MergeResult:
     """D-4: open versions for new and changed keys, close what changed, keep everything else.
 
     Attributes outside ``tracked`` do not open a version and are not applied to an unchanged row. Keys
     absent from ``incoming`` stay current. ``first_version_effective`` dates the first version of keys
-    that appear later; by default it is the batch date.
+    that appear later; by default it is the batch date. A key that comes in twice is an error.
+    ``enrich`` adds columns derived from a row; it is applied to the rows that open versions only.
     """
     _check(incoming, natural_key, tracked)
-    if check_duplicates:
-        _reject_duplicates(incoming, natural_key)
-    if existing is None or existing.isEmpty():
-        loaded = initial_load(incoming, natural_key, surrogate_key, batch_date)
-        return MergeResult(loaded, _initial_stats(incoming))
-
-    # Key and status only; both the counts and the keys to number are read from it.
+    if existing is None:
+        sizes = incoming.groupBy(*natural_key).count().agg(F.sum("count").alias("rows"), F.max("count").alias("most"))
+        size = sizes.first()
+        _reject_repeats(size["most"])
+        loaded = initial_load(enrich(incoming), natural_key, surrogate_key, batch_date, size["rows"] or 0)
+        return MergeResult(loaded, _stats(incoming.sparkSession, {NEW: size["rows"] or 0}, 0))
+
+    # Key and status only; the counts and the keys to number are both read from it.
     statuses = cut_lineage(classify(existing, incoming, natural_key, tracked))
-    delta = statuses.where(F.col("status").isin(CHANGED, NEW))
-    highest = existing.agg(F.max(surrogate_key).alias("sk")).first()["sk"] or 0
+    counted = statuses.groupBy("status").agg(F.count("*").alias("keys"), F.max("arrivals").alias("most")).collect()
+    _reject_repeats(max((r["most"] for r in counted), default=0))
+    counts = {r["status"]: r["keys"] for r in counted}
+    held = existing.agg(F.max(surrogate_key).alias("sk"), F.count_if(~F.col("is_current")).alias("history")).first()
+
     order = [F.when(F.col("status") == CHANGED, 0).otherwise(1).asc()]
     order += [F.col(k).asc_nulls_last() for k in natural_key]
-    numbered = dense_number(delta, order, "_sk", start=highest + 1).select(
-        *[F.col(k).alias(f"_d_{k}") for k in natural_key], F.col("status").alias("_status"), "_sk"
+    delta = statuses.where(F.col("status").isin(CHANGED, NEW))
+    size = counts.get(CHANGED, 0) + counts.get(NEW, 0)
+    # Written on its own, a daily delta is seen to be small, and then no wide row is shuffled below.
+    numbered = cut_lineage(
+        dense_number(delta, order, "_sk", start=(held["sk"] or 0) + 1, rows=size).select(
+            *[F.col(k).alias(f"_d_{k}") for k in natural_key], F.col("status").alias("_status"), "_sk"
+        )
     )
-    # A daily delta is normally small enough to broadcast, and then no wide row is shuffled.
-    numbered = broadcast_if_small(numbered)
     on = same_keys(natural_key, [f"_d_{k}" for k in natural_key])
-
     changed = numbered.where(F.col("_status") == CHANGED).withColumn("_changed", F.lit(True))
     closing = F.col("is_current") & F.coalesce(F.col("_changed"), F.lit(False))
-    held = existing.join(changed, on, "left").select(
-        *[
-            F.when(closing, F.lit(batch_date)).otherwise(F.col("end_date")).alias(c)
-            if c == "end_date"
-            else F.when(closing, F.lit(False)).otherwise(F.col("is_current")).alias(c)
-            if c == "is_current"
-            else F.col(c)
-            for c in existing.columns
-        ]
+    closed = {
+        "end_date": F.when(closing, F.lit(batch_date)).otherwise(F.col("end_date")),
+        "is_current": F.col("is_current") & ~closing,
+    }
+    kept = existing.join(changed, on, "left").select(
+        *[closed[c].alias(c) if c in closed else F.col(c) for c in existing.columns]
     )
     started = F.lit(batch_date)
     if first_version_effective is not None:
         started = F.when(F.col("_status") == NEW, F.lit(first_version_effective)).otherwise(started)
-    opened = incoming.join(numbered, on, "inner").select(
+    arrived = incoming.join(numbered, on, "inner").select(
         *incoming.columns,
         F.col("_sk").alias(surrogate_key),
         started.alias("effective_date"),
         F.lit(FAR_FUTURE).alias("end_date"),
         F.lit(True).alias("is_current"),
     )
-    merged = held.unionByName(opened, allowMissingColumns=True)
-    return MergeResult(merged, _merge_stats(existing, statuses))
-
-
-def _initial_stats(incoming: DataFrame) -> DataFrame:
-    none = F.lit(0).cast("long")
-    return incoming.agg(F.count("*").alias("new_versions")).select(
-        "new_versions",
-        none.alias("changed_versions"),
-        none.alias("unchanged_versions"),
-        none.alias("historical_preserved"),
-        none.alias("absent_kept"),
-        F.col("new_versions").alias("total_output_rows"),
-    )
+    opened = enrich(arrived)
+    merged = kept.unionByName(opened, allowMissingColumns=True)
+    return MergeResult(merged, _stats(existing.sparkSession, counts, held["history"]))
 
 
-def _merge_stats(existing: DataFrame, statuses: DataFrame) -> DataFrame:
+def _reject_repeats(most: int | None) -> None:
+    if (most or 0) > 1:
+        raise ValueError(f"a natural key comes in {most} times")
+
+
+def _stats(spark: SparkSession, counts: dict[str, int], history: int) -> DataFrame:
     """D-6: one row of counts."""
-    history = existing.where(~F.col("is_current")).select(F.lit("HISTORICAL").alias("status"))
-    by_status = statuses.select("status").unionByName(history)
-    counts = by_status.agg(
-        *[
-            F.count_if(F.col("status") == name).alias(out)
-            for name, out in (
-                (NEW, "new_versions"),
-                (CHANGED, "changed_versions"),
-                (UNCHANGED, "unchanged_versions"),
-                ("HISTORICAL", "historical_preserved"),
-                (ABSENT, "absent_kept"),
-            )
-        ]
-    )
+    new, changed, unchanged, absent = (counts.get(s, 0) for s in (NEW, CHANGED, UNCHANGED, ABSENT))
     # A changed key gives two rows: the version closed and the version opened.
-    total = (
-        F.col("new_versions")
-        + 2 * F.col("changed_versions")
-        + F.col("unchanged_versions")
-        + F.col("historical_preserved")
-        + F.col("absent_kept")
+    total = new + 2 * changed + unchanged + absent + history
+    return spark.createDataFrame(
+        [(new, changed, unchanged, history, absent, total)],
+        "new_versions long, changed_versions long, unchanged_versions long, historical_preserved long,"
+        " absent_kept long, total_output_rows long",
     )
-    return counts.withColumn("total_output_rows", total)

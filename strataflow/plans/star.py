@@ -68,16 +68,12 @@ def build_dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFra
     return span.select(*[expr.alias(name) for name, expr in calendar_columns(F.col("_day")).items()])
 
 
-def prepare_players(players: DataFrame, source: Source = PLAYERS, salt: str | None = None) -> DataFrame:
-    """The snapshot as it enters the dimension: labels normalised, personal data masked, batch dropped.
-
-    Masking comes before change detection, so tokens are what is compared.
-    """
-    rows = drop_batch(players)
-    rows = normalise_position(rows, "position")
+def _with_labels(players: DataFrame) -> DataFrame:
+    """Position and country labels in canonical form."""
+    rows = normalise_position(players, "position")
     if "country_of_citizenship" in rows.columns:
         rows = normalise_country(rows, "country_of_citizenship", "country_of_citizenship_iso")
-    return tokenize_columns(rows, source.pii_columns, salt) if salt is not None else rows
+    return rows
 
 
 def build_dim_players(
@@ -91,10 +87,13 @@ def build_dim_players(
     """D-7: the players dimension after this batch.
 
     On the first load versions start in the far past, so that events before the first batch resolve.
+    Personal data is masked before changes are detected, so tokens are what is compared.
     """
     if not source.tracked_columns:
         raise ValueError(f"source {source.name} tracks no columns")
-    incoming = prepare_players(players, source, salt)
+    incoming = drop_batch(players)
+    if salt is not None:
+        incoming = tokenize_columns(incoming, source.pii_columns, salt)
     effective = FAR_PAST if existing is None else batch_date
     return scd2_merge(
         drop_batch(existing) if existing is not None else None,
@@ -104,6 +103,7 @@ def build_dim_players(
         PLAYER_KEY,
         effective,
         first_version_effective,
+        enrich=_with_labels,
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.plans import star
-from strataflow.session import tune
+from strataflow.session import cut_lineage, tune
 from strataflow.sources.catalogue import Source
 
 BATCH_DATE = dt.date(1998, 1, 1)
@@ -55,7 +55,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 # --- Players: two daily snapshots of the customers ---
@@ -124,9 +126,9 @@ countries(raw_key, alpha2) AS (VALUES
 
 
 def dim_players(t: Tables) -> DataFrame:
-    """The dimension after both days."""
-    first = star.build_dim_players(players_day1(t), None, BATCH_DATE, PLAYERS_SOURCE).dimension
-    return star.build_dim_players(players_day2(t), first, BATCH_DATE, PLAYERS_SOURCE).dimension
+    """The dimension after both days; each day writes it and the next step reads what was written."""
+    first = cut_lineage(star.build_dim_players(players_day1(t), None, BATCH_DATE, PLAYERS_SOURCE).dimension)
+    return cut_lineage(star.build_dim_players(players_day2(t), first, BATCH_DATE, PLAYERS_SOURCE).dimension)
 
 
 DIM_PLAYERS_SQL = f"""{PLAYERS_SQL}, {POSITION_SQL},

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings every plan in the library counts on.
 RUNTIME_SETTINGS = {
@@ -18,10 +17,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Largest side, in bytes, that is ever shipped whole to the executors.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def build_session(app_name: str = "strataflow", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the library's settings; cluster settings come from the environment."""
     builder = SparkSession.builder.appName(app_name)
@@ -68,25 +63,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later passes read the same rows.
-
-    The files outlive executors, so a lost one costs a re-read and never a different answer.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = shared_dir(spark)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Materialise a narrow table, measure it, and hint a broadcast only below ``max_bytes``.
+    """Write ``df`` once as a table in the shared folder and go on from there.
 
-    Above the bound the table is returned without a hint and the join shuffles.
+    Later passes read the same rows, only the columns they need, and know the table's real size, so Spark
+    itself decides what is small enough to broadcast. A lost executor costs a re-read, never other rows.
     """
-    stored = cut_lineage(df)
-    # 16 bytes a row for the row header and pointers, then the text width of each value.
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(1)) + 8 for c in stored.columns), F.lit(16))
-    size = stored.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
-    return F.broadcast(stored) if size <= max_bytes else stored
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,8 +26,9 @@ def day_of(df: DataFrame, name: str) -> Column:
 
 def season(day: Column) -> Column:
     """label ``YYYY-YY`` of the season that starts in August; ``day`` is a date."""
-    start = F.year(day) - F.when(F.month(day) < 8, 1).otherwise(0)
-    return F.when(day.isNotNull(), F.format_string("%d-%02d", start, (start + 1) % 100))
+    # Seven months back, every day of a season lies in the year the season starts in.
+    start = F.year(F.add_months(day, -7))
+    return F.concat(start.cast("string"), F.lit("-"), F.lpad(((start + 1) % 100).cast("string"), 2, "0"))
 
 
 def date_key(day: Column) -> Column:
@@ -54,11 +55,10 @@ def calendar_columns(day: Column) -> dict[str, Column]:
 
 def match_outcome(home: Column, away: Column) -> Column:
     """which side won; a missing score gives ``unknown``, fractions are cut off."""
-    h, a = home.cast("double"), away.cast("double")
-    missing = h.isNull() | a.isNull() | F.isnan(h) | F.isnan(a)
-    h, a = F.when(h < 0, F.ceil(h)).otherwise(F.floor(h)), F.when(a < 0, F.ceil(a)).otherwise(F.floor(a))
+    # The cast cuts fractions off and makes NULL of what is no number.
+    h, a = home.try_cast("long"), away.try_cast("long")
     return (
-        F.when(missing, "unknown")
+        F.when(h.isNull() | a.isNull(), "unknown")
         .when(h > a, "home_win")
         .when(a > h, "away_win")
         .otherwise("draw")

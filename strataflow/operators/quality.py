@@ -194,54 +194,52 @@ def failing_rows(annotated: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return annotated.where(F.col(REASON) != "").drop(*[flag_name(r, rules) for r in rules])
 
 
-def outcomes(annotated: DataFrame, rules: Sequence[Rule], source: str) -> DataFrame:
-    """Q9: a row per rule with its counts and pass rate, from a single aggregate over the table.
+def count_failures(annotated: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row with the rows of a table, the quarantined ones, and the failures of each rule."""
+    flags = [flag_name(r, rules) for r in rules]
+    return annotated.agg(
+        F.count("*").alias("rows_in"),
+        F.count_if(F.col(REASON) != "").alias("rows_quarantined"),
+        *[F.count_if(F.col(flag)).alias(flag) for flag in flags],
+    )
+
+
+def outcomes(counted: DataFrame, rules: Sequence[Rule], source: str) -> DataFrame:
+    """Q9: a row per rule with its counts and pass rate.
 
     A table without rules or without rows has no outcomes.
     """
-    if not rules:
-        return annotated.sparkSession.createDataFrame(
-            [],
-            "source_name string, rule_id string, severity string, rows_evaluated long, rows_failed long,"
-            " pass_rate double",
+    per_rule = [
+        F.struct(
+            F.lit(r.rule_id).alias("rule_id"),
+            F.lit(r.severity).alias("severity"),
+            F.col(flag_name(r, rules)).alias("rows_failed"),
         )
-    counted = annotated.agg(
-        F.count("*").alias("rows_evaluated"),
-        *[F.count_if(F.col(flag_name(r, rules))).alias(flag_name(r, rules)) for r in rules],
-    )
-    per_rule = F.array(
-        *[
-            F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit(r.severity).alias("severity"),
-                F.col(flag_name(r, rules)).alias("rows_failed"),
-            )
-            for r in rules
-        ]
-    )
-    passed = F.col("rows_evaluated") - F.col("r.rows_failed")
+        for r in rules
+    ]
+    none = F.array().cast("array<struct<rule_id:string,severity:string,rows_failed:bigint>>")
+    passed = F.col("rows_in") - F.col("rows_failed")
     return (
-        counted.where("rows_evaluated > 0")
-        .select("rows_evaluated", F.explode(per_rule).alias("r"))
+        counted.where("rows_in > 0")
+        .select("rows_in", F.inline(F.array(*per_rule) if per_rule else none))
         .select(
             F.lit(source).alias("source_name"),
-            "r.rule_id",
-            "r.severity",
-            "rows_evaluated",
-            "r.rows_failed",
-            F.round(safe_ratio(passed, F.col("rows_evaluated")), 6).alias("pass_rate"),
+            "rule_id",
+            "severity",
+            F.col("rows_in").alias("rows_evaluated"),
+            "rows_failed",
+            F.round(safe_ratio(passed, F.col("rows_in")), 6).alias("pass_rate"),
         )
     )
 
 
-def source_totals(annotated: DataFrame, source: str) -> DataFrame:
+def source_totals(counted: DataFrame, source: str) -> DataFrame:
     """Rows in, clean and quarantined of one table."""
-    quarantined = F.count_if(F.col(REASON) != "")
-    return annotated.agg(
+    return counted.select(
         F.lit(source).alias("source_name"),
-        F.count("*").alias("rows_in"),
-        (F.count("*") - quarantined).alias("rows_clean"),
-        quarantined.alias("rows_quarantined"),
+        "rows_in",
+        (F.col("rows_in") - F.col("rows_quarantined")).alias("rows_clean"),
+        "rows_quarantined",
     )
 
 

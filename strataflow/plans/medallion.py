@@ -266,11 +266,12 @@ def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[st
             continue
         own = rules_for(source.name, rules)
         annotated = cut_lineage(quality.annotate(rows.drop("batch_id"), own, targets))
-        total = quality.source_totals(annotated, source.name)
-        totals.append(total)
-        outcomes.append(quality.outcomes(annotated, own, source.name))
-        rejected[source.name] = total.first()["rows_quarantined"]
-        snapshots.write_rejected(quality.failing_rows(annotated, own), lake.root, source.name, batch_id)
+        counted = cut_lineage(quality.count_failures(annotated, own))
+        totals.append(quality.source_totals(counted, source.name))
+        outcomes.append(quality.outcomes(counted, own, source.name))
+        rejected[source.name] = counted.first()["rows_quarantined"]
+        if rejected[source.name]:
+            snapshots.write_rejected(quality.failing_rows(annotated, own), lake.root, source.name, batch_id)
         clean[source.name] = quality.clean_rows(annotated, own)
     if totals:
         report = quality_report.batch_report(union_by_name(totals), union_by_name(outcomes), batch_id)

@@ -175,12 +175,12 @@ def dq_quarantine(t: Tables) -> DataFrame:
 
 
 def _results(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Totals and outcomes of both tables."""
+    """Totals and outcomes of both tables; each table is counted in one pass."""
     totals, found = [], []
     for name, rows, rules in (("lineitem", _lines(t), LINE_RULES), ("orders", _orders(t), ORDER_RULES)):
-        annotated = cut_lineage(quality.annotate(rows, rules, _references(t)))
-        totals.append(quality.source_totals(annotated, name))
-        found.append(quality.outcomes(annotated, rules, name))
+        counted = cut_lineage(quality.count_failures(quality.annotate(rows, rules, _references(t)), rules))
+        totals.append(quality.source_totals(counted, name))
+        found.append(quality.outcomes(counted, rules, name))
     return union_by_name(totals), union_by_name(found)
 
 

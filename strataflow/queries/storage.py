@@ -161,7 +161,9 @@ def dq_report_sink(t: Tables) -> DataFrame:
     rules = [quality.NotNull("orders", quality.CRITICAL, ("o_priority",))]
     rows = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("o_priority"))
     annotated = quality.annotate(rows, rules)
-    report = quality_report.batch_report(quality.source_totals(annotated, "orders"), quality.outcomes(annotated, rules, "orders"), "b1")
+    counted = quality.count_failures(annotated, rules)
+    totals, found = quality.source_totals(counted, "orders"), quality.outcomes(counted, rules, "orders")
+    report = quality_report.batch_report(totals, found, "b1")
     quality_report.write_report(report, root, "b1")
     stored = quality_report.read_report(t.spark, root, "b1")
     return (

@@ -8,21 +8,21 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.hashing import schema_hash, tokenize_columns
+from strataflow.functions.hashing import content_fingerprint, schema_hash, tokenize_columns
 from strataflow.operators import quality
 from strataflow.operators.relational import union_by_name
 from strataflow.plans import gold, lineage, quality_report, star
-from strataflow.session import cut_lineage
+from strataflow.session import cut_lineage, together
 from strataflow.sources import snapshots
 from strataflow.sources.catalogue import ALL_SOURCES, QUALITY_RULES, Source, by_name, foreign_key_targets, rules_for
-from strataflow.sources.readers import load_source, read_parquet
+from strataflow.sources.readers import read_raw
 
 CALENDAR = (dt.date(2018, 1, 1), dt.date(2030, 12, 31))
 
@@ -85,15 +85,29 @@ def _event(batch_id: str, source: Source, path: str, kind: str, at: dt.datetime,
     }
 
 
-def _schema_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "name string, type string")
-
-
 class ConflictError(RuntimeError):
     """A file changed within a batch."""
 
 
+def _fingerprints(loads: dict[str, DataFrame]) -> DataFrame:
+    """Row count and content fingerprint of every table, computed in one job."""
+    return union_by_name([content_fingerprint(rows).withColumn("source_name", F.lit(name)) for name, rows in loads.items()])
+
+
+def _schema_hashes(spark: SparkSession, loads: dict[str, DataFrame]) -> dict[str, str]:
+    columns = [(name, f.name, f.dataType.simpleString()) for name, rows in loads.items() for f in rows.schema.fields]
+    table = spark.createDataFrame(columns, "source_name string, name string, type string")
+    return {r["source_name"]: r["schema_hash"] for r in schema_hash(table, ["source_name"]).collect()}
+
+
+def _row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of stored tables, in one job that reads file footers only."""
+    if not tables:
+        return {}
+    counts = union_by_name([t.agg(F.count("*").alias("n")).withColumn("name", F.lit(name)) for name, t in tables.items()])
+    return {r["name"]: r["n"] for r in counts.collect()}
+
+
 def land_batch(
     spark: SparkSession,
     lake: Lake,
@@ -110,49 +124,62 @@ def land_batch(
     if ledger.succeeded(batch_id, "bronze"):
         return {}
     ledger.add_run(batch_id=batch_id, layer="bronze", status="running", occurred_at=at)
+    declared = by_name(sources)
+    loads, failures = together(spark, {n: lambda s=s: read_raw(spark, s, raw_root) for n, s in declared.items()})
+    identities, more = together(spark, {n: lambda n=n, rows=rows: _fingerprints({n: rows}).first() for n, rows in loads.items()})
+    failures.update(more)
+    loads = {n: rows for n, rows in loads.items() if n in identities}
+
     known = cut_lineage(lineage.file_states(ledger.events()))
-    outcome, errors, events, landed_rows = {}, [], [], 0
-    for source in sources:
+    own = {r["source_name"]: r["fingerprint"] for r in known.where(F.col("batch_id") == batch_id).collect()}
+    for name in list(loads):
+        if own.get(name) not in (None, identities[name]["fingerprint"]):
+            failures[name] = ConflictError(f"{name} was registered in batch {batch_id} with other content")
+            del loads[name]
+
+    held: dict[str, str | None] = {}
+    if loads:
+        arriving = spark.createDataFrame(
+            [(batch_id, n, identities[n]["fingerprint"]) for n in loads], "batch_id string, source_name string, fingerprint string"
+        )
+        found = snapshots.previously_landed(known, arriving).collect()  # a row per source
+        held = {r["source_name"]: r["data_batch_id"] for r in found}
+    _, more = together(
+        spark,
+        {n: lambda n=n: snapshots.write_snapshot(loads[n], bronze, n, batch_id) for n in loads if held[n] is None},
+    )
+    failures.update(more)
+    landed = [n for n in loads if n not in failures]
+    digests = _schema_hashes(spark, loads) if loads else {}
+    counts = _row_counts({n: snapshots.read_snapshot(spark, bronze, n, held[n] or batch_id) for n in landed})
+
+    events = []
+    for name, source in declared.items():
         path = source.path(raw_root)
-        try:
-            load = load_source(spark, source, raw_root)
-            own = known.where((F.col("batch_id") == batch_id) & (F.col("source_file_path") == path)).first()
-            if own is not None and own["fingerprint"] != load.fingerprint:
-                raise ConflictError(f"{path} was registered in batch {batch_id} with other content")
-            digest = schema_hash(_schema_table(spark, load.rows)).first()["schema_hash"]
-            arriving = spark.createDataFrame(
-                [(batch_id, source.name, load.fingerprint)], "batch_id string, source_name string, fingerprint string"
-            )
-            held_in = snapshots.previously_landed(known, arriving).first()["data_batch_id"]
-            started = [
-                _event(batch_id, source, path, "registered", at, status="registered", fingerprint=load.fingerprint,
-                       schema_hash=digest),
-                _event(batch_id, source, path, "ingest_started", at, status="ingesting", row_count=load.row_count),
+        if name in loads:
+            identity = identities[name]
+            events += [
+                _event(batch_id, source, path, "registered", at, status="registered", fingerprint=identity["fingerprint"],
+                       schema_hash=digests[name]),
+                _event(batch_id, source, path, "ingest_started", at, status="ingesting", row_count=identity["row_count"]),
             ]
-            if held_in is None:
-                snapshots.write_snapshot(load.rows, bronze, source.name, batch_id)
-            landed = read_parquet(spark, snapshots.snapshot_path(bronze, source.name, held_in or batch_id)).count()
-            started.append(
-                _event(batch_id, source, path, "ingest_finished", at, status="ingested", row_count=landed,
-                       data_batch_id=held_in or batch_id)
+        if name in failures:
+            events.append(_event(batch_id, source, path, "failed", at, status="failed"))
+        else:
+            events.append(
+                _event(batch_id, source, path, "ingest_finished", at, status="ingested", row_count=counts[name],
+                       data_batch_id=held[name] or batch_id)
             )
-            events += started
-            landed_rows += 0 if held_in else landed
-            outcome[source.name] = "skipped" if held_in else "written"
-        except Exception as error:  # noqa: BLE001 - one source must not stop the others
-            outcome[source.name] = "failed"
-            errors.append(f"{source.name}: {error}")
-            events.append(_event(batch_id, source, path, "failed", at, status="failed", payload=None))
     ledger.add_events(events)
     ledger.add_run(
         batch_id=batch_id,
         layer="bronze",
-        status="failed" if errors else "success",
-        rows_out=landed_rows,
-        error="; ".join(errors) or None,
+        status="failed" if failures else "success",
+        rows_out=sum(counts[n] for n in landed if held[n] is None),
+        error="; ".join(f"{n}: {e}" for n, e in failures.items())[:4000] or None,
         occurred_at=at,
     )
-    return outcome
+    return {n: "failed" if n in failures else "skipped" if held[n] else "written" for n in declared}
 
 
 def bronze_tables(spark: SparkSession, lake: Lake, batch_id: str, sources: Iterable[Source]) -> dict[str, DataFrame | None]:
@@ -202,43 +229,58 @@ def refine_batch(
     try:
         bronze = bronze_tables(spark, lake, batch_id, sources)
         clean, rejected = _check_batch(spark, lake, batch_id, bronze, sources, rules)
-        rows, silver_rows = {}, {}
-
-        def store(name: str, table: DataFrame, source: str | None) -> DataFrame:
-            snapshots.write_snapshot(table, silver, name, batch_id)
-            stored = snapshots.read_snapshot(spark, silver, name, batch_id)
-            rows[name] = stored.count()
-            if source:
-                silver_rows[source] = rows[name]
-            return stored
-
-        store("dim_clubs", star.build_dim_clubs(clean["clubs"]), "clubs")
-        store("dim_competitions", star.build_dim_competitions(clean["competitions"]), "competitions")
-        store("dim_date", star.build_dim_date(spark, *CALENDAR), None)
+
+        def store(tables: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+            """Build and write tables side by side, and read back what was written."""
+            _, errors = together(
+                spark,
+                {n: lambda n=n, build=build: snapshots.write_snapshot(build(), silver, n, batch_id) for n, build in tables.items()},
+            )
+            if errors:
+                raise RuntimeError("; ".join(f"{n}: {e}" for n, e in errors.items()))
+            return {n: snapshots.read_snapshot(spark, silver, n, batch_id) for n in tables}
+
         before = batch_before(spark, lake, "silver", batch_id)
         existing = snapshots.read_snapshot(spark, silver, "dim_players", before) if before else None
-        merged = star.build_dim_players(clean["players"], existing, batch_date, declared["players"], salt)
-        dim_players = store("dim_players", merged.dimension, None)
-        counts = merged.stats.first()
-        # History and absent keys are no rows of this batch.
-        silver_rows["players"] = counts["new_versions"] + counts["changed_versions"] + counts["unchanged_versions"]
-        store("fact_games", star.build_fact_games(clean["games"]), "games")
+        merged = {}
+
+        def players() -> DataFrame:
+            merged["players"] = star.build_dim_players(clean["players"], existing, batch_date, declared["players"], salt)
+            return merged["players"].dimension
+
+        stored = store(
+            {
+                "dim_clubs": lambda: star.build_dim_clubs(clean["clubs"]),
+                "dim_competitions": lambda: star.build_dim_competitions(clean["competitions"]),
+                "dim_date": lambda: star.build_dim_date(spark, *CALENDAR),
+                "dim_players": players,
+                "fact_games": lambda: star.build_fact_games(clean["games"]),
+            }
+        )
         appearances = clean["appearances"]
         if salt is not None:
             appearances = tokenize_columns(appearances, declared["appearances"].pii_columns, salt)
-        store("fact_appearances", star.build_fact_appearances(appearances, dim_players), "appearances")
+        stored |= store({"fact_appearances": lambda: star.build_fact_appearances(appearances, stored["dim_players"])})
+        rows = _row_counts(stored)
+        counts = merged["players"].stats.first()
+        silver_rows = {
+            "clubs": rows["dim_clubs"],
+            "competitions": rows["dim_competitions"],
+            "games": rows["fact_games"],
+            "appearances": rows["fact_appearances"],
+            # History and absent keys are no rows of this batch.
+            "players": counts["new_versions"] + counts["changed_versions"] + counts["unchanged_versions"],
+        }
 
         events = []
-        for name in bronze:
+        for name, path in _paths(ledger, batch_id):
             source = declared[name]
-            for path in _paths(ledger, batch_id, name):
-                events.append(_event(batch_id, source, path, "dq_completed", at, row_count=rejected.get(name)))
-                if name in silver_rows:
-                    events.append(_event(batch_id, source, path, "silver_started", at, status="transforming"))
-                    events.append(
-                        _event(batch_id, source, path, "silver_finished", at, status="transformed",
-                               row_count=silver_rows[name])
-                    )
+            events.append(_event(batch_id, source, path, "dq_completed", at, row_count=rejected.get(name)))
+            if name in silver_rows:
+                events.append(_event(batch_id, source, path, "silver_started", at, status="transforming"))
+                events.append(
+                    _event(batch_id, source, path, "silver_finished", at, status="transformed", row_count=silver_rows[name])
+                )
         ledger.add_events(events)
     except Exception as error:
         ledger.add_run(batch_id=batch_id, layer="silver", status="failed", error=str(error)[:4000], occurred_at=at)
@@ -247,9 +289,10 @@ def refine_batch(
     return rows
 
 
-def _paths(ledger: Ledger, batch_id: str, source: str) -> list[str]:
-    files = lineage.files_of_batch(lineage.file_states(ledger.events()), batch_id).where(F.col("source_name") == source)
-    return [r["source_file_path"] for r in files.select("source_file_path").collect()]
+def _paths(ledger: Ledger, batch_id: str) -> list[tuple[str, str]]:
+    """(source, file) pairs of a batch; one per declared source."""
+    files = lineage.files_of_batch(lineage.file_states(ledger.events()), batch_id)
+    return [(r["source_name"], r["source_file_path"]) for r in files.select("source_name", "source_file_path").collect()]
 
 
 def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[str, DataFrame], dict[str, int]]:
@@ -259,24 +302,25 @@ def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[st
         for name, column in foreign_key_targets(rules)
         if bronze.get(name) is not None and column in bronze[name].columns
     }
-    clean, rejected, totals, outcomes = {}, {}, [], []
-    for source in sources:
-        rows = bronze.get(source.name)
-        if rows is None:
-            continue
-        own = rules_for(source.name, rules)
-        annotated = cut_lineage(quality.annotate(rows.drop("batch_id"), own, targets))
+
+    def check(name: str):
+        own = rules_for(name, rules)
+        annotated = cut_lineage(quality.annotate(bronze[name].drop("batch_id"), own, targets))
         counted = cut_lineage(quality.count_failures(annotated, own))
-        totals.append(quality.source_totals(counted, source.name))
-        outcomes.append(quality.outcomes(counted, own, source.name))
-        rejected[source.name] = counted.first()["rows_quarantined"]
-        if rejected[source.name]:
-            snapshots.write_rejected(quality.failing_rows(annotated, own), lake.root, source.name, batch_id)
-        clean[source.name] = quality.clean_rows(annotated, own)
-    if totals:
-        report = quality_report.batch_report(union_by_name(totals), union_by_name(outcomes), batch_id)
-        quality_report.write_report(report, lake.layer("dq_reports"), batch_id)
-    return clean, rejected
+        rejected = counted.first()["rows_quarantined"]
+        if rejected:
+            snapshots.write_rejected(quality.failing_rows(annotated, own), lake.root, name, batch_id)
+        return annotated, counted, rejected
+
+    done, failed = together(spark, {s.name: lambda n=s.name: check(n) for s in sources if bronze.get(s.name) is not None})
+    if failed:
+        raise RuntimeError("; ".join(f"quality of {n}: {e}" for n, e in failed.items()))
+    if done:
+        totals = union_by_name([quality.source_totals(c, n) for n, (_, c, _) in done.items()])
+        outcomes = union_by_name([quality.outcomes(c, rules_for(n, rules), n) for n, (_, c, _) in done.items()])
+        quality_report.write_report(quality_report.batch_report(totals, outcomes, batch_id), lake.layer("dq_reports"), batch_id)
+    clean = {n: quality.clean_rows(a, rules_for(n, rules)) for n, (a, _, _) in done.items()}
+    return clean, {n: rejected for n, (_, _, rejected) in done.items()}
 
 
 class GateError(RuntimeError):
@@ -307,28 +351,30 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, at: dt.datetim
     }
     valuations = bronze_tables(spark, lake, batch_id, [declared["player_valuations"]])["player_valuations"]
     tables["bronze_player_valuations"] = valuations
-    rows, errors, events = {}, [], []
-    for artifact in gold.ARTIFACTS:
-        try:
-            built = artifact.build(*[tables[i] for i in artifact.inputs])
-            snapshots.write_snapshot(built, lake.layer("gold"), artifact.name, batch_id)
-            rows[artifact.name] = snapshots.read_snapshot(spark, lake.layer("gold"), artifact.name, batch_id).count()
-            for path in _paths(ledger, batch_id, artifact.primary_source):
-                events.append(
-                    _event(batch_id, declared[artifact.primary_source], path, "gold_finished", at,
-                           row_count=rows[artifact.name], payload=f'{{"artifact": "{artifact.name}"}}')
-                )
-        except Exception as error:  # noqa: BLE001 - one table must not stop the others
-            errors.append(f"{artifact.name}: {error}")
+    root = lake.layer("gold")
+    written, errors = together(
+        spark,
+        {
+            a.name: lambda a=a: snapshots.write_snapshot(a.build(*[tables[i] for i in a.inputs]), root, a.name, batch_id)
+            for a in gold.ARTIFACTS
+        },
+    )
+    rows = _row_counts({n: snapshots.read_snapshot(spark, root, n, batch_id) for n in written})
+    events = [
+        _event(batch_id, declared[name], path, "gold_finished", at, row_count=rows[a.name], payload=f'{{"artifact": "{a.name}"}}')
+        for name, path in _paths(ledger, batch_id)
+        for a in gold.ARTIFACTS
+        if a.primary_source == name and a.name in rows
+    ]
     ledger.add_events(events)
     ledger.add_run(
         batch_id=batch_id,
         layer="gold",
         status="failed" if errors else "success",
         rows_out=sum(rows.values()),
-        error="; ".join(errors)[:4000] or None,
+        error="; ".join(f"{n}: {e}" for n, e in errors.items())[:4000] or None,
         occurred_at=at,
     )
     if errors:
-        raise RuntimeError("; ".join(errors))
+        raise RuntimeError("; ".join(f"{n}: {e}" for n, e in errors.items()))
     return rows

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in the library counts on.
@@ -62,6 +65,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def together(spark: SparkSession, tasks: dict[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, Exception]]:
+    """Submit independent jobs at once and let Spark share the cluster among them; results and errors by name."""
+    if not tasks:
+        return {}, {}
+    done, failed = {}, {}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        waiting = {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
+        for name, future in waiting.items():
+            try:
+                done[name] = future.result()
+            except Exception as error:  # noqa: BLE001 - the caller decides which failures matter
+                failed[name] = error
+    return done, failed
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from there.
 

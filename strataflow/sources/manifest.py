@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.sources.snapshots import path_exists
+
 MANIFEST_NAME = "_manifest.json"
 SUPPORTED_VERSIONS = (1,)
 
@@ -56,19 +57,25 @@ def parse_manifests(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def load_manifest(spark: SparkSession, directory: str) -> DataFrame | None:
-    """The one-row manifest of a delivery, None if it has none; a broken one raises."""
+    """The one-row manifest of a delivery, None if it has none; a broken one raises.
+
+    Spark's readers pass over names that start with an underscore, so this small file is opened through
+    the file system of its path.
+    """
     path = f"{directory.rstrip('/')}/{MANIFEST_NAME}"
-    # Names that start with an underscore are skipped in listings, but not when named outright.
-    try:
-        texts = spark.read.format("text").option("wholetext", True).load(path)
-        parsed = parse_manifests(texts).drop("value")
-        first = parsed.first()
-    except AnalysisException:
+    if not path_exists(spark, path):
         return None
-    if first is None:
-        return None
-    if first["problem"] is not None:
-        raise ManifestError(f"{path}: {first['problem']}")
+    jvm = spark.sparkContext._jvm
+    jvm_path = jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    parsed = parse_manifests(spark.createDataFrame([(text,)], "value string")).drop("value")
+    problem = parsed.first()["problem"]
+    if problem is not None:
+        raise ManifestError(f"{path}: {problem}")
     return parsed.drop("problem")
 
 

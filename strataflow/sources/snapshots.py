@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from strataflow.operators.asof import asof_join
 from strataflow.operators.relational import BATCH_COLUMN
-from strataflow.sources.readers import read_parquet
 
 _MODES = {"overwrite": "overwrite", "append": "append", "error": "errorifexists"}
 
@@ -52,8 +51,8 @@ def write_snapshot(df: DataFrame, root: str, table: str, batch_id: str) -> None:
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str, batch_id: str) -> DataFrame:
-    """One batch of a table; only its own folder is listed."""
-    return read_parquet(spark, snapshot_path(root, table, batch_id), f"{root.rstrip('/')}/{table}")
+    """One batch of a table; only its own folder is listed, and its id stays the text it is."""
+    return spark.read.parquet(snapshot_path(root, table, batch_id)).withColumn(BATCH_COLUMN, F.lit(batch_id))
 
 
 def write_rejected(failing: DataFrame, root: str, source: str, batch_id: str) -> bool:

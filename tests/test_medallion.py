@@ -53,7 +53,7 @@ def test_first_day_row_counts(runs):
         "fact_games": 6,
         "fact_appearances": 29,
     }
-    assert list(runs[1]["gold"].values()) == [12, 5, 12, 18, 5]
+    assert [runs[1]["gold"][a.name] for a in gold.ARTIFACTS] == [12, 5, 12, 18, 5]
 
 
 def test_orphan_is_set_aside_with_its_reason(spark, runs):

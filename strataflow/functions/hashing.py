@@ -76,7 +76,9 @@ def content_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     The sum is kept next to the xor so that a pair of equal rows does not cancel out.
     """
     names = sorted(c for c in df.columns if c not in by)
-    row = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(HASH_NULL)) for c in names])
+    values = [F.col(f"`{c}`") for c in names]
+    # The hash passes over NULLs, so where they are is hashed along.
+    row = F.xxhash64(*values, *[v.isNull() for v in values])
     return (
         df.select(*by, row.alias("_row"))
         .groupBy(*by)

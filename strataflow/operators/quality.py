@@ -136,7 +136,7 @@ def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def orphan_keys(df: DataFrame, column: str, target: DataFrame, target_column: str) -> DataFrame:
     """Values without a partner in the target."""
     values = df.where(_present(df, column)).select(F.col(column)).distinct()
-    known = target.select(F.col(target_column).alias("_known"))
+    known = target.select(F.col(target_column).alias("_known")).distinct()
     return values.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 

@@ -17,6 +17,9 @@ from strataflow.session import cut_lineage
 FAR_FUTURE = dt.date(9999, 12, 31)
 FAR_PAST = dt.date(1900, 1, 1)
 
+# Keys of a delta that are counted to be few enough to ship to every executor.
+BROADCAST_KEYS = 100_000
+
 NEW, CHANGED, UNCHANGED, ABSENT = "NEW", "CHANGED", "UNCHANGED", "ABSENT"
 
 
@@ -121,14 +124,17 @@ def scd2_merge(
     order += [F.col(k).asc_nulls_last() for k in natural_key]
     delta = statuses.where(F.col("status").isin(CHANGED, NEW))
     size = counts.get(CHANGED, 0) + counts.get(NEW, 0)
-    # Written on its own, a daily delta is seen to be small, and then no wide row is shuffled below.
-    numbered = cut_lineage(
-        dense_number(delta, order, "_sk", start=(held["sk"] or 0) + 1, rows=size).select(
-            *[F.col(k).alias(f"_d_{k}") for k in natural_key], F.col("status").alias("_status"), "_sk"
-        )
+    numbered = dense_number(delta, order, "_sk", start=(held["sk"] or 0) + 1, rows=size).select(
+        *[F.col(k).alias(f"_d_{k}") for k in natural_key], F.col("status").alias("_status"), "_sk"
     )
+    # A daily delta has been counted and is small; then no wide row is shuffled below. A large one is
+    # written down, so that it is numbered once and Spark knows its size.
+    small = size <= BROADCAST_KEYS
+    numbered = numbered if small else cut_lineage(numbered)
     on = same_keys(natural_key, [f"_d_{k}" for k in natural_key])
     changed = numbered.where(F.col("_status") == CHANGED).withColumn("_changed", F.lit(True))
+    if small:
+        numbered, changed = F.broadcast(numbered), F.broadcast(changed)
     closing = F.col("is_current") & F.coalesce(F.col("_changed"), F.lit(False))
     closed = {
         "end_date": F.when(closing, F.lit(batch_date)).otherwise(F.col("end_date")),

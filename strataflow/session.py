@@ -60,9 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.dirname(spark.sparkContext.getCheckpointDir().rstrip("/"))
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/strataflow-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what the application wrote for itself; tables still read from it cannot be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def together(spark: SparkSession, tasks: dict[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, Exception]]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.operators.asof import asof_join
-from strataflow.operators.relational import BATCH_COLUMN
+from strataflow.operators.relational import BATCH_COLUMN, top_per_key
 
 _MODES = {"overwrite": "overwrite", "append": "append", "error": "errorifexists"}
 
@@ -79,38 +79,32 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame | None]) ->
 def previously_landed(files: DataFrame, arriving: DataFrame) -> DataFrame:
     """For each arriving (batch_id, source_name, fingerprint), the batch that already holds its content.
 
-    ``data_batch_id`` is that batch, or NULL where the content is new. The latest landing of a fingerprint
-    is kept by an aggregate, so however often content was re-sent, a fingerprint is one row in the join.
+    ``data_batch_id`` is that batch, or NULL where the content is new. Of each content only the last two
+    batches are kept, limited before the exchange, so it does not matter how often content was re-sent.
     """
-    landed = (
-        files.where(F.col("status").isin(*LANDED_STATES))
-        .select(
-            F.col("fingerprint").alias("_fingerprint"),
-            F.col("source_name").alias("_source"),
-            F.struct("registered_at", "batch_id").alias("_when"),
+    content = ["_source", "_fingerprint"]
+    landed = files.where(F.col("status").isin(*LANDED_STATES)).select(
+        F.col("source_name").alias("_source"),
+        F.col("fingerprint").alias("_fingerprint"),
+        F.struct(
+            "registered_at",
             "batch_id",
-            F.coalesce("data_batch_id", "batch_id").alias("_held_in"),
-        )
+            F.coalesce("data_batch_id", "batch_id").alias("held_in"),
+        ).alias("_landing"),
     )
-    # Latest and second-latest batch, so that a batch never counts as its own predecessor.
-    latest = landed.groupBy("_source", "_fingerprint").agg(F.max_by(F.struct("batch_id", "_held_in"), "_when").alias("_last"))
-    other = (
-        landed.join(
-            latest.select(
-                F.col("_source").alias("_s2"), F.col("_fingerprint").alias("_f2"), F.col("_last.batch_id").alias("_b2")
-            ),
-            (F.col("_source") == F.col("_s2")) & (F.col("_fingerprint") == F.col("_f2")) & (F.col("batch_id") != F.col("_b2")),
-        )
-        .groupBy("_source", "_fingerprint")
-        .agg(F.max_by("_held_in", "_when").alias("_earlier"))
-    )
-    known = latest.join(other, ["_source", "_fingerprint"], "left")
+    per_batch = landed.groupBy(*content, F.col("_landing.batch_id").alias("_batch")).agg(F.max("_landing").alias("_landing"))
+    # A batch is never its own predecessor, so the one before the last is needed as well.
+    last_two = top_per_key(per_batch, content, [F.col("_landing").desc()], 2)
+    known = last_two.groupBy(*content).agg(F.max("_landing").alias("_last"), F.min("_landing").alias("_earlier"))
     joined = arriving.join(
         known,
         (F.col("source_name") == F.col("_source")) & (F.col("fingerprint") == F.col("_fingerprint")),
         "left",
     )
-    held = F.when(F.col("_last.batch_id") != F.col("batch_id"), F.col("_last._held_in")).otherwise(F.col("_earlier"))
+    own = F.col("batch_id")
+    held = F.when(F.col("_last.batch_id") != own, F.col("_last.held_in")).when(
+        F.col("_earlier.batch_id") != own, F.col("_earlier.held_in")
+    )
     return joined.select(*arriving.columns, held.alias("data_batch_id"))
 
 

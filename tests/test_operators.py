@@ -266,4 +266,5 @@ def test_scd2_numbers_a_large_delta_alike(spark, monkeypatch):
     small = merge(merge(None, rows, D1).dimension, grown, D2).dimension
     plain = versions(small)
     monkeypatch.setattr(scd2, "dense_number", lambda df, by, out, start=1, rows=None: ordered.dense_number(df, by, out, start, rows, one_task_rows=0))
+    monkeypatch.setattr(scd2, "BROADCAST_KEYS", 0)
     assert versions(merge(merge(None, rows, D1).dimension, grown, D2).dimension) == plain

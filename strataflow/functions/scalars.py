@@ -24,6 +24,11 @@ def day_of(df: DataFrame, name: str) -> Column:
     return as_date(F.col(name))
 
 
+def literal_like(df: DataFrame, name: str, value) -> Column:
+    """A constant in the type of a column; by way of text, so that no time zone comes between them."""
+    return value if isinstance(value, Column) else F.lit(str(value)).cast(df.schema[name].dataType)
+
+
 def season(day: Column) -> Column:
     """label ``YYYY-YY`` of the season that starts in August; ``day`` is a date."""
     # Seven months back, every day of a season lies in the year the season starts in.

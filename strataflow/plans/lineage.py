@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.hashing import schema_hash
-from strataflow.functions.scalars import clipped_text
+from strataflow.functions.scalars import clipped_text, literal_like
 from strataflow.operators.ordered import HOT_LIMIT, previous_value
 
 # Columns of the event log; every event fills those it knows.
@@ -182,14 +182,14 @@ def files_of_batch(files: DataFrame, batch_id: str, status: str | None = None) -
 
 def failed_since(files: DataFrame, moment) -> DataFrame:
     """L7."""
-    return files.where((F.col("status") == "failed") & (F.col("registered_at") >= F.lit(moment)))
+    return files.where((F.col("status") == "failed") & (F.col("registered_at") >= literal_like(files, "registered_at", moment)))
 
 
 def latest_ingestion(files: DataFrame, as_of=None) -> DataFrame:
     """The last landed file per source, by registration time."""
     landed = files.where(F.col("status").isin("ingested", "transforming", "transformed"))
     if as_of is not None:
-        landed = landed.where(F.col("registered_at") <= F.lit(as_of))
+        landed = landed.where(F.col("registered_at") <= literal_like(files, "registered_at", as_of))
     rest = [c for c in landed.columns if c != "source_name"]
     return (
         landed.groupBy("source_name")
@@ -282,3 +282,16 @@ def reconcile(files: DataFrame) -> DataFrame:
         )
         .select("batch_id", "source_name", "source_file_path", "f.*")
     )
+
+
+def reconciliation_events(files: DataFrame) -> DataFrame:
+    """Per file, how many findings of each severity, with the JSON payload of its ``reconciled`` event."""
+    key = ["batch_id", "source_name", "source_file_path"]
+    found = reconcile(files).groupBy(*key).agg(
+        F.count("*").alias("finding_count"),
+        F.count_if(F.col("severity") == "CRITICAL").alias("critical_count"),
+        F.count_if(F.col("severity") == "WARN").alias("warn_count"),
+    )
+    counts = ["finding_count", "critical_count", "warn_count"]
+    counted = files.select(*key).join(found, key, "left").fillna(0, counts)
+    return counted.withColumn("payload", F.to_json(F.struct(*counts)))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.hashing import content_fingerprint, schema_hash, tokenize_columns
+from strataflow.functions.scalars import literal_like
 from strataflow.operators import quality
 from strataflow.operators.relational import union_by_name
 from strataflow.plans import gold, lineage, quality_report, star
@@ -202,7 +203,7 @@ def batch_before(spark: SparkSession, lake: Lake, layer: str, batch_id: str) ->
     own = first.where(F.col("batch_id") == batch_id).first()
     candidates = done.join(first, "batch_id").where(F.col("batch_id") != batch_id)
     if own is not None:
-        candidates = candidates.where(F.col("begun") < F.lit(own["begun"]))
+        candidates = candidates.where(F.col("begun") < literal_like(first, "begun", own["begun"]))
     latest = candidates.orderBy(F.col("begun").desc(), F.col("batch_id").desc()).first()
     return latest["batch_id"] if latest else None
 

@@ -45,17 +45,17 @@ def _states(t: Tables) -> DataFrame:
 
 @query(
     "run_state",
-    f"""WITH {_RUNS_SQL} SELECT batch_id, layer, status, epoch_us(started_at) AS started_us, epoch_us(finished_at) AS finished_us, rows_out,
+    f"""WITH {_RUNS_SQL} SELECT batch_id, layer, status, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(finished_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at, rows_out,
         length(error) AS error_length FROM states""",
 )
 def run_state(t: Tables) -> DataFrame:
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
     return _states(t).select(
         "batch_id",
         "layer",
         "status",
-        micros("started_at").alias("started_us"),
-        micros("finished_at").alias("finished_us"),
+        text("started_at"),
+        text("finished_at"),
         "rows_out",
         F.length("error").cast("long").alias("error_length"),
     )
@@ -208,7 +208,7 @@ def files_of_batch(t: Tables) -> DataFrame:
     f"""WITH {_EVENTS_SQL} SELECT batch_id, source_name, source_file_path FROM files WHERE status = 'failed' AND registered_at >= TIMESTAMP '2024-01-20'""",
 )
 def failed_since(t: Tables) -> DataFrame:
-    moment = F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")
+    moment = dt.datetime(2024, 1, 20)
     return lineage.failed_since(lineage.file_states(_events(t)), moment).select("batch_id", "source_name", "source_file_path")
 
 
@@ -219,7 +219,7 @@ def failed_since(t: Tables) -> DataFrame:
         SELECT source_name, batch_id, source_file_path, bronze_row_count FROM ranked WHERE rn = 1""",
 )
 def latest_ingestion(t: Tables) -> DataFrame:
-    moment = F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")
+    moment = dt.datetime(2024, 1, 20)
     latest = lineage.latest_ingestion(lineage.file_states(_events(t)), moment)
     return latest.select("source_name", "batch_id", "source_file_path", "bronze_row_count")
 
@@ -288,3 +288,23 @@ def latest_schema_hashes(t: Tables) -> DataFrame:
 )
 def reconcile(t: Tables) -> DataFrame:
     return lineage.reconcile(lineage.file_states(_events(t)))
+
+
+@query(
+    "reconcile_summary",
+    f"""WITH {_EVENTS_SQL},
+        counted AS (
+          SELECT batch_id, source_name, source_file_path,
+                 coalesce(CAST(bronze_row_count > source_row_count AS BIGINT), 0)
+                   + coalesce(CAST(silver_row_count <> bronze_row_count - rejected_row_count AS BIGINT), 0)
+                   + coalesce(CAST(bronze_row_count > 0 AND silver_row_count = 0 AS BIGINT), 0) AS critical_count,
+                 coalesce(CAST(bronze_row_count > 0 AND CAST(rejected_row_count AS DOUBLE) / nullif(bronze_row_count, 0) > 0.05 AS BIGINT), 0)
+                   + coalesce(CAST(bronze_row_count = 0 AS BIGINT), 0)
+                   + coalesce(CAST(status NOT IN ('transformed', 'failed') AS BIGINT), 0) AS warn_count
+          FROM files)
+        SELECT *, critical_count + warn_count AS finding_count,
+               '{{"finding_count":' || (critical_count + warn_count) || ',"critical_count":' || critical_count || ',"warn_count":' || warn_count || '}}' AS payload
+        FROM counted""",
+)
+def reconcile_summary(t: Tables) -> DataFrame:
+    return lineage.reconciliation_events(lineage.file_states(_events(t)))

@@ -342,5 +342,4 @@ def high_water_mark(t: Tables) -> DataFrame:
     """SELECT event_type, max(event_id) AS mark, count(*) AS rows FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00' GROUP BY event_type""",
 )
 def incremental_read(t: Tables) -> DataFrame:
-    mark = F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")
-    return snapshots.next_mark(snapshots.rows_after(t.events, "ts", mark), "event_id", ["event_type"])
+    return snapshots.next_mark(snapshots.rows_after(t.events, "ts", dt.datetime(2024, 1, 20)), "event_id", ["event_type"])

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.functions.scalars import literal_like
 from strataflow.operators.asof import asof_join
 from strataflow.operators.relational import BATCH_COLUMN, top_per_key
 
@@ -117,8 +118,8 @@ def resolve_snapshots(files: DataFrame, batches: DataFrame) -> DataFrame:
     """
     registered = files.groupBy("batch_id").agg(F.max("registered_at").alias("_as_of")).withColumnRenamed("batch_id", "_b")
     asked = batches.join(registered, F.col("batch_id") == F.col("_b"), "left").drop("_b")
-    latest = files.agg(F.max("registered_at").alias("m")).first()["m"]
-    asked = asked.withColumn("_as_of", F.coalesce("_as_of", F.lit(latest)))
+    latest = files.agg(F.max("registered_at").cast("string").alias("m")).first()["m"]
+    asked = asked.withColumn("_as_of", F.coalesce("_as_of", literal_like(files, "registered_at", latest)))
     landings = files.where(F.col("status").isin(*LANDED_STATES)).select(
         "source_name",
         "registered_at",
@@ -140,7 +141,7 @@ def resolve_snapshots(files: DataFrame, batches: DataFrame) -> DataFrame:
 
 def rows_after(df: DataFrame, column: str, mark) -> DataFrame:
     """Rows past a high-water mark; all rows where there is no mark yet."""
-    return df if mark is None else df.where(F.col(column) > F.lit(mark))
+    return df if mark is None else df.where(F.col(column) > literal_like(df, column, mark))
 
 
 def next_mark(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

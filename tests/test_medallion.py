@@ -197,3 +197,20 @@ def test_explorations_run(spark, runs):
     assert gold.version_storage(silver(spark, runs, "dim_players", 3)).count() == 10
     assert gold.standings(gold_table(spark, runs, "club_season_summary", 1)).first()["club_name"] == "Real Madrid"
     assert gold.valuation_trend(gold_table(spark, runs, "player_valuation_rolling_avg", 3), silver(spark, runs, "dim_players", 3)).count() == 18
+
+
+def test_a_failing_source_does_not_stop_the_others(spark, tmp_path):
+    lake = medallion.Lake(str(tmp_path / "lake"))
+    raw = football.deliver(tmp_path / "raw", 1)
+    (tmp_path / "raw" / "games.csv").unlink()
+    at = dt.datetime(2025, 5, 1)
+    wanted = [s for s in medallion.ALL_SOURCES if s.name in ("games", "clubs")]
+    assert medallion.land_batch(spark, lake, raw, "b", at, wanted) == {"clubs": "written", "games": "failed"}
+    ledger = medallion.Ledger(spark, lake)
+    assert not ledger.succeeded("b", "bronze")
+    assert "games" in lineage.run_states(ledger.runs()).first()["error"]
+    assert lineage.file_states(ledger.events()).where("source_name = 'games'").first()["status"] == "failed"
+    # The same batch again, with a file that changed in between: refused.
+    clubs = tmp_path / "raw" / "clubs.csv"
+    clubs.write_text(clubs.read_text(encoding="utf-8").replace("Chelsea", "Changed"), encoding="utf-8")
+    assert medallion.land_batch(spark, lake, raw, "b", dt.datetime(2025, 5, 2), wanted)["clubs"] == "failed"

@@ -30,14 +30,19 @@ def dealt_sql(labels: list[str | None], key: str) -> str:
 
 
 def registry():
-    """Two tables of queries and their SQL, and the decorator that fills them."""
+    """Two tables of queries and their SQL, and the decorator that fills them.
+
+    ``sparse`` names whole-number columns with gaps; both sides show them as text, since tools disagree on
+    whether a column of whole numbers with gaps still holds whole numbers.
+    """
     queries, sqls = {}, {}
 
-    def query(name: str, sql: str | None = None):
+    def query(name: str, sql: str | None = None, sparse: tuple[str, ...] = ()):
         def register(fn):
-            queries[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+            queries[name] = lambda spark, sf_dir: as_text(fn(Tables(spark, sf_dir)), *sparse)
             if sql is not None:
-                sqls[name] = sql
+                shown = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in sparse)
+                sqls[name] = f"SELECT * REPLACE ({shown}) FROM ({sql})" if sparse else sql
             return fn
 
         return register
@@ -282,4 +287,4 @@ def valuations(t: Tables) -> DataFrame:
 
 def as_text(df: DataFrame, *columns: str) -> DataFrame:
     """Dates and times as ISO text, so that every engine prints them alike."""
-    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+    return df.withColumns({c: F.col(c).cast("string") for c in columns}) if columns else df

@@ -47,6 +47,7 @@ def _states(t: Tables) -> DataFrame:
     "run_state",
     f"""WITH {_RUNS_SQL} SELECT batch_id, layer, status, strftime(started_at, '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(finished_at, '%Y-%m-%d %H:%M:%S.%f') AS finished_at, rows_out,
         length(error) AS error_length FROM states""",
+    sparse=("error_length",),
 )
 def run_state(t: Tables) -> DataFrame:
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
@@ -132,7 +133,7 @@ def _events(t: Tables) -> DataFrame:
 _COUNTS = ["source_row_count", "bronze_row_count", "rejected_row_count", "silver_row_count"]
 
 
-@query("stage_counts", f"WITH {_EVENTS_SQL} SELECT batch_id, source_name, source_file_path, status, {', '.join(_COUNTS)} FROM files")
+@query("stage_counts", f"WITH {_EVENTS_SQL} SELECT batch_id, source_name, source_file_path, status, {', '.join(_COUNTS)} FROM files", sparse=("source_row_count", "bronze_row_count", "rejected_row_count", "silver_row_count"))
 def stage_counts(t: Tables) -> DataFrame:
     return lineage.file_states(_events(t)).select("batch_id", "source_name", "source_file_path", "status", *_COUNTS)
 
@@ -217,6 +218,7 @@ def failed_since(t: Tables) -> DataFrame:
     f"""WITH {_EVENTS_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY registered_at DESC, batch_id DESC) AS rn
           FROM files WHERE status IN ('ingested', 'transforming', 'transformed') AND registered_at <= TIMESTAMP '2024-01-20')
         SELECT source_name, batch_id, source_file_path, bronze_row_count FROM ranked WHERE rn = 1""",
+    sparse=("bronze_row_count",),
 )
 def latest_ingestion(t: Tables) -> DataFrame:
     moment = dt.datetime(2024, 1, 20)

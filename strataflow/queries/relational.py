@@ -68,6 +68,7 @@ def _join_query(how: str, sql_join: str) -> None:
     @query(
         f"joins_{how}",
         f"SELECT c_custkey, c_name, o_orderkey, o_custkey FROM customer {sql_join} JOIN {_DEAR} o ON c_custkey = o_custkey",
+        sparse=("c_custkey", "o_orderkey", "o_custkey"),
     )
     def joined(t: Tables) -> DataFrame:
         on = F.col("c_custkey") == F.col("o_custkey")
@@ -140,6 +141,7 @@ def agg_conditional(t: Tables) -> DataFrame:
     """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS balance_cents FROM customer
        UNION ALL BY NAME
        SELECT s_suppkey AS id, s_name AS name, CAST(round(s_acctbal * 100) AS BIGINT) AS balance_cents FROM supplier""",
+    sparse=("balance_cents",),
 )
 def union_by_name(t: Tables) -> DataFrame:
     buyers = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
@@ -279,17 +281,17 @@ def _last_view(t: Tables, **limits) -> DataFrame:
     return joined.select("event_id", "last_view")
 
 
-@query("asof_events", _ASOF_SQL)
+@query("asof_events", _ASOF_SQL, sparse=("last_view",))
 def asof_events(t: Tables) -> DataFrame:
     return _last_view(t)
 
 
-@query("asof_events_many_versions", _ASOF_SQL)
+@query("asof_events_many_versions", _ASOF_SQL, sparse=("last_view",))
 def asof_events_many_versions(t: Tables) -> DataFrame:
     return _last_view(t, few_versions=0)
 
 
-@query("asof_events_hot_keys", _ASOF_SQL)
+@query("asof_events_hot_keys", _ASOF_SQL, sparse=("last_view",))
 def asof_events_hot_keys(t: Tables) -> DataFrame:
     return _last_view(t, few_versions=0, hot_limit=10)
 

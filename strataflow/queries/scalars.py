@@ -56,6 +56,7 @@ def outcome_season_key(t: Tables) -> DataFrame:
                           WHEN event_id % 5 = 0 THEN CAST(ts AS DATE) END AS day, ts FROM events),
              e AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS day FROM d)
         SELECT event_id, {SEASON_SQL.format('day')} AS season, {DATE_KEY_SQL.format('day')} AS date_key FROM e""",
+    sparse=("date_key",),
 )
 def dates_from_text(t: Tables) -> DataFrame:
     """Dates written as ISO date-times, as plain dates, or as junk."""
@@ -213,6 +214,7 @@ def json_payload(t: Tables) -> DataFrame:
               CAST(left(o_orderpriority, 1) AS INTEGER) AS priority, TRY_CAST(o_orderpriority AS INTEGER) AS whole_priority,
               CAST(o_orderkey AS VARCHAR) AS key_text
        FROM orders""",
+    sparse=("whole_priority",),
 )
 def value_map_and_casts(t: Tables) -> DataFrame:
     status = F.col("o_orderstatus")

@@ -44,7 +44,7 @@ def _messy_orders(t: Tables) -> DataFrame:
     )
 
 
-@query("csv_coerce", _ORDER_SQL)
+@query("csv_coerce", _ORDER_SQL, sparse=("o_custkey",))
 def csv_coerce(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     _messy_orders(t).write.option("header", True).option("escape", '"').csv(path)
@@ -220,6 +220,7 @@ m AS (SELECT c_custkey, c_custkey % 6 AS kind FROM customer)"""
         SELECT c_custkey, CASE kind WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'unsupported version' WHEN 2 THEN 'unknown fields: extra'
                WHEN 3 THEN 'missing fields: vendor' WHEN 4 THEN 'a field has the wrong type' END AS problem,
                CASE WHEN kind = 5 THEN c_custkey * 10 END AS size_bytes FROM m""",
+    sparse=("size_bytes",),
 )
 def manifest_parse(t: Tables) -> DataFrame:
     """One manifest per customer, most of them broken in one way or another."""

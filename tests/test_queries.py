@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 import check_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry._merged("QUERIES", entry._MODULES), entry._merged("SQL", entry._MODULES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the tables are not here")
 

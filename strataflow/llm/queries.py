@@ -26,9 +26,10 @@ SQL["op1_quality_rules"] = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
-p AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
-g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM p),
-r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY doc_id),
+o AS (SELECT doc_id, unnest(ws) AS a, unnest(range(len(ws))) AS i FROM w),
+p AS (SELECT doc_id, i, a, lead(a, 1) OVER z AS b, lead(a, 2) OVER z AS c FROM o WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM p WHERE c IS NOT NULL),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM g, (VALUES (0), (1), (2)) AS y(k) WHERE n > 1 GROUP BY doc_id),
 m AS (
   SELECT w.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,

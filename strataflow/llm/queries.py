@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from strataflow.llm import license_scan, quality_rules, source_mix
+from strataflow.llm import language_id, lattice_dedup, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix
 from strataflow.queries.inputs import Tables
 
 QUERIES, SQL = {}, {}
 
+#: Where the public tokenizers' files lie; a parameter, since they are no part of the repository.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def query(fn):
     QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
@@ -137,3 +142,59 @@ x AS (SELECT source, h FROM (SELECT source, h, sum(size) OVER (ORDER BY finish,
 y AS (SELECT source, h, count(*) AS copies FROM x GROUP BY source, h)
 SELECT doc_id, size, source_size, target, size * coalesce(copies, 0) AS taken
 FROM d JOIN tg ON tg.source IS NOT DISTINCT FROM d.source LEFT JOIN y ON y.source IS NOT DISTINCT FROM d.source AND y.h = d.h"""
+
+
+@query
+def op5_language_id(t: Tables):
+    model = language_id.learn_from_documents(t.documents)
+    found = language_id.identify(t.documents, model)
+    return found.select("doc.doc_id", (language_id.remainder("doc.doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
+@query
+def op3_lattice_dedup(t: Tables):
+    return lattice_dedup.near_vectors(t.embeddings).select("doc.vec_id", "n_links", "component_id", "kept")
+
+
+SQL["op3_lattice_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, coalesce(m >= vec_id, TRUE) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id"""
+
+
+@query
+def op8_minhash_dedup(t: Tables):
+    return minhash_dedup.near_duplicates(t.documents, width=2).select("doc.doc_id", "n_shingles", "component_id", "kept")
+
+
+SQL["op8_minhash_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS a, unnest(range(len(ws))) AS i, len(ws) AS n FROM d),
+p AS (SELECT doc_id, n, a, lead(a) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM w),
+s AS (SELECT DISTINCT doc_id, a, b FROM p WHERE b IS NOT NULL OR n = 1),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM s x JOIN s y ON x.a = y.a AND x.b IS NOT DISTINCT FROM y.b AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b WHERE 100 * i.n >= 80 * (za.n + zb.n - i.n)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a)
+SELECT doc_id, coalesce(z.n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, coalesce(m >= doc_id, TRUE) AS kept
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN c ON c.a = doc_id"""
+
+
+@query
+def op9_piece_codec(t: Tables):
+    model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
+    return piece_codec.encode_and_decode(t.documents, model).select(
+        "doc.doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )

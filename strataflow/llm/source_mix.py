@@ -15,8 +15,9 @@ from strataflow.session import cut_lineage
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5  # of all sizes
 MAX_EPOCHS = 2
-ROWS_PER_SLICE = 200_000
+ROWS_PER_SLICE = 5_000  # of one source, as long as there are no more than HASH_SLICES slices
 HASH_SLICES = 65_536
+ROWS_PER_TASK = 200_000  # of the merged queues
 
 
 def word_count(text: str = "text") -> Column:
@@ -84,7 +85,7 @@ def _last_places(entries: DataFrame, budget: float, rows: int) -> DataFrame:
     slice the budget ends, and only that slice is summed row by row.
     """
     order = [F.col("finish"), F.col("epoch"), F.col("h"), F.col("source").asc_nulls_last()]
-    slices = max(1, -(-rows * MAX_EPOCHS // ROWS_PER_SLICE))
+    slices = max(1, -(-rows * MAX_EPOCHS // ROWS_PER_TASK))
     ranged = cut_lineage(entries.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
     before, last = 0, -1
     for row in ranged.groupBy("_slice").agg(F.sum("size").alias("n")).orderBy("_slice").collect():  # one row per task

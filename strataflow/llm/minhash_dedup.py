@@ -16,7 +16,7 @@ from strataflow.llm.graph import components
 from strataflow.session import cut_lineage
 
 BITS = 4  # low bits kept of every minimum
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 SHINGLES_AT_ONCE = 2048
 
 
@@ -157,27 +157,27 @@ def _connect(find: _Finder, members: DataFrame) -> DataFrame:
     """
     tried = cut_lineage(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     links = find.confirmed(tried)
+    label = cut_lineage(components(links))
     for turn in range(1, STAR_ROUNDS + 1):
-        label = cut_lineage(components(links))
         held = _labelled(members, label)
         rest = cut_lineage(held.where("label <> hub_label").select("key", "node", "label"))
         if rest.isEmpty():
-            return label
+            break
         if turn < STAR_ROUNDS:
             order = F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node")
             hubs = rest.groupBy("key").agg(F.min(order)["node"].alias("a"))
             pairs = rest.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b"))
         else:
             others = held.select("key", F.col("node").alias("a"), F.col("label").alias("_l"))
-            pairs = rest.join(others, "key").where("label <> _l").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            pairs = rest.join(others, "key").where("label <> _l").select("a", F.col("node").alias("b"))
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = cut_lineage(ordered.join(tried, ["a", "b"], "left_anti"))
-        tried = cut_lineage(tried.unionByName(fresh))
+        tried = tried.unionByName(fresh)
         more = find.confirmed(fresh)
-        if more.isEmpty() and turn == STAR_ROUNDS:
-            return label
-        links = cut_lineage(links.unionByName(more))
-    return components(links)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            label = cut_lineage(components(links))
+    return label
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -73,35 +75,34 @@ def render(messages: DataFrame, trained: str = "assistant") -> DataFrame:
     head = F.concat(F.lit(START), _role_line(F.col("role")), F.lit("\n"))
     body = escaped(F.col("text"))
     piece = F.struct(
-        "turn", "part", F.concat(head, body, F.lit(END + "\n")).alias("piece"), F.length(head).alias("before"), F.length(body).alias("size"), (F.col("role") == trained).alias("trained")
-    )
-    ordered = F.array_sort(F.collect_list(piece), lambda a, b: _later(a, b))
-    ends = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,size:bigint>>").alias("spans")),
-        lambda s, p: F.struct(
-            (s["at"] + F.length(p["piece"])).alias("at"),
-            F.when(p["trained"], F.concat(s["spans"], F.array(F.struct((s["at"] + p["before"]).alias("start"), p["size"].cast("long").alias("size"))))).otherwise(s["spans"]).alias("spans"),
-        ),
-        lambda s: s["spans"],
+        F.col("turn").isNull().alias("last"), "turn", "part", F.concat(head, body, F.lit(END + "\n")).alias("piece"), F.length(head).alias("before"), F.length(body).alias("size"), (F.col("role") == trained).alias("trained")
     )
+    field = lambda name: F.transform("pieces", lambda p: p[name])
+    lengths = F.transform("pieces", lambda p: F.length(p["piece"]))
     return (
         messages.groupBy("conv_id")
-        .agg(ordered.alias("pieces"))
+        .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
         .select(
             "conv_id",
             F.size("pieces").cast("long").alias("n_turns"),
             F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("formatted"),
-            ends.alias("spans"),
+            _spans_udf()(lengths, field("before"), field("size"), field("trained")).alias("spans"),
         )
     )
 
 
-def _later(a: Column, b: Column) -> Column:
-    """Order of pieces: by turn, null turns last, then by part."""
-    by = lambda x, y: F.when(x < y, -1).when(x > y, 1).otherwise(0)
-    turns = F.when(a["turn"].isNull() & b["turn"].isNull(), 0).when(a["turn"].isNull(), 1).when(b["turn"].isNull(), -1).otherwise(by(a["turn"], b["turn"]))
-    return F.when(turns != 0, turns).otherwise(by(a["part"], b["part"]))
+def _spans_udf():
+    @F.pandas_udf("array<struct<start:bigint,size:bigint>>")
+    def spans(lengths: pd.Series, before: pd.Series, size: pd.Series, trained: pd.Series) -> pd.Series:
+        """Where the trained texts begin in the whole, from the pieces' lengths, and how long they are."""
+
+        def of(length, head, body, wanted):
+            starts = np.cumsum(length, dtype=np.int64) - length + head
+            return [{"start": int(s), "size": int(n)} for s, n, w in zip(starts, body, wanted) if w]
+
+        return pd.Series([of(*row) for row in zip(lengths, before, size, trained)])
+
+    return spans
 
 
 def format_chats(events: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def format_chats(events: DataFrame) -> DataFrame:
 
 def read_messages(formatted: Column) -> Column:
     """The messages of a formatted conversation, read back: an array of role and text."""
-    pieces = F.slice(F.split(formatted, r"<\|im_start\|>", -1), 2, 2**31 - 1)
+    pieces = F.filter(F.split(formatted, r"<\|im_start\|>", -1), lambda piece, i: i > 0)
 
     def read(piece: Column) -> Column:
         line = F.instr(piece, F.lit("\n"))

@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat_format, language_id, lattice_dedup, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix
+from strataflow.llm import chat_format, language_id, lattice_dedup, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity
 from strataflow.queries.inputs import Tables
 
 QUERIES, SQL = {}, {}
@@ -231,3 +231,11 @@ g AS (
          CAST(sum(length(x) + length(y) + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
   FROM e GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(trained) AS BIGINT) AS loss_chars, sha256(trained) AS loss_sha256, formatted_chars FROM g"""
+
+
+@query
+def op7_toxicity(t: Tables):
+    learnt = t.labels.where(language_id.remainder("doc_id", 3) != 1)
+    model = toxicity.learn_toxicity(t.documents, learnt)
+    scored = toxicity.score_toxicity(t.documents, model)
+    return scored.select("doc.doc_id", (language_id.remainder("doc.doc_id", 3) == 1).alias("held_out"), "score", "predicted")

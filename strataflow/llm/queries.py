@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat_format, language_id, lattice_dedup, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity
+from strataflow.llm import chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity
 from strataflow.queries.inputs import Tables
 
 QUERIES, SQL = {}, {}
@@ -239,3 +239,10 @@ def op7_toxicity(t: Tables):
     model = toxicity.learn_toxicity(t.documents, learnt)
     scored = toxicity.score_toxicity(t.documents, model)
     return scored.select("doc.doc_id", (language_id.remainder("doc.doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_lattice_lm(t: Tables):
+    model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
+    scored = lattice_lm.score_texts(t.documents, model, language_id.remainder("doc_id", 10) == 0)
+    return scored.select("doc.doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

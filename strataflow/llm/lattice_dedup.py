@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import packed
+from strataflow.llm.common import in_blocks, packed, sorted_groups
 from strataflow.llm.graph import components
 from strataflow.session import cut_lineage
 
@@ -167,27 +167,8 @@ def _compare(key: int, cross: bool, node: np.ndarray, weight: np.ndarray, unit:
 def _comparer(shape: Lattice, least: float):
     columns = ["key", "lo", "hi"]
 
-    def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Batches as they come, cut so that rows of one group stay together."""
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            code = batch[columns].to_numpy()
-            if held and (held[-1][columns].to_numpy()[-1] != code[0]).any():
-                yield pd.concat(held)
-                held = []
-            change = np.flatnonzero((code[1:] != code[:-1]).any(1))
-            if len(change):
-                cut = change[-1] + 1
-                yield pd.concat([*held, batch[:cut]])
-                held, batch = [], batch[cut:]
-            held.append(batch)
-        if held:
-            yield pd.concat(held)
-
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in groups(batches):
+        for batch in sorted_groups(batches, columns):
             code = batch[columns].to_numpy()
             starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]).any(1)])
             node, weight, block = (batch[c].to_numpy() for c in ("node", "weight", "block"))
@@ -226,9 +207,7 @@ def near_vectors(vectors: DataFrame, carry: Sequence[str] = ("vec_id",), cosine:
     )
     keys = classes.select("node", F.explode("keys").alias("key"))
     cells = cut_lineage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_k"), F.ceil(F.col("n") / shape.block_rows).cast("int").alias("cuts")))
-    members = keys.join(cells, F.col("key") == F.col("_k")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
-    dealt = members.withColumn("_o", other).select("node", "key", "block", F.least("block", "_o").alias("lo"), F.greatest("block", "_o").alias("hi"))
+    dealt = in_blocks(keys, cells, "key", "node")
     rows = dealt.join(classes.select("node", "weight", "unit", "keys"), "node").select("key", "lo", "hi", "node", "weight", "block", "unit", "keys")
     grouped = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     found = cut_lineage(grouped.mapInPandas(_comparer(shape, cosine), "node long, label long, links long"))

@@ -11,12 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import ascii_lower, packed, split_words, text_or_empty, unpacked
+from strataflow.llm.common import ascii_lower, in_blocks, packed, sorted_groups, split_words, text_or_empty, unpacked, with_bitmap
 from strataflow.llm.graph import components
 from strataflow.session import cut_lineage
 
 BITS = 4  # low bits kept of every minimum
-STAR_ROUNDS = 2
+BLOCK_ROWS = 2000  # rows of a bucket that are compared at once; fuller buckets are cut into such blocks
 SHINGLES_AT_ONCE = 2048
 
 
@@ -119,24 +119,26 @@ class _Finder:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, text: str, doc_id: str, width: int, percent: int, shape: Bands):
         self.classes, self.width, self.percent = classes, width, percent
-        self.worth = _worth(percent, shape)
+        self.worth, self.minima = _worth(percent, shape), shape.minima
         self.rows = docs.select(identity(doc_id, text).alias("row"), text_or_empty(text).alias("_text"))
 
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """``node, _text`` of the given classes, looked up by their rows' identities; other texts are not shuffled."""
+        wanted = cut_lineage(self.classes.join(nodes, "node").select("node", F.col("row").alias("_row")))
+        maybe = with_bitmap(self.rows, "row", wanted.select("_row"), "_maybe").where("_maybe").drop("_maybe")
+        return cut_lineage(maybe.join(wanted, F.col("row") == F.col("_row")).select("node", "_text"))
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs ``a, b`` whose estimate is worth a look and whose full sets are alike enough.
 
-        Texts of the classes concerned are looked up by their row's identity and cut into shingles anew, so
-        that no table of all sets is ever stored.
+        The sets are cut anew from the texts concerned, so that no table of all sets is ever stored.
         """
         named = lambda side: self.classes.select(F.col("node").alias(side), F.col("signature").alias(f"_{side}"))
         worth = cut_lineage(pairs.join(named("a"), "a").join(named("b"), "b").where(estimated(F.col("_a"), F.col("_b")) >= self.worth).select("a", "b"))
         if worth.isEmpty():
             return worth
-        concerned = worth.select(F.col("a").alias("node")).unionByName(worth.select(F.col("b").alias("node"))).distinct()
-        wanted = cut_lineage(self.classes.join(concerned, "node").select("node", F.col("row").alias("_row")))
-        texts = self.rows.join(wanted, F.col("row") == F.col("_row")).select("node", "_text")
-        sets = cut_lineage(texts)
-        side = lambda n: with_shingles(sets.withColumnRenamed("node", n), self.width).withColumnRenamed("shingles", f"_{n}").drop("_text")
+        texts = self.texts(worth.select(F.col("a").alias("node")).unionByName(worth.select(F.col("b").alias("node"))).distinct())
+        side = lambda n: with_shingles(texts.withColumnRenamed("node", n), self.width).withColumnRenamed("shingles", f"_{n}").drop("_text")
         both = worth.join(side("a"), "a").join(side("b"), "b").withColumn("_n", F.size(F.array_intersect("_a", "_b")))
         alike = 100 * F.col("_n") >= self.percent * (F.size("_a") + F.size("_b") - F.col("_n"))
         return cut_lineage(both.where(alike).select("a", "b").distinct())
@@ -147,37 +149,88 @@ def identity(doc_id: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), text_or_empty(text))))
 
 
+def _suspects(worth: float, minima: int):
+    """Rows of a bucket's blocks that some row of another component may be alike, by their low bits."""
+    groups = minima
+    least = (2.0**-BITS + (1 - 2.0**-BITS) * worth) * groups
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in sorted_groups(batches, ["key", "lo", "hi"]):
+            packed_bits = np.stack(batch["signature"].to_numpy()).astype(np.int64).view(np.uint64)
+            shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
+            low = ((packed_bits[:, :, None] >> shifts) & np.uint64(2**BITS - 1)).astype(np.uint8).reshape(len(batch), -1)
+            code = batch[["key", "lo", "hi"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]).any(1)])
+            label, other = batch["label"].to_numpy(), batch["label"].to_numpy() != batch["hub_label"].to_numpy()
+            hit = np.zeros(len(batch), dtype=bool)
+            for a, b in zip(starts, [*starts[1:], len(batch)]):
+                for i in np.flatnonzero(other[a:b]) + a:
+                    near = ((low[a:b] == low[i]).sum(1) >= least) & (label[a:b] != label[i])
+                    if near.any():
+                        hit[a:b] |= near
+                        hit[i] = True
+            yield batch.loc[hit, ["key", "lo", "hi", "node", "label", "hub_label"]]
+
+    return find
+
+
+def _verify(percent: int):
+    """Links between rows of different components, from their full sets; a few per row, enough to join them up."""
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in sorted_groups(batches, ["key", "lo", "hi"]):
+            code = batch[["key", "lo", "hi"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]).any(1)])
+            node, label = batch["node"].to_numpy(), batch["label"].to_numpy()
+            other, sets = label != batch["hub_label"].to_numpy(), batch["shingles"].to_numpy()
+            found = []
+            for a, b in zip(starts, [*starts[1:], len(batch)]):
+                if b - a < 2:
+                    continue
+                sizes = np.array([len(s) for s in sets[a:b]])
+                at = np.cumsum(sizes) - sizes
+                kinds, ids = np.unique(np.concatenate(sets[a:b]), return_inverse=True)
+                mark = np.zeros(len(kinds), dtype=np.int32)
+                for i in np.flatnonzero(other[a:b]):
+                    own = ids[at[i] : at[i] + sizes[i]]
+                    mark[own] = 1
+                    both = np.add.reduceat(mark[ids], at)
+                    mark[own] = 0
+                    alike = (100 * both >= percent * (sizes + sizes[i] - both)) & (label[a:b] != label[a + i])
+                    _, one = np.unique(label[a:b][alike], return_index=True)  # one link to each other component
+                    found += [(node[a + i], node[a + j]) for j in np.flatnonzero(alike)[one]]
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+    return links
+
+
 def _connect(find: _Finder, members: DataFrame) -> DataFrame:
     """``node, label`` of all classes that some link joins to another.
 
-    Every bucket's members are compared with one of them, the hub. Only those that did not come to hang
-    together with it are compared further: with other hubs a few times, which is linear in the bucket, then
-    with every member of another component. Pairs within a component need no comparison, so no link between
-    components is lost, and a bucket of near copies never yields all its pairs.
+    Every bucket's members are compared with one of them, the hub, by joins. Only those that did not come to
+    hang together with it are compared with the bucket's other members, within tasks: first by their low bits,
+    then, where these leave it open, by their full sets. Pairs within a component need no comparison, so no
+    link between components is lost, and no bucket ever yields all its pairs.
     """
-    tried = cut_lineage(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    links = find.confirmed(tried)
+    links = find.confirmed(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     label = cut_lineage(components(links))
-    for turn in range(1, STAR_ROUNDS + 1):
-        held = _labelled(members, label)
-        rest = cut_lineage(held.where("label <> hub_label").select("key", "node", "label"))
-        if rest.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node")
-            hubs = rest.groupBy("key").agg(F.min(order)["node"].alias("a"))
-            pairs = rest.join(hubs, "key").where("a <> node").select("a", F.col("node").alias("b"))
-        else:
-            others = held.select("key", F.col("node").alias("a"), F.col("label").alias("_l"))
-            pairs = rest.join(others, "key").where("label <> _l").select("a", F.col("node").alias("b"))
-        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = cut_lineage(ordered.join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(fresh)
-        more = find.confirmed(fresh)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            label = cut_lineage(components(links))
-    return label
+    held = cut_lineage(_labelled(members, label))
+    cut = F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int")
+    cells = cut_lineage(
+        held.groupBy("key").agg(cut.alias("cuts"), F.count_if(F.col("label") != F.col("hub_label")).alias("r")).where("r > 0").select(F.col("key").alias("_k"), "cuts")
+    )
+    if cells.isEmpty():
+        return label
+    signed = in_blocks(held.drop("hub"), cells, "key", "node").join(find.classes.select(F.col("node").alias("_n"), "signature"), F.col("node") == F.col("_n")).drop("_n", "block")
+    dealt = lambda df: df.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    suspects = cut_lineage(dealt(signed).mapInPandas(_suspects(find.worth, find.minima), "key long, lo int, hi int, node long, label long, hub_label long"))
+    if suspects.isEmpty():
+        return label
+    sets = with_shingles(find.texts(suspects.select("node").distinct()), find.width).select(F.col("node").alias("_n"), "shingles")
+    rows = suspects.join(sets, F.col("node") == F.col("_n")).drop("_n")
+    more = dealt(rows).mapInPandas(_verify(find.percent), "a long, b long")
+    return cut_lineage(components(links.unionByName(cut_lineage(more))))
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -249,7 +302,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     gone = cut_lineage(found.where("NOT kept").select(F.col("row").alias("_row")).distinct())
     again = cut_lineage(found.where("kept AND n_shingles > 0").groupBy("row").count().where("count > 1").select("row"))
     keyed = docs.select(packed(docs.columns).alias("doc"), identity("doc_id", "text").alias("row"))
-    left = keyed.join(gone, F.col("row") == F.col("_row"), "left_anti")
+    marked = with_bitmap(keyed, "row", gone, "_maybe")
+    left = marked.where("NOT _maybe").drop("_maybe").unionByName(marked.where("_maybe").drop("_maybe").join(gone, F.col("row") == F.col("_row"), "left_anti"))
     if again.isEmpty():
         return unpacked(left, docs.columns)
     repeated = left.join(again, "row", "left_semi").groupBy("row").agg(F.min("doc").alias("doc"))

@@ -167,8 +167,9 @@ def normalise_position(
     taxonomy: DataFrame | None = None,
 ) -> DataFrame:
     """add the canonical label and its category; unmatched labels become ``Unknown``."""
-    table = taxonomy if taxonomy is not None else position_table(df.sparkSession)
-    joined = df.join(F.broadcast(table), match_key(F.col(column)) == F.col("_key"), "left")
+    # The built-in table has a fixed size; the caller's is left to Spark.
+    table = taxonomy if taxonomy is not None else F.broadcast(position_table(df.sparkSession))
+    joined = df.join(table, match_key(F.col(column)) == F.col("_key"), "left")
     return joined.select(
         *df.columns,
         F.coalesce("_canonical", F.lit(UNKNOWN_POSITION)).alias(canonical_out),
@@ -178,6 +179,6 @@ def normalise_position(
 
 def normalise_country(df: DataFrame, column: str, out: str, countries: DataFrame | None = None) -> DataFrame:
     """add the ISO alpha-2 code of a country label; unmatched labels become ``XX``."""
-    table = countries if countries is not None else country_table(df.sparkSession)
-    joined = df.join(F.broadcast(table), match_key(F.col(column)) == F.col("_key"), "left")
+    table = countries if countries is not None else F.broadcast(country_table(df.sparkSession))
+    joined = df.join(table, match_key(F.col(column)) == F.col("_key"), "left")
     return joined.select(*df.columns, F.coalesce("_alpha2", F.lit(UNKNOWN_COUNTRY)).alias(out))

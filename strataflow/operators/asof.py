@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.operators.ordered import HOT_LIMIT, carry_forward, largest_group
+from strataflow.operators.ordered import HOT_LIMIT, carry_forward
 
 # Versions of one key up to which each event may be compared with all of them.
 FEW_VERSIONS = 64
@@ -28,9 +28,10 @@ def asof_join(
 ) -> DataFrame:
     """Left join to the newest version with ``valid_from <= event_time <= valid_to``.
 
-    ``keys`` are named alike on both sides; ``take`` maps version columns to output names. Versions of a
-    key must not lie inside one another, which a Type 2 merge guarantees (see :func:`nested_versions`).
-    Events that match no version keep NULLs; no event is ever repeated.
+    ``keys`` are named alike on both sides; ``take`` maps version columns to output names. A version that ends
+    before it begins, or has no end where ends are asked for, matches nothing and hides nothing. Where a newer
+    version ends before an older one does, the older one is valid again after it. Events that match no version
+    keep NULLs; no event is ever repeated.
     """
     needed = [*keys, valid_from, *([valid_to] if valid_to else []), tie_break, *take]
     missing = [c for c in needed if c not in versions.columns]
@@ -46,19 +47,59 @@ def asof_join(
         F.struct(*[F.col(c).alias(name) for c, name in take.items()]).alias("_take"),
     )
     version_keys = [f"_v_{k}" for k in keys]
-    most = largest_group(slim.select(*version_keys), version_keys)
-    if most <= few_versions:
-        return _compare(events, slim, keys, event_time, valid_to is not None, list(take.values()))
-    return _merge(events, slim, keys, event_time, valid_to is not None, list(take.values()), hot_limit)
+    if valid_to:
+        slim = slim.where(F.col("_to") >= F.col("_from"))
+    slim = slim.withColumn("_after", F.lit(False))
+    earlier = W.partitionBy(*version_keys).orderBy("_from", "_tie").rowsBetween(W.unboundedPreceding, -1)
+    inside = F.max("_to").over(earlier) > F.col("_to") if valid_to else F.lit(False)
+    sizes = slim.select(*version_keys, F.coalesce(inside, F.lit(False)).alias("_inside")).groupBy(*version_keys)
+    most, nested = sizes.agg(F.count("*").alias("n"), F.max("_inside").alias("i")).agg(F.max("n"), F.max("i")).first()
+    if nested:
+        slim = _unnested(slim, version_keys, inside)
+    # Events that lack a key or a time cannot match; they are kept out of the shuffle, where they would be one hot key.
+    lacking = F.col(event_time).isNull()
+    for key in keys:
+        lacking = lacking | F.col(key).isNull()
+    unmatched = events.where(lacking).select("*", *_nulls(slim, list(take.values())))
+    complete = events.where(~lacking)
+    if (most or 0) * (2 if nested else 1) <= few_versions:
+        matched = _compare(complete, slim, keys, event_time, valid_to is not None, list(take.values()))
+    else:
+        matched = _merge(complete, slim, keys, event_time, valid_to is not None, list(take.values()), hot_limit)
+    return matched.unionByName(unmatched)
+
+
+def _unnested(slim, version_keys, inside):
+    """Versions of keys where one lies inside another, cut at every begin and end; the newest one holds between.
+
+    ``_after``: the piece begins just after ``_from``, where a version ended. A piece without a version has a
+    NULL ``_to`` and holds for no event. Keys without such versions stay as they are.
+    """
+    flagged = slim.withColumn("_inside", F.coalesce(inside, F.lit(False))).withColumn("_any", F.max("_inside").over(W.partitionBy(*version_keys)))
+    plain = flagged.where(~F.col("_any")).select(*slim.columns)
+    cut = flagged.where("_any").select(*slim.columns)
+    renamed = {k: f"_c{i}" for i, k in enumerate(version_keys)}
+    begins = cut.select(*[F.col(k).alias(c) for k, c in renamed.items()], F.col("_from").alias("_at"), F.lit(False).alias("_side"))
+    ends = cut.select(*[F.col(k).alias(c) for k, c in renamed.items()], F.col("_to").alias("_at"), F.lit(True).alias("_side"))
+    points = begins.unionByName(ends).distinct()
+    holds = (F.col("_from") <= F.col("_at")) & F.when(F.col("_side"), F.col("_to") > F.col("_at")).otherwise(F.col("_to") >= F.col("_at"))
+    for k, c in renamed.items():
+        holds = holds & (F.col(k) == F.col(c))
+    newest = F.max_by(F.struct("_to", "_tie", "_take"), F.struct("_from", "_tie")).alias("_v")
+    pieces = points.join(cut, holds, "left").groupBy(*renamed.values(), "_at", "_side").agg(newest)
+    return plain.unionByName(
+        pieces.select(*[F.col(c).alias(k) for k, c in renamed.items()], F.col("_at").alias("_from"), "_v._to", "_v._tie", "_v._take", F.col("_side").alias("_after"))
+    )
 
 
 def _compare(events, slim, keys, event_time, bounded, names):
     """Few versions per key: equality on the key, the interval as a residual condition."""
     version_keys = [f"_v_{k}" for k in keys]
-    following = F.lead("_from").over(W.partitionBy(*version_keys).orderBy("_from", "_tie"))
-    trimmed = slim.withColumn("_next", following)
+    line = W.partitionBy(*version_keys).orderBy("_from", "_after", "_tie")
+    trimmed = slim.withColumn("_next", F.lead("_from").over(line)).withColumn("_next_after", F.lead("_after").over(line))
     at = F.col(event_time)
-    condition = (at >= F.col("_from")) & (F.col("_next").isNull() | (at < F.col("_next")))
+    begun = (at > F.col("_from")) | ((at == F.col("_from")) & ~F.col("_after"))
+    condition = begun & (F.col("_next").isNull() | (at < F.col("_next")) | ((at == F.col("_next")) & F.col("_next_after")))
     if bounded:
         condition = condition & (at <= F.col("_to"))
     for key, version_key in zip(keys, version_keys):
@@ -86,25 +127,19 @@ def _merge(events, slim, keys, event_time, bounded, names, hot_limit):
     all_versions = slim.select(
         *[f"_v_{k}" for k in keys],
         F.col("_from").alias("_at"),
-        F.lit(0).alias("_kind"),
+        F.when(F.col("_after"), 2).otherwise(0).alias("_kind"),
         "_tie",
         F.lit(0).cast("long").alias("_spread"),
         payload.alias("_version"),
         F.lit(None).alias("_event"),
     )
-    # Events that lack a key or a time cannot match; they skip the sort, where they would be one hot key.
-    complete = F.col("_at").isNotNull()
-    for key in keys:
-        complete = complete & F.col(f"_v_{key}").isNotNull()
-    unmatched = all_events.where(~complete).select("_event.*", *_nulls(slim, names))
-    line = all_versions.unionByName(all_events.where(complete))
+    line = all_versions.unionByName(all_events)
     order = ["_at", "_kind", "_tie", "_spread"]
     carried = carry_forward(line, [f"_v_{k}" for k in keys], order, "_version", "_held", hot_limit)
     valid = F.lit(True) if not bounded else F.col("_at") <= F.col("_held._to")
-    matched = carried.where("_kind = 1").select(
+    return carried.where("_kind = 1").select(
         "_event.*", *[F.when(valid, F.col(f"_held._take.{n}")).alias(n) for n in names]
     )
-    return matched.unionByName(unmatched)
 
 
 def _nulls(slim, names):

@@ -47,12 +47,13 @@ def classify(
 ) -> DataFrame:
     """Status of every natural key: one full outer join of key and hash, nothing wider is shuffled.
 
-    ``arrivals`` is how often the key came in, 0 for absent keys.
+    ``arrivals`` is how often the key came in, 0 for absent keys; ``_since`` is when the version held began.
     """
     held = existing.where("is_current").select(
         *[F.col(k).alias(f"_h_{k}") for k in natural_key],
         row_hash(existing, tracked).alias("_h_hash"),
         F.lit(True).alias("_held"),
+        F.col("effective_date").alias("_since"),
     )
     came = (
         incoming.select(*natural_key, row_hash(incoming, tracked).alias("_hash"))
@@ -67,7 +68,7 @@ def classify(
         .otherwise(CHANGED)
     )
     keys = [F.when(F.col("_came").isNotNull(), F.col(k)).otherwise(F.col(f"_h_{k}")).alias(k) for k in natural_key]
-    return joined.select(*keys, status.alias("status"), F.coalesce("_came", F.lit(0)).alias("arrivals"))
+    return joined.select(*keys, status.alias("status"), F.coalesce("_came", F.lit(0)).alias("arrivals"), "_since")
 
 
 def initial_load(
@@ -102,7 +103,8 @@ def scd2_merge(
 
     Attributes outside ``tracked`` do not open a version and are not applied to an unchanged row. Keys
     absent from ``incoming`` stay current. ``first_version_effective`` dates the first version of keys
-    that appear later; by default it is the batch date. A key that comes in twice is an error.
+    that appear later; by default it is the batch date. A key that comes in twice is an error, and so is a
+    batch date before the start of a version that the batch would close.
     ``enrich`` adds columns derived from a row; it is applied to the rows that open versions only.
     """
     _check(incoming, natural_key, tracked)
@@ -115,8 +117,11 @@ def scd2_merge(
 
     # Key and status only; the counts and the keys to number are both read from it.
     statuses = cut_lineage(classify(existing, incoming, natural_key, tracked))
-    counted = statuses.groupBy("status").agg(F.count("*").alias("keys"), F.max("arrivals").alias("most")).collect()
+    counted = statuses.groupBy("status").agg(F.count("*").alias("keys"), F.max("arrivals").alias("most"), F.max("_since").alias("since")).collect()
     _reject_repeats(max((r["most"] for r in counted), default=0))
+    closing_since = max((r["since"] for r in counted if r["status"] == CHANGED and r["since"]), default=None)
+    if closing_since and batch_date < closing_since:
+        raise ValueError(f"the batch of {batch_date} would close a version that began on {closing_since}")
     counts = {r["status"]: r["keys"] for r in counted}
     held = existing.agg(F.max(surrogate_key).alias("sk"), F.count_if(~F.col("is_current")).alias("history")).first()
 

@@ -124,7 +124,7 @@ def scd2_merge_stats(t: Tables) -> DataFrame:
          FROM day2 n FULL JOIN dim1 o ON n.c_custkey = o.c_custkey""",
 )
 def scd2_classify(t: Tables) -> DataFrame:
-    return scd2.classify(_load(t), day2(t), KEY, TRACKED).drop("arrivals")
+    return scd2.classify(_load(t), day2(t), KEY, TRACKED).drop("arrivals", "_since")
 
 
 @query(

@@ -148,11 +148,11 @@ def stage_counts(t: Tables) -> DataFrame:
 )
 def gold_counts(t: Tables) -> DataFrame:
     """Several artifacts may report to one source; each keeps its own count."""
-    events = t.events.where(F.col("event_type") == "purchase").select(
+    events = t.events.select(
         "event_id",
         F.col("ts").cast("date").cast("string").alias("batch_id"),
         F.concat(F.lit("src"), (F.col("user_id") % 8).cast("string")).alias("source_name"),
-        F.lit("gold_finished").alias("event_type"),
+        F.when(F.col("event_type") == "purchase", "gold_finished").otherwise(F.col("event_type")).alias("event_type"),
         F.col("event_id").alias("row_count"),
         F.concat(F.lit('{"artifact": "'), F.get_json_object("props", "$.k"), F.lit('"}')).alias("payload"),
         F.col("ts").alias("occurred_at"),
@@ -263,12 +263,13 @@ def schema_drift(t: Tables) -> DataFrame:
 
 @query(
     "latest_schema_hashes",
-    f"""WITH {_EVENTS_SQL} SELECT source_name, max_by(md5(batch_id), registered_at) AS schema_hash FROM files
-        WHERE status IN ('ingested', 'transforming', 'transformed', 'failed') AND registered_at IS NOT NULL GROUP BY source_name""",
+    f"""WITH {_EVENTS_SQL} SELECT source_name, schema_hash FROM (
+          SELECT source_name, md5(batch_id) AS schema_hash, row_number() OVER (PARTITION BY source_name ORDER BY registered_at DESC NULLS LAST, batch_id DESC) AS rn
+          FROM files WHERE status IN ('ingested', 'transforming', 'transformed', 'failed')) WHERE rn = 1""",
 )
 def latest_schema_hashes(t: Tables) -> DataFrame:
     files = lineage.file_states(_events(t)).withColumn("schema_hash", F.md5("batch_id"))
-    return lineage.latest_schema_hashes(files.where(F.col("registered_at").isNotNull()))
+    return lineage.latest_schema_hashes(files)
 
 
 @query(

@@ -56,37 +56,37 @@ def row_functions(t: Tables) -> DataFrame:
     return derived.select("o_orderkey", "size_class")
 
 
-_DEAR = "(SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 10 = 0 THEN 500000 ELSE 0 END AS o_custkey FROM orders WHERE o_totalprice > 300000)"
+_BOUGHT = "(SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 10 = 0 THEN 500000 ELSE 0 END AS o_custkey FROM orders)"
 
 
-def _dear(t: Tables) -> DataFrame:
+def _bought(t: Tables) -> DataFrame:
     key = F.col("o_custkey") + F.when(F.col("o_orderkey") % 10 == 0, 500000).otherwise(0)
-    return t.orders.where(F.col("o_totalprice") > 300000).select("o_orderkey", key.alias("o_custkey"))
+    return t.orders.select("o_orderkey", key.alias("o_custkey"))
 
 
 def _join_query(how: str, sql_join: str) -> None:
     @query(
         f"joins_{how}",
-        f"SELECT c_custkey, c_name, o_orderkey, o_custkey FROM customer {sql_join} JOIN {_DEAR} o ON c_custkey = o_custkey",
+        f"SELECT c_custkey, c_name, o_orderkey, o_custkey FROM customer {sql_join} JOIN {_BOUGHT} o ON c_custkey = o_custkey",
         sparse=("c_custkey", "o_orderkey", "o_custkey"),
     )
     def joined(t: Tables) -> DataFrame:
         on = F.col("c_custkey") == F.col("o_custkey")
-        return t.customer.select("c_custkey", "c_name").join(_dear(t), on, how)
+        return t.customer.select("c_custkey", "c_name").join(_bought(t), on, how)
 
 
 for _how, _sql in (("inner", "INNER"), ("left", "LEFT"), ("right", "RIGHT"), ("full_outer", "FULL")):
     _join_query(_how, _sql)
 
 
-@query("joins_semi", f"SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM {_DEAR} o WHERE c_custkey = o_custkey)")
+@query("joins_semi", f"SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM {_BOUGHT} o WHERE c_custkey = o_custkey)")
 def joins_semi(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", "c_name").join(_dear(t), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    return t.customer.select("c_custkey", "c_name").join(_bought(t), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
 
 
-@query("joins_anti", f"SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM {_DEAR} o WHERE c_custkey = o_custkey)")
+@query("joins_anti", f"SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM {_BOUGHT} o WHERE c_custkey = o_custkey)")
 def joins_anti(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", "c_name").join(_dear(t), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    return t.customer.select("c_custkey", "c_name").join(_bought(t), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
 
 
 @query(
@@ -268,16 +268,16 @@ def rolling_mean_hot_keys(t: Tables) -> DataFrame:
 
 _ASOF_SQL = """
 WITH views AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'view'),
-     buys AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'purchase')
+     others AS (SELECT user_id, ts, event_id FROM events WHERE event_type IS DISTINCT FROM 'view')
 SELECT b.event_id, v.event_id AS last_view
-FROM buys b ASOF LEFT JOIN views v ON b.user_id = v.user_id AND b.ts >= v.ts"""
+FROM others b ASOF LEFT JOIN views v ON b.user_id = v.user_id AND b.ts >= v.ts"""
 
 
 def _last_view(t: Tables, **limits) -> DataFrame:
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    buys = rows.where(F.col("event_type") == "purchase").drop("event_type")
+    others = rows.where(~F.col("event_type").eqNullSafe("view")).drop("event_type")
     views = rows.where(F.col("event_type") == "view").drop("event_type")
-    joined = asof_join(buys, views, ["user_id"], "ts", "ts", None, {"event_id": "last_view"}, "event_id", **limits)
+    joined = asof_join(others, views, ["user_id"], "ts", "ts", None, {"event_id": "last_view"}, "event_id", **limits)
     return joined.select("event_id", "last_view")
 
 
@@ -296,6 +296,31 @@ def asof_events_hot_keys(t: Tables) -> DataFrame:
     return _last_view(t, few_versions=0, hot_limit=10)
 
 
+_NESTED_SQL = """
+WITH v AS (SELECT user_id, ts, event_id, ts + to_hours(CAST(event_id % 90 - 5 AS INTEGER)) AS until FROM events WHERE event_type = 'view')
+SELECT e.event_id, (SELECT max_by(v.event_id, ROW(v.ts, v.event_id)) FROM v WHERE v.user_id = e.user_id AND v.ts <= e.ts AND e.ts <= v.until) AS valid_view
+FROM events e"""
+
+
+def _valid_view(t: Tables, **limits) -> DataFrame:
+    """Versions that lie inside one another, overlap, leave gaps or end before they begin."""
+    rows = t.events.select("user_id", "ts", "event_id")
+    hours = F.make_dt_interval(hours=(F.col("event_id") % 90 - 5).cast("int"))
+    views = t.events.where(F.col("event_type") == "view").select("user_id", "ts", "event_id", (F.col("ts") + hours).alias("until"))
+    joined = asof_join(rows, views, ["user_id"], "ts", "ts", "until", {"event_id": "valid_view"}, "event_id", **limits)
+    return joined.select("event_id", "valid_view")
+
+
+@query("asof_nested_versions", _NESTED_SQL, sparse=("valid_view",))
+def asof_nested_versions(t: Tables) -> DataFrame:
+    return _valid_view(t)
+
+
+@query("asof_nested_many_versions", _NESTED_SQL, sparse=("valid_view",))
+def asof_nested_many_versions(t: Tables) -> DataFrame:
+    return _valid_view(t, few_versions=0)
+
+
 @query(
     "previous_value_hot_keys",
     """SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_type FROM events""",

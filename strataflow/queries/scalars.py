@@ -156,15 +156,14 @@ def row_hash(t: Tables) -> DataFrame:
     "schema_hash",
     """WITH c AS (SELECT DISTINCT o_orderpriority AS source_name, 'c' || CAST(o_custkey % 40 AS VARCHAR) AS name,
                          CASE WHEN o_custkey % 3 = 0 THEN 'bigint' ELSE 'string' END AS type
-                  FROM orders WHERE o_custkey % 40 < 20)
+                  FROM orders)
        SELECT source_name, md5(string_agg(name || ':' || type, chr(10) ORDER BY name || ':' || type)) AS schema_hash
        FROM c GROUP BY source_name""",
 )
 def schema_hash(t: Tables) -> DataFrame:
     key = F.col("o_custkey")
     columns = (
-        t.orders.where(key % 40 < 20)
-        .select(
+        t.orders.select(
             F.col("o_orderpriority").alias("source_name"),
             F.concat(F.lit("c"), (key % 40).cast("string")).alias("name"),
             F.when(key % 3 == 0, "bigint").otherwise("string").alias("type"),

@@ -22,7 +22,7 @@ ORDER_COLUMNS = {"o_orderkey": "int", "o_custkey": "int", "o_orderdate": "date",
 _ORDER_SQL = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 AND o_orderkey % 4 <> 3 THEN o_custkey END AS o_custkey,
        CASE WHEN o_orderkey % 5 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS o_orderdate, o_totalprice,
-       o_orderstatus = 'F' AS flag, CASE WHEN o_orderkey % 6 <> 0 THEN 'a "quoted", note' END AS note
+       o_orderstatus = 'F' AS flag, CASE WHEN o_orderkey % 6 = 1 THEN 'two' || chr(10) || 'lines, "quoted"' WHEN o_orderkey % 6 <> 0 THEN 'a "quoted", note' END AS note
 FROM orders"""
 
 
@@ -40,7 +40,7 @@ def _messy_orders(t: Tables) -> DataFrame:
         F.when(key % 5 == 0, F.lit("someday")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("o_orderdate"),
         F.col("o_totalprice").cast("string").alias("o_totalprice"),
         (F.col("o_orderstatus") == "F").cast("string").alias("flag"),
-        F.when(key % 6 == 0, F.lit("missing")).otherwise(F.lit('a "quoted", note')).alias("note"),
+        F.when(key % 6 == 0, F.lit("missing")).when(key % 6 == 1, F.lit('two\nlines, "quoted"')).otherwise(F.lit('a "quoted", note')).alias("note"),
     )
 
 
@@ -48,7 +48,7 @@ def _messy_orders(t: Tables) -> DataFrame:
 def csv_coerce(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     _messy_orders(t).write.option("header", True).option("escape", '"').csv(path)
-    return as_text(readers.read_csv(t.spark, path, ORDER_COLUMNS, na_values=["missing"]), "o_orderdate")
+    return as_text(readers.read_csv(t.spark, path, ORDER_COLUMNS, na_values=["missing"], multiline=True), "o_orderdate")
 
 
 @query(
@@ -176,12 +176,22 @@ def dq_report_sink(t: Tables) -> DataFrame:
 # --- Fingerprints and manifests ---
 
 
-@query("fingerprint_files")
+@query(
+    "fingerprint_files",
+    """SELECT CAST(p_partkey % 4 AS BIGINT) AS bucket, CAST(sum(strlen(line) + 1) AS BIGINT) AS size_bytes,
+              md5(string_agg(line || chr(10), '' ORDER BY p_partkey)) AS checksum_md5, FALSE AS refused
+       FROM (SELECT p_partkey, concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size, CAST(round(p_retailprice * 100) AS BIGINT)) AS line FROM part)
+       GROUP BY p_partkey % 4""",
+)
 def fingerprint_files(t: Tables) -> DataFrame:
-    """Files written from the suppliers and parts of this run; names and digests differ by run."""
+    """Files written from the parts of this run, one per bucket, their lines in the order of the key."""
     path = scratch_path(t.spark, "files")
-    t.part.select("p_partkey", "p_name").repartition(4, "p_partkey").write.option("header", True).csv(path)
-    return readers.file_fingerprints(t.spark, path).where(F.col("file_name").startswith("part-")).drop("modified_at")
+    columns = [c if c != "p_retailprice" else F.round(F.col(c) * 100).cast("long") for c in t.part.columns]
+    lines = t.part.select((F.col("p_partkey") % 4).alias("bucket"), "p_partkey", F.concat_ws("|", *columns).alias("line"))
+    dealt = lines.repartition(4, "bucket").sortWithinPartitions("bucket", "p_partkey")
+    dealt.select("bucket", "line").write.partitionBy("bucket").text(path)
+    found = readers.file_fingerprints(t.spark, path).where(F.col("file_name").startswith("part-"))
+    return found.select(F.regexp_extract("file_path", "bucket=(\\d+)", 1).cast("long").alias("bucket"), "size_bytes", "checksum_md5", "refused")
 
 
 @query(
@@ -192,17 +202,13 @@ def fingerprint_files(t: Tables) -> DataFrame:
 )
 def fingerprint_tables(t: Tables) -> DataFrame:
     """A table's fingerprint ignores row order and notices any other difference."""
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    rows = t.lineitem
     most = rows.agg(F.max(F.struct(*rows.columns)).alias("r"))
     twice = rows.unionByName(most.select("r.*"))
-    last = most.select(*[F.col(f"r.{c}").alias(f"_{c}") for c in rows.columns])
-    is_last = F.lit(True)
-    for c in rows.columns:
-        is_last = is_last & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    marked = rows.join(F.broadcast(last), [F.col("l_orderkey") == F.col("_l_orderkey")], "left")
-    changed = marked.select(
-        "l_orderkey", "l_linenumber", F.when(is_last, F.col("l_partkey") + 1).otherwise(F.col("l_partkey")).alias("l_partkey"), "l_extendedprice"
-    )
+    last = F.broadcast(most.withColumnRenamed("r", "_last"))  # one row
+    is_last = F.struct(*rows.columns).eqNullSafe(F.col("_last"))
+    marked = rows.join(last, rows["l_orderkey"] == F.col("_last.l_orderkey"), "left")
+    changed = marked.withColumn("l_partkey", F.when(is_last, F.col("l_partkey") + 1).otherwise(F.col("l_partkey"))).drop("_last")
     base = content_fingerprint(rows).select(F.col("fingerprint").alias("base"), F.lit(1).alias("_one"))
     variants = {"reordered": rows.repartition(5, "l_partkey"), "one row twice": twice, "one value changed": changed}
     found = union_by_name([content_fingerprint(v).withColumn("variant", F.lit(n)) for n, v in variants.items()])

@@ -21,6 +21,7 @@ class Source:
     tracked_columns: tuple[str, ...] = ()
     pii_columns: tuple[str, ...] = ()
     expected_min_rows: int | None = None
+    multiline: bool = False  # values may hold line breaks inside quotes
 
     def __post_init__(self) -> None:
         struct_type(self.schema)

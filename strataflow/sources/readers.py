@@ -7,12 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.functions.hashing import content_fingerprint
 from strataflow.sources.catalogue import Source
 from strataflow.sources.schema import coerce
 
 
+_MALFORMED = "_malformed"
+MAX_FILE_BYTES = 2**31 - 1  # of a file whose digest is taken; what a single value can hold
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -24,8 +29,32 @@ def read_csv(
 
     ``multiline`` allows line breaks inside quotes, but then each file is read by a single task.
     """
-    raw = spark.read.options(header=True, quote='"', escape='"', mode="PERMISSIVE", multiLine=multiline).csv(path)
-    return coerce(raw, schema or {}, na_values)
+    return csv_parts(spark, path, schema, na_values, multiline)[0]
+
+
+def csv_parts(
+    spark: SparkSession,
+    path: str,
+    schema: Mapping[str, str] | None = None,
+    na_values: Sequence[str] = (),
+    multiline: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV, and apart from them the text of those rows that hold more values than the header.
+
+    A row with fewer values is filled with NULLs. No value is dropped: a row that does not fit is set aside
+    whole, as ``malformed``.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": multiline, "columnPruning": False}
+    names = spark.read.options(**options).csv(path).columns
+    texts = [T.StructField(name, T.StringType()) for name in names]
+    whole = T.StructType([*texts, T.StructField(_MALFORMED, T.StringType())])
+    raw = spark.read.options(columnNameOfCorruptRecord=_MALFORMED, enforceSchema=True, **options).schema(whole).csv(path)
+    # Spark also marks rows that are too short; the marked text, read with one more column, tells them apart.
+    wider = T.StructType([*[T.StructField(f"_{i}", T.StringType()) for i in range(len(names))], T.StructField("_more", T.StringType())])
+    again = F.from_csv(_MALFORMED, wider.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"})
+    parted = raw.withColumn("_too_long", F.coalesce(again["_more"].isNotNull(), F.lit(False)))
+    rows = coerce(parted.where("NOT _too_long").select(*[F.col(f"`{n}`") for n in names]), schema or {}, na_values)
+    return rows, parted.where("_too_long").select(F.col(_MALFORMED).alias("malformed"))
 
 
 def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
@@ -33,23 +62,21 @@ def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -
 
     Partition values stay text: a batch id that looks like a date must not turn into one.
     """
-    reader = spark.read
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(inference)
-    spark.conf.set(inference, "false")
-    try:
-        return reader.parquet(path)
-    finally:
-        spark.conf.set(inference, before)
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    found = reader.parquet(path)
+    stored = {f.name for f in spark.read.option("recursiveFileLookup", "true").parquet(path).schema}
+    named = [f for f in found.schema if f.name not in stored]
+    if all(isinstance(f.dataType, T.StringType) for f in named):
+        return found
+    texts = T.StructType([T.StructField(f.name, T.StringType()) if f in named else f for f in found.schema])
+    return reader.schema(texts).parquet(path)
 
 
 def read_raw(spark: SparkSession, source: Source, raw_root: str) -> DataFrame:
     """The declared source in its declared format."""
     path = source.path(raw_root)
     if source.format == "csv":
-        return read_csv(spark, path, source.schema)
+        return read_csv(spark, path, source.schema, multiline=source.multiline)
     if source.format == "parquet":
         return coerce(read_parquet(spark, path), source.schema)
     if source.format == "json":
@@ -73,16 +100,21 @@ def load_source(spark: SparkSession, source: Source, raw_root: str) -> Load:
     return Load(source, rows, identity["row_count"], identity["fingerprint"])
 
 
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """S8 at file grain: name, size, md5 and modification time of every file under ``path``.
 
-    Each file is read whole by one task, so this is for files below 2 GB, such as vendor deliveries;
-    tables of any size are identified by :func:`content_fingerprint`.
+    A digest needs the file as one value, so files above ``max_bytes`` are named with ``refused`` set and
+    without a digest, and their content is not read; tables of any size are identified by
+    :func:`content_fingerprint`.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(
+    named = [
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("path").alias("file_path"),
         F.col("length").alias("size_bytes"),
-        F.md5("content").alias("checksum_md5"),
-        F.col("modificationTime").alias("modified_at"),
+    ]
+    fits = files.where(F.col("length") <= max_bytes).select(*named, F.md5("content").alias("checksum_md5"), "modificationTime")
+    large = files.where(F.col("length") > max_bytes).select(*named, F.lit(None).cast("string").alias("checksum_md5"), "modificationTime")
+    return fits.unionByName(large).select(
+        "file_name", "file_path", "size_bytes", "checksum_md5", F.col("checksum_md5").isNull().alias("refused"), F.col("modificationTime").alias("modified_at")
     )

@@ -146,11 +146,14 @@ def player_valuation_rolling_avg(
 ) -> DataFrame:
     """G-4: mean of the last 90 observations (rows, not days) with the version valid on the day.
 
-    ``tie_break`` names columns that order several observations of one player on one date.
+    ``tie_break`` names columns that order several observations of one player on one date; what they leave
+    open, the value and then the other columns decide, so that the order is total but for equal rows.
     """
     observed = valuations.where(F.col("market_value_in_eur").isNotNull() & F.col("date").isNotNull())
-    slim = observed.select("player_id", "date", "market_value_in_eur", *tie_break)
-    order = [F.col("date").asc(), *[F.col(c).asc() for c in tie_break]]
+    named = ["player_id", "date", *tie_break, "market_value_in_eur"]
+    others = sorted(c for c in observed.columns if c not in named)
+    slim = observed.select(*named, *others)
+    order = [F.col(c).asc() for c in [*named[1:], *others]]
     hot = {k: v for k, v in limits.items() if k == "hot_limit"}
     rolled = rolling_mean(
         slim,

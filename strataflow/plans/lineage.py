@@ -248,32 +248,32 @@ def reconcile(files: DataFrame) -> DataFrame:
             bronze > source,
             "CRITICAL",
             "bronze_inflated",
-            F.format_string("Bronze rows (%d) > source rows (%d)", bronze, source),
+            F.format_string("landed %d rows out of a delivery of %d", bronze, source),
         ),
         finding(
             silver != expected,
             "CRITICAL",
             "row_count_drift",
-            F.format_string("Silver rows (%d) != bronze (%d) - rejected (%d)", silver, bronze, rejected),
+            F.format_string("refined %d rows, while %d landed and %d were set aside", silver, bronze, rejected),
         ),
         finding(
             (bronze > 0) & (silver == 0),
             "CRITICAL",
             "complete_silver_loss",
-            F.format_string("All %d Bronze rows lost before Silver", bronze),
+            F.format_string("of %d landed rows none was refined", bronze),
         ),
         finding(
             (bronze > 0) & (F.when(bronze > 0, rate) > HIGH_REJECT_RATE),
             "WARN",
             "high_reject_rate",
-            F.format_string("DQ rejected %d of %d rows", rejected, bronze),
+            F.format_string("%d rows set aside out of %d", rejected, bronze),
         ),
-        finding(bronze == 0, "WARN", "empty_source_file", F.lit("Source file had 0 rows in Bronze")),
+        finding(bronze == 0, "WARN", "empty_source_file", F.lit("the delivery was empty")),
         finding(
             ~F.col("status").isin(*TERMINAL),
             "WARN",
             "non_terminal_status",
-            F.format_string("File did not reach a terminal status (still %s)", F.col("status")),
+            F.format_string("the file stopped at %s", F.col("status")),
         ),
     )
     return (

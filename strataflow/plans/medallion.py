@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.functions.hashing import content_fingerprint, schema_hash, tokenize_columns
-from strataflow.functions.scalars import literal_like
+from strataflow.functions.scalars import day_of, literal_like
 from strataflow.operators import quality
 from strataflow.operators.relational import union_by_name
 from strataflow.plans import gold, lineage, quality_report, star
@@ -25,7 +25,6 @@ from strataflow.sources import snapshots
 from strataflow.sources.catalogue import ALL_SOURCES, QUALITY_RULES, Source, by_name, foreign_key_targets, rules_for
 from strataflow.sources.readers import read_raw
 
-CALENDAR = (dt.date(2018, 1, 1), dt.date(2030, 12, 31))
 
 
 @dataclass(frozen=True)
@@ -208,6 +207,15 @@ def batch_before(spark: SparkSession, lake: Lake, layer: str, batch_id: str) ->
     return latest["batch_id"] if latest else None
 
 
+def _span(facts: Iterable[DataFrame], otherwise: dt.date) -> tuple[dt.date, dt.date]:
+    """First and last day of the facts."""
+    days = []
+    for table in facts:
+        day = day_of(table, "date")
+        days += [d for d in table.agg(F.min(day), F.max(day)).first() if d is not None]
+    return (min(days), max(days)) if days else (otherwise, otherwise)
+
+
 def refine_batch(
     spark: SparkSession,
     lake: Lake,
@@ -217,8 +225,12 @@ def refine_batch(
     salt: str | None = None,
     sources: Iterable[Source] = ALL_SOURCES,
     rules: Iterable[quality.Rule] = QUALITY_RULES,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, int]:
-    """Check the batch, set failing rows aside, and build dimensions and facts. Returns rows per table."""
+    """Check the batch, set failing rows aside, and build dimensions and facts. Returns rows per table.
+
+    ``calendar`` is the range of ``dim_date``; by default it spans the facts of the batch.
+    """
     ledger, silver = Ledger(spark, lake), lake.layer("silver")
     sources, rules = list(sources), list(rules)
     declared = by_name(sources)
@@ -253,7 +265,7 @@ def refine_batch(
             {
                 "dim_clubs": lambda: star.build_dim_clubs(clean["clubs"]),
                 "dim_competitions": lambda: star.build_dim_competitions(clean["competitions"]),
-                "dim_date": lambda: star.build_dim_date(spark, *CALENDAR),
+                "dim_date": lambda: star.build_dim_date(spark, *(calendar or _span([clean["games"], clean["appearances"]], batch_date))),
                 "dim_players": players,
                 "fact_games": lambda: star.build_fact_games(clean["games"]),
             }

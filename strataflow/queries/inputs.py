@@ -130,10 +130,10 @@ countries(raw_key, alpha2) AS (VALUES
   ('korea, south', 'KR'), ('spain', 'ES'))"""
 
 
-def dim_players(t: Tables) -> DataFrame:
+def dim_players(t: Tables, batch_date: dt.date = BATCH_DATE) -> DataFrame:
     """The dimension after both days; each day writes it and the next step reads what was written."""
-    first = cut_lineage(star.build_dim_players(players_day1(t), None, BATCH_DATE, PLAYERS_SOURCE).dimension)
-    return cut_lineage(star.build_dim_players(players_day2(t), first, BATCH_DATE, PLAYERS_SOURCE).dimension)
+    first = cut_lineage(star.build_dim_players(players_day1(t), None, batch_date, PLAYERS_SOURCE).dimension)
+    return cut_lineage(star.build_dim_players(players_day2(t), first, batch_date, PLAYERS_SOURCE).dimension)
 
 
 DIM_PLAYERS_SQL = f"""{PLAYERS_SQL}, {POSITION_SQL},

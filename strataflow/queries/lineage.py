@@ -276,16 +276,16 @@ def latest_schema_hashes(t: Tables) -> DataFrame:
     "reconcile",
     f"""WITH {_EVENTS_SQL},
         findings AS (
-          SELECT *, 'CRITICAL' AS severity, 'bronze_inflated' AS code, 'Bronze rows (' || bronze_row_count || ') > source rows (' || source_row_count || ')' AS message
+          SELECT *, 'CRITICAL' AS severity, 'bronze_inflated' AS code, 'landed ' || bronze_row_count || ' rows out of a delivery of ' || source_row_count AS message
           FROM files WHERE bronze_row_count > source_row_count
-          UNION ALL SELECT *, 'CRITICAL', 'row_count_drift', 'Silver rows (' || silver_row_count || ') != bronze (' || bronze_row_count || ') - rejected (' || rejected_row_count || ')'
+          UNION ALL SELECT *, 'CRITICAL', 'row_count_drift', 'refined ' || silver_row_count || ' rows, while ' || bronze_row_count || ' landed and ' || rejected_row_count || ' were set aside'
           FROM files WHERE silver_row_count <> bronze_row_count - rejected_row_count
-          UNION ALL SELECT *, 'CRITICAL', 'complete_silver_loss', 'All ' || bronze_row_count || ' Bronze rows lost before Silver'
+          UNION ALL SELECT *, 'CRITICAL', 'complete_silver_loss', 'of ' || bronze_row_count || ' landed rows none was refined'
           FROM files WHERE bronze_row_count > 0 AND silver_row_count = 0
-          UNION ALL SELECT *, 'WARN', 'high_reject_rate', 'DQ rejected ' || rejected_row_count || ' of ' || bronze_row_count || ' rows'
+          UNION ALL SELECT *, 'WARN', 'high_reject_rate', rejected_row_count || ' rows set aside out of ' || bronze_row_count
           FROM files WHERE bronze_row_count > 0 AND CAST(rejected_row_count AS DOUBLE) / bronze_row_count > 0.05
-          UNION ALL SELECT *, 'WARN', 'empty_source_file', 'Source file had 0 rows in Bronze' FROM files WHERE bronze_row_count = 0
-          UNION ALL SELECT *, 'WARN', 'non_terminal_status', 'File did not reach a terminal status (still ' || status || ')'
+          UNION ALL SELECT *, 'WARN', 'empty_source_file', 'the delivery was empty' FROM files WHERE bronze_row_count = 0
+          UNION ALL SELECT *, 'WARN', 'non_terminal_status', 'the file stopped at ' || status
           FROM files WHERE status NOT IN ('transformed', 'failed'))
         SELECT batch_id, source_name, source_file_path, severity, code, message FROM findings""",
 )

@@ -1,82 +1,59 @@
-"""Three days of a small football data set, written as raw CSV deliveries."""
+"""Three days of an invented league, written as raw CSV deliveries.
+
+Two countries, five clubs, ten players who mostly play every match of their club, five matches before the
+first day and two before the second. Goals are listed by match; all else follows from a rule.
+"""
 
 import csv
 from pathlib import Path
 
 from strataflow.sources.catalogue import ALL_SOURCES
 
-CLUBS = [
-    (1, "Arsenal FC", "GB1"),
-    (2, "Chelsea FC", "GB1"),
-    (3, "Real Madrid", "ES1"),
-    (4, "FC Barcelona", "ES1"),
-    (5, "FC Bayern München", "L1"),
-]
-COMPETITIONS = [("GB1", "Premier League", "England"), ("ES1", "La Liga", "Spain"), ("L1", "Bundesliga", "Germany")]
+COMPETITIONS = [("NO", "Northern League", "Norway"), ("PT", "Coastal Cup", "Portugal")]
+CLUBS = [(11, "Fjordvik", "NO"), (12, "Granheim", "NO"), (13, "Solnes", "NO"), (21, "Marazul", "PT"), (22, "Portovelho", "PT")]
 # player, name, club, country, position label, market value in millions
 PLAYERS = [
-    (1001, "Bukayo Saka", 1, "England", "RW", 120),
-    (1002, "Martin Ødegaard", 1, "Norway", "CAM", 100),
-    (1003, "Reece James", 2, "England", "RB", 65),
-    (1004, "David Raya", 1, "Spain", "GK", 35),
-    (1005, "Robert Sánchez", 2, "Spain", "Goalkeeper", 12),
-    (1006, "Vinícius Júnior", 3, "Brazil", "LW", 200),
-    (1007, "Jude Bellingham", 3, "England, United Kingdom", "CAM", 180),
-    (1008, "Robert Lewandowski", 4, "Poland", "ST", 30),
-    (1009, "Pedri", 4, "Spain", "CM", 100),
-    (1010, "Harry Kane", 5, "England", "ST", 90),
-    (1011, "Joshua Kimmich", 5, "Germany", "CDM", 60),
-    (1012, "Manuel Neuer", 5, "Germany", "GK", 6),
+    (301, "Aksel Tind", 11, "Norway", "striker", 40),
+    (302, "Bo Lyng", 11, "Sweden", "CAM", 25),
+    (303, "Carl Myhre", 12, "Norway", "GK", 8),
+    (304, "Dag Foss", 12, "Denmark", "ST", 31),
+    (305, "Eirik Nes", 13, "Norway", "CDM", 14),
+    (306, "Finn Ask", 13, "Atlantis", "LW", 22),
+    (401, "Gil Pombo", 21, "Portugal", "ST", 55),
+    (402, "Hugo Vaz", 21, "Brazil", "CM", 18),
+    (403, "Ivo Tello", 22, "Portugal", "GK", 5),
+    (404, "Jaime Rua", 22, "Spain", "RW", 37),
 ]
-# game, competition, date, home, away, home goals, away goals
+MOVED, RELABELLED, REVALUED, ABSENT, UNKNOWN = 304, 403, 401, 305, 777
+# game, competition, date, home, away, home goals, away goals (None: not played)
 GAMES = [
-    (5001, "GB1", "2024-11-09", 1, 2, 2, 0),
-    (5002, "GB1", "2024-11-23", 2, 1, 1, 1),
-    (5003, "ES1", "2024-11-10", 3, 4, 3, 2),
-    (5004, "ES1", "2024-11-23", 4, 3, 1, 1),
-    (5005, "L1", "2024-11-09", 5, 1, 4, 1),
-    (5006, "L1", "2024-11-23", 5, 3, 2, 2),
+    (71, "NO", "2016-03-06", 11, 12, 3, 1),
+    (72, "NO", "2016-03-13", 12, 13, 0, 0),
+    (73, "NO", "2016-09-04", 13, 11, 2, 4),
+    (74, "PT", "2016-03-06", 21, 22, 1, 2),
+    (75, "PT", "2016-09-11", 22, 21, None, None),
 ]
-# game -> (player, club, goals, assists, minutes)
-LINEUPS = {
-    5001: [(1001, 1, 1, 0, 90), (1002, 1, 0, 0, 60), (1004, 1, 0, 0, 90), (1003, 2, 2, 0, 30), (1005, 2, 0, 0, 90),
-           (9999, 99, 1, 0, 90)],
-    5002: [(1003, 2, 0, 0, 90), (1005, 2, 2, 1, 90), (1001, 1, 0, 1, 85), (1002, 1, 0, 0, 90), (1004, 1, 0, 0, 30)],
-    5003: [(1006, 3, 0, 0, 90), (1007, 3, 2, 0, 90), (1008, 4, 2, 0, 60), (1009, 4, 0, 0, 90)],
-    5004: [(1008, 4, 2, 1, 85), (1009, 4, 0, 0, 75), (1006, 3, 1, 0, 60), (1007, 3, 2, 0, 90)],
-    5005: [(1010, 5, 2, 0, 85), (1011, 5, 0, 0, 90), (1012, 5, 2, 0, 90), (1001, 1, 1, 0, 75), (1002, 1, 0, 1, 60),
-           (1004, 1, 0, 1, 85)],
-    5006: [(1010, 5, 0, 0, 60), (1011, 5, 0, 0, 90), (1012, 5, 0, 0, 30), (1006, 3, 0, 0, 85), (1007, 3, 0, 0, 90)],
-}
-# player -> observed values in millions on the three days of observation
-VALUES = {
-    1001: (110, 115, 120),
-    1002: (100, 95, 100),
-    1003: (60, 62, 65),
-    1006: (180, 200, 200),
-    1007: (170, 175, 180),
-    1010: (100, 95, 90),
-}
-OBSERVED_ON = ("2024-06-01", "2024-08-15", "2024-11-01")
-
-LATER_GAMES = [(5007, "ES1", "2025-01-18", 3, 4, 2, 1), (5008, "L1", "2025-01-19", 5, 4, 1, 0)]
-LATER_LINEUPS = {
-    5007: [(1001, 3, 1, 1, 90), (1007, 3, 1, 0, 90), (1008, 4, 1, 0, 90)],
-    5008: [(1010, 5, 1, 0, 90), (1012, 5, 0, 0, 90)],
-}
+LATER_GAMES = [(76, "NO", "2016-11-20", 13, 12, 1, 2), (77, "PT", "2016-11-27", 21, 22, 3, 3)]
+# game -> scorer of each goal; own goals and goals of players who are not listed are nobody's
+GOALS = {71: [301, 301, 302, 304], 73: [305, 306, 301, 302, 302, 302], 74: [401, 404, 404], 76: [306, 304, 304], 77: [401, 401, 402, 404]}
+OBSERVED_ON = ("2016-02-01", "2016-05-01", "2016-08-01", "2016-10-01")
+
+
+def value_on(player: int, n: int) -> int:
+    return (player % 50 + 3 * n) * 1_000_000
 
 
 def _players(day):
     rows = []
     for pid, name, club, country, position, value in PLAYERS:
-        if day >= 2 and pid == 1001:
-            club, value = 3, 130
-        if day >= 2 and pid == 1012:
+        if day >= 2 and pid == MOVED:
+            club, value = 13, value + 4
+        if day >= 2 and pid == RELABELLED:
             position = "Goalkeeper"
-        if day >= 3 and pid == 1010:
-            value = 95
-        if day >= 3 and pid == 1009:
-            continue  # absent on the third day
+        if day >= 3 and pid == REVALUED:
+            value += 5
+        if day >= 3 and pid == ABSENT:
+            continue
         first, _, last = name.partition(" ")
         rows.append(
             {
@@ -86,7 +63,7 @@ def _players(day):
                 "name": name,
                 "current_club_id": club,
                 "country_of_citizenship": country,
-                "date_of_birth": f"{1985 + pid % 15}-03-05",
+                "date_of_birth": f"{1990 + pid % 9}-07-1{pid % 9}",
                 "position": position,
                 "market_value_in_eur": value * 1_000_000,
             }
@@ -94,57 +71,51 @@ def _players(day):
     return rows
 
 
-def _appearances(day):
-    games = {g[0]: g for g in GAMES + LATER_GAMES}
-    lineups = {**LINEUPS, **(LATER_LINEUPS if day >= 2 else {})}
+def games(day):
+    return GAMES + (LATER_GAMES if day >= 2 else [])
+
+
+def appearances(day):
+    """(game, date, competition, player, club, goals, assists, minutes); one player nobody has listed comes on in the first match."""
     rows = []
-    for game, players in lineups.items():
-        for n, (pid, club, goals, assists, minutes) in enumerate(players):
-            rows.append(
-                {
-                    "appearance_id": f"A{game}{n:02d}",
-                    "game_id": game,
-                    "player_id": pid,
-                    "player_club_id": club,
-                    "player_current_club_id": club,
-                    "date": games[game][2],
-                    "player_name": f"player {pid}",
-                    "competition_id": games[game][1],
-                    "goals": goals,
-                    "assists": assists,
-                    "minutes_played": minutes,
-                }
-            )
+    for game, competition, date, home, away, *_ in games(day):
+        for pid, _, club, *_ in PLAYERS:
+            if day >= 2 and game == 76 and pid == MOVED:
+                club = 13
+            if club in (home, away):
+                rows.append((game, date, competition, pid, club, GOALS.get(game, []).count(pid), (game + pid) % 2, 90 - (pid + game) % 4 * 10))
+        if game == 71:
+            rows.append((game, date, competition, UNKNOWN, home, 0, 0, 5))
     return rows
 
 
 def tables(day):
-    games = GAMES + (LATER_GAMES if day >= 2 else [])
     return {
         "competitions": [{"competition_id": c, "name": n, "country_name": k} for c, n, k in COMPETITIONS],
-        "clubs": [
-            {"club_id": c, "name": n, "domestic_competition_id": k, "squad_size": 25, "average_age": 27.5}
-            for c, n, k in CLUBS
-        ],
+        "clubs": [{"club_id": c, "name": n, "domestic_competition_id": k, "squad_size": 20 + c % 3, "average_age": 24.5} for c, n, k in CLUBS],
         "players": _players(day),
         "games": [
+            dict(zip(("game_id", "competition_id", "season", "date", "home_club_id", "away_club_id", "home_club_goals", "away_club_goals"), (g, c, 2016, *rest)))
+            for g, c, *rest in games(day)
+        ],
+        "appearances": [
             {
-                "game_id": g,
-                "competition_id": c,
-                "season": 2024,
-                "date": d,
-                "home_club_id": h,
-                "away_club_id": a,
-                "home_club_goals": hg,
-                "away_club_goals": ag,
+                "appearance_id": f"{game}-{pid}",
+                "game_id": game,
+                "player_id": pid,
+                "player_club_id": club,
+                "player_current_club_id": club,
+                "date": date,
+                "player_name": f"no. {pid}",
+                "competition_id": competition,
+                "goals": goals,
+                "assists": assists,
+                "minutes_played": minutes,
             }
-            for g, c, d, h, a, hg, ag in games
+            for game, date, competition, pid, club, goals, assists, minutes in appearances(day)
         ],
-        "appearances": _appearances(day),
         "player_valuations": [
-            {"player_id": pid, "date": date, "market_value_in_eur": v * 1_000_000}
-            for pid, values in VALUES.items()
-            for date, v in zip(OBSERVED_ON, values)
+            {"player_id": pid, "date": date, "market_value_in_eur": value_on(pid, n)} for pid, *_ in PLAYERS if pid != ABSENT for n, date in enumerate(OBSERVED_ON)
         ],
     }
 

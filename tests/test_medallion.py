@@ -11,9 +11,9 @@ from strataflow.plans import gold, lineage, medallion
 from strataflow.sources.snapshots import path_exists, read_snapshot, snapshot_path
 
 DAYS = {
-    1: ("day-1", dt.date(2024, 12, 1)),
-    2: ("2024-12-15", dt.date(2024, 12, 15)),
-    3: ("day-3", dt.date(2025, 2, 1)),
+    1: ("day-1", dt.date(2016, 10, 15)),
+    2: ("2016-11-10", dt.date(2016, 11, 10)),
+    3: ("day-3", dt.date(2016, 12, 20)),
 }
 
 
@@ -47,19 +47,19 @@ def test_first_day_row_counts(runs):
     assert set(runs[1]["bronze"].values()) == {"written"}
     assert runs[1]["silver"] == {
         "dim_clubs": 5,
-        "dim_competitions": 3,
-        "dim_date": 4748,
-        "dim_players": 12,
-        "fact_games": 6,
-        "fact_appearances": 29,
+        "dim_competitions": 2,
+        "dim_date": 190,  # from the first to the last day of the facts
+        "dim_players": 10,
+        "fact_games": 5,
+        "fact_appearances": 20,
     }
-    assert [runs[1]["gold"][a.name] for a in gold.ARTIFACTS] == [12, 5, 12, 18, 5]
+    assert [runs[1]["gold"][a.name] for a in gold.ARTIFACTS] == [18, 9, 10, 36, 5]
 
 
 def test_orphan_is_set_aside_with_its_reason(spark, runs):
     rejected = read_snapshot(spark, runs["lake"].root + "/_rejected", "appearances", "day-1").collect()
     assert [(r["player_id"], r["_dq_failure_reason"]) for r in rejected] == [
-        (9999, "foreign_key:appearances.player_id->players.player_id")
+        (football.UNKNOWN, "foreign_key:appearances.player_id->players.player_id")
     ]
     assert not path_exists(spark, snapshot_path(runs["lake"].root + "/_rejected", "games", "day-1"))
 
@@ -67,7 +67,7 @@ def test_orphan_is_set_aside_with_its_reason(spark, runs):
 def test_gate_passes_on_a_single_orphan(runs):
     decision = runs[1]["gate"]
     assert (decision["decision"], decision["critical_failures"], decision["rows_quarantined"]) == ("pass", 1, 1)
-    assert decision["quarantine_pct"] == round(100 / 74, 2)
+    assert decision["quarantine_pct"] == round(100 / sum(len(rows) for rows in football.tables(1).values()), 2)
 
 
 def test_gate_raises_over_the_threshold(spark, runs):
@@ -79,31 +79,35 @@ def test_gate_raises_over_the_threshold(spark, runs):
 def test_gold_golden_values(spark, runs):
     scorers = gold_table(spark, runs, "top_scorers_by_season", 1)
     best = scorers.agg(F.max("total_goals").alias("m")).first()["m"]
-    assert best == 4
-    assert {r["player_id"] for r in scorers.where("total_goals = 4").collect()} == {1007, 1008}
+    assert best == 3
+    assert {r["player_id"] for r in scorers.where("total_goals = 3").collect()} == {302}
     lifetime = {r["player_id"]: r for r in gold_table(spark, runs, "top_players_all_time", 1).collect()}
-    assert (lifetime[1007]["total_goals"], lifetime[1007]["appearance_count"]) == (4, 3)
-    assert (lifetime[1008]["total_goals"], lifetime[1008]["appearance_count"]) == (4, 2)
-    assert lifetime[1007]["country_of_citizenship_iso"] == "GB"
-    table = {r["club_id"]: r for r in gold_table(spark, runs, "club_season_summary", 1).collect()}
+    assert (lifetime[302]["total_goals"], lifetime[302]["appearance_count"]) == (4, 2)
+    assert (lifetime[404]["total_goals"], lifetime[404]["seasons_played"]) == (2, 2)
+    assert (lifetime[302]["country_of_citizenship_iso"], lifetime[306]["country_of_citizenship_iso"]) == ("SE", "XX")
+    table = {(r["club_id"], r["season"]): r for r in gold_table(spark, runs, "club_season_summary", 1).collect()}
     got = {
         c: tuple(r[k] for k in ("matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "points"))
         for c, r in table.items()
     }
     assert got == {
-        1: (3, 1, 1, 1, 4, 5, 4),
-        2: (2, 0, 1, 1, 1, 3, 1),
-        3: (3, 1, 2, 0, 6, 5, 5),
-        4: (2, 0, 1, 1, 3, 4, 1),
-        5: (2, 1, 1, 0, 6, 3, 4),
+        (11, "2015-16"): (1, 1, 0, 0, 3, 1, 3),
+        (12, "2015-16"): (2, 0, 1, 1, 1, 3, 1),
+        (13, "2015-16"): (1, 0, 1, 0, 0, 0, 1),
+        (11, "2016-17"): (1, 1, 0, 0, 4, 2, 3),
+        (13, "2016-17"): (1, 0, 0, 1, 2, 4, 0),
+        (21, "2015-16"): (1, 0, 0, 1, 1, 2, 0),
+        (22, "2015-16"): (1, 1, 0, 0, 2, 1, 3),
+        (21, "2016-17"): (1, 0, 0, 0, 0, 0, 0),  # a match without a score
+        (22, "2016-17"): (1, 0, 0, 0, 0, 0, 0),
     }
     sheets = {r["club_id"]: r["clean_sheets"] for r in gold_table(spark, runs, "club_performance_metrics", 1).collect()}
-    assert sheets == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+    assert sheets == {11: 0, 12: 1, 13: 1, 21: 1, 22: 1}
     rolling = gold_table(spark, runs, "player_valuation_rolling_avg", 1)
     assert rolling.where("player_sk is null").count() == 0
-    saka = rolling.where("player_id = 1001").orderBy("date").collect()
-    assert [r["rolling_avg_90_rows"] for r in saka] == [110e6, 112.5e6, 115e6]
-    assert [r["rolling_sample_count"] for r in saka] == [1, 2, 3]
+    one = rolling.where("player_id = 301").orderBy("date").collect()  # 1, 4, 7 and 10 million
+    assert [r["rolling_avg_90_rows"] for r in one] == [1e6, 2.5e6, 4e6, 5.5e6]
+    assert [r["rolling_sample_count"] for r in one] == [1, 2, 3, 4]
 
 
 def test_second_day_skips_what_did_not_change(spark, runs):
@@ -116,46 +120,52 @@ def test_second_day_skips_what_did_not_change(spark, runs):
         "player_valuations": "skipped",
     }
     bronze = runs["lake"].layer("bronze")
-    assert not path_exists(spark, snapshot_path(bronze, "clubs", "2024-12-15"))
+    assert not path_exists(spark, snapshot_path(bronze, "clubs", "2016-11-10"))
     assert runs[3]["bronze"]["games"] == "skipped"
     resolved = medallion.bronze_tables(spark, runs["lake"], "day-3", medallion.ALL_SOURCES)
     assert {r["batch_id"] for r in resolved["clubs"].select("batch_id").collect()} == {"day-1"}
-    assert {r["batch_id"] for r in resolved["games"].select("batch_id").collect()} == {"2024-12-15"}
+    assert {r["batch_id"] for r in resolved["games"].select("batch_id").collect()} == {"2016-11-10"}
 
 
 def test_second_day_versions(spark, runs):
     dim = silver(spark, runs, "dim_players", 2)
-    assert dim.count() == 14
+    assert dim.count() == 12
     versions = {r["player_id"]: r["count"] for r in dim.groupBy("player_id").count().collect()}
-    assert {p for p, n in versions.items() if n == 2} == {1001, 1012}
-    saka = dim.where("player_id = 1001").orderBy("player_sk").collect()
-    assert [(r["player_sk"], r["current_club_id"], str(r["effective_date"]), str(r["end_date"]), r["is_current"]) for r in saka] == [
-        (1, 1, "1900-01-01", "2024-12-15", False),
-        (13, 3, "2024-12-15", "9999-12-31", True),
+    assert {p for p, n in versions.items() if n == 2} == {football.MOVED, football.RELABELLED}
+    moved = dim.where(F.col("player_id") == football.MOVED).orderBy("player_sk").collect()
+    assert [(r["player_sk"], r["current_club_id"], str(r["effective_date"]), str(r["end_date"]), r["is_current"]) for r in moved] == [
+        (4, 12, "1900-01-01", "2016-11-10", False),
+        (11, 13, "2016-11-10", "9999-12-31", True),
     ]
     # A new raw label opens a version although the canonical position is the same.
-    assert dim.where("player_id = 1012").select("position_canonical").distinct().count() == 1
+    assert dim.where(F.col("player_id") == football.RELABELLED).select("position_canonical").distinct().count() == 1
 
 
 def test_events_keep_the_version_of_their_day(spark, runs):
-    scored = {
+    played = {
         (str(r["date"]), r["player_sk"])
-        for r in silver(spark, runs, "fact_appearances", 2).where("player_id = 1001").collect()
+        for r in silver(spark, runs, "fact_appearances", 2).where(F.col("player_id") == football.MOVED).collect()
     }
-    assert ("2024-11-09", 1) in scored and ("2025-01-18", 13) in scored
+    assert ("2016-03-06", 4) in played and ("2016-11-20", 11) in played
+
+
+def test_every_fact_has_its_day(spark, runs):
+    days = silver(spark, runs, "dim_date", 2)
+    for name in ("fact_games", "fact_appearances"):
+        assert silver(spark, runs, name, 2).join(days, "date_key", "left_anti").isEmpty()
 
 
 def test_third_day_reads_one_snapshot_and_keeps_absent_players(spark, runs):
     dim = silver(spark, runs, "dim_players", 3)
-    assert dim.count() == 15  # one more change; the absent player stays
-    assert dim.where("is_current").count() == 12
-    assert dim.where("player_id = 1009 and is_current").count() == 1
-    assert dim.select("player_sk").distinct().count() == 15
+    assert dim.count() == 13  # one more change; the absent player stays
+    assert dim.where("is_current").count() == 10
+    assert dim.where((F.col("player_id") == football.ABSENT) & F.col("is_current")).count() == 1
+    assert dim.select("player_sk").distinct().count() == 13
     # Totals must not grow with the number of batches.
     lifetime = gold_table(spark, runs, "top_players_all_time", 3)
     goals = lifetime.agg(F.sum("total_goals").alias("s")).first()["s"]
-    expected = sum(g for players in {**football.LINEUPS, **football.LATER_LINEUPS}.values() for p, _, g, _, _ in players if p != 9999)
-    # The appearances of the player absent on day three fail their foreign key; that player scored nothing.
+    # The appearances of the player absent on day three fail their foreign key.
+    expected = sum(g for *_, p, _, g, _, _ in football.appearances(3) if p not in (football.UNKNOWN, football.ABSENT))
     assert goals == expected
 
 
@@ -168,11 +178,11 @@ def test_history_never_changes(spark, runs):
 
 def test_rerun_is_a_no_op(spark, runs):
     lake = runs["lake"]
-    assert medallion.land_batch(spark, lake, runs[2]["raw"], "2024-12-15", dt.datetime(2025, 4, 1)) == {}
-    assert medallion.refine_batch(spark, lake, "2024-12-15", dt.date(2024, 12, 15), dt.datetime(2025, 4, 1)) == {}
-    assert medallion.publish_batch(spark, lake, "2024-12-15", dt.datetime(2025, 4, 1)) == {}
+    assert medallion.land_batch(spark, lake, runs[2]["raw"], "2016-11-10", dt.datetime(2025, 4, 1)) == {}
+    assert medallion.refine_batch(spark, lake, "2016-11-10", dt.date(2016, 11, 10), dt.datetime(2025, 4, 1)) == {}
+    assert medallion.publish_batch(spark, lake, "2016-11-10", dt.datetime(2025, 4, 1)) == {}
     # The state to merge into is the one before the batch, not the latest.
-    assert medallion.batch_before(spark, lake, "silver", "2024-12-15") == "day-1"
+    assert medallion.batch_before(spark, lake, "silver", "2016-11-10") == "day-1"
     assert medallion.batch_before(spark, lake, "silver", "day-1") is None
 
 
@@ -184,7 +194,7 @@ def test_lineage_reconciles(spark, runs):
     findings = [(r["source_name"], r["code"]) for r in lineage.reconcile(lineage.files_of_batch(files, "day-1")).collect()]
     assert findings == [("player_valuations", "non_terminal_status")]
     row = files.where("batch_id = 'day-1' and source_name = 'appearances'").first()
-    assert (row["source_row_count"], row["bronze_row_count"], row["rejected_row_count"], row["silver_row_count"]) == (30, 30, 1, 29)
+    assert (row["source_row_count"], row["bronze_row_count"], row["rejected_row_count"], row["silver_row_count"]) == (21, 21, 1, 20)
 
 
 def test_explorations_run(spark, runs):
@@ -192,11 +202,11 @@ def test_explorations_run(spark, runs):
     assert gold.top_scorers(scorers).count() == 10
     assert gold.totals_by_position(scorers).where("position_canonical = 'Goalkeeper'").count() == 1
     best = {r["club"]: r["player_name"] for r in gold.best_scorer_per_club(gold_table(spark, runs, "top_scorers_by_season", 1)).collect()}
-    assert best["Real Madrid"] == "Jude Bellingham"
+    assert (best["Fjordvik"], best["Portovelho"]) == ("Bo Lyng", "Jaime Rua")
     assert len(best) == 5
     assert gold.version_storage(silver(spark, runs, "dim_players", 3)).count() == 10
-    assert gold.standings(gold_table(spark, runs, "club_season_summary", 1)).first()["club_name"] == "Real Madrid"
-    assert gold.valuation_trend(gold_table(spark, runs, "player_valuation_rolling_avg", 3), silver(spark, runs, "dim_players", 3)).count() == 18
+    assert gold.standings(gold_table(spark, runs, "club_season_summary", 1)).first()["club_name"] == "Fjordvik"
+    assert gold.valuation_trend(gold_table(spark, runs, "player_valuation_rolling_avg", 3), silver(spark, runs, "dim_players", 3)).count() == 36
 
 
 def test_a_failing_source_does_not_stop_the_others(spark, tmp_path):
@@ -212,5 +222,5 @@ def test_a_failing_source_does_not_stop_the_others(spark, tmp_path):
     assert lineage.file_states(ledger.events()).where("source_name = 'games'").first()["status"] == "failed"
     # The same batch again, with a file that changed in between: refused.
     clubs = tmp_path / "raw" / "clubs.csv"
-    clubs.write_text(clubs.read_text(encoding="utf-8").replace("Chelsea", "Changed"), encoding="utf-8")
+    clubs.write_text(clubs.read_text(encoding="utf-8").replace("Solnes", "Changed"), encoding="utf-8")
     assert medallion.land_batch(spark, lake, raw, "b", dt.datetime(2025, 5, 2), wanted)["clubs"] == "failed"

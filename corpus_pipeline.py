@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.llm import language_id, minhash_dedup, piece_codec, quality_rules, source_mix
+from strataflow.llm.common import small_batches
 from strataflow.llm.queries import TOKENIZERS
 from strataflow.session import cut_lineage, tune
 
@@ -23,11 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents close enough to a language of the documents themselves."""
+    small_batches(spark)
     return language_id.keep_known_languages(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group alike in at least 80 % of their shingles of five words."""
+    small_batches(spark)
     return minhash_dedup.drop_near_duplicates(docs)
 
 
@@ -38,6 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
+    small_batches(spark)
     model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
     return piece_codec.encode_and_decode(docs, model).select(
         "doc.doc_id",

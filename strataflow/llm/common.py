@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.session import cut_lineage
@@ -16,6 +16,16 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
 
+#: Rows that go to Python at once; texts may be long, and executors hold a batch on both sides.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the rows of a batch that goes to Python, for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def text_or_empty(text: str | Column) -> Column:
     """The text; a null text reads as an empty one."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("string")

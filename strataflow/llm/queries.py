@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from strataflow.llm import chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity
+from strataflow.llm.common import small_batches
 from strataflow.queries.inputs import Tables
 
 QUERIES, SQL = {}, {}
@@ -16,7 +17,7 @@ TOKENIZERS = "/opt/tokenizers"
 
 
 def query(fn):
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Tables(small_batches(spark), sf_dir))
     return fn
 
 

@@ -33,22 +33,29 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     return condition
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key; only the key columns are scanned, counts combine map-side."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
+# Rows of a range slice, unless the shuffle setting asks for more slices than that.
+SLICE_ROWS = 5_000_000
 
 
-def range_slices(df: DataFrame, order_by: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """Spread rows over tasks by global order and store the task number with each row.
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the most frequent key and of all; only the key columns are scanned, counts combine map-side."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    return row["most"] or 0, row["rows"] or 0
 
-    Range bounds come from a sample, so the result is stored once and never recomputed.
+
+def range_slices(df: DataFrame, order_by: Sequence[Column], rows: int, numbered: str | None = None) -> DataFrame:
+    """Spread so many rows over tasks by global order and store the task number with each row.
+
+    The number of slices follows the rows. Range bounds come from a sample, so the result is stored once and
+    never recomputed. ``numbered`` adds each row's place within its slice, from 1, without another exchange:
+    the low 33 bits of Spark's increasing id count the rows of a task.
     """
-    if slices is None:
-        size = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = max(size, 2)
-    ranged = df.repartitionByRange(slices, *order_by).withColumn(SLICE, F.spark_partition_id())
-    return cut_lineage(ranged)
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2, -(-rows // SLICE_ROWS))
+    ranged = df.repartitionByRange(slices, *order_by)
+    if numbered:
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+        ranged = ranged.sortWithinPartitions(*order_by).withColumn(numbered, place)
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _rows_before(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,31 +96,39 @@ def dense_number(
 
     ``order_by`` must be a total order; ``rows`` is the row count where the caller knows it.
     """
-    if (df.count() if rows is None else rows) <= one_task_rows:
+    rows = df.count() if rows is None else rows
+    if rows <= one_task_rows:
         alone = F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*order_by))
         return df.withColumn(out, (alone + (start - 1)).cast("long"))
-    sliced = range_slices(df, order_by)
+    sliced = range_slices(df, order_by, rows, numbered="_local")
     sizes = sliced.groupBy(SLICE).count().orderBy(SLICE).collect()  # one row per slice
     offsets, total = [], start - 1
     for row in sizes:
         offsets.append((row[SLICE], total))
         total += row["count"]
     table = F.broadcast(df.sparkSession.createDataFrame(offsets, "_s int, _offset long"))
-    local = F.row_number().over(W.partitionBy(SLICE).orderBy(*order_by))
     return (
-        sliced.withColumn("_local", local)
-        .join(table, F.col(SLICE) == F.col("_s"))
+        sliced.join(table, F.col(SLICE) == F.col("_s"))
         .select(*df.columns, (F.col("_local") + F.col("_offset")).cast("long").alias(out))
     )
 
 
 def row_number_by(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], out: str, hot_limit: int = HOT_LIMIT
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column],
+    out: str,
+    hot_limit: int = HOT_LIMIT,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Position of each row within its key. ``order_by`` must be a total order within a key."""
-    if largest_group(df, keys) <= hot_limit:
+    """Position of each row within its key. ``order_by`` must be a total order within a key.
+
+    ``sizes`` are those of :func:`group_sizes`, where the caller knows them.
+    """
+    most, rows = sizes or group_sizes(df, keys)
+    if most <= hot_limit:
         return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order_by)).cast("long"))
-    sliced = range_slices(df, [*[F.col(k).asc() for k in keys], *order_by])
+    sliced = range_slices(df, [*[F.col(k).asc() for k in keys], *order_by], rows)
     return _number_slices(sliced, keys, order_by, out)
 
 
@@ -125,11 +140,12 @@ def _framed(
     A hot key is cut into blocks of consecutive rows; the last ``reach`` rows of a block are repeated
     at the head of the next one and marked, to be dropped once the window has been computed.
     """
-    if largest_group(df, keys) <= hot_limit:
+    sizes = group_sizes(df, keys)
+    if sizes[0] <= hot_limit:
         plain = df.withColumn("_halo", F.lit(False))
         plain = plain.withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order_by)).cast("long"))
         return plain, list(keys), list(order_by)
-    numbered = row_number_by(df, keys, order_by, "_rn", hot_limit)
+    numbered = row_number_by(df, keys, order_by, "_rn", hot_limit, sizes)
     size = max(hot_limit, reach, 1)
     block = F.floor((F.col("_rn") - 1) / size)
     at = (F.col("_rn") - 1) % size
@@ -181,10 +197,11 @@ def carry_forward(
 ) -> DataFrame:
     """The latest non-NULL value of a key at or before each row, in ascending ``order_by``."""
     ascending = [F.col(c).asc() for c in order_by]
-    if largest_group(df, keys) <= hot_limit:
+    most, rows = group_sizes(df, keys)
+    if most <= hot_limit:
         seen = W.partitionBy(*keys).orderBy(*ascending).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(seen))
-    sliced = range_slices(df, [*[F.col(k).asc() for k in keys], *ascending])
+    sliced = range_slices(df, [*[F.col(k).asc() for k in keys], *ascending], rows)
     seen = W.partitionBy(SLICE, *keys).orderBy(*ascending).rowsBetween(W.unboundedPreceding, 0)
     local = sliced.withColumn("_local", F.last(value, ignorenulls=True).over(seen))
 

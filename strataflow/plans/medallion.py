@@ -188,10 +188,23 @@ def bronze_tables(spark: SparkSession, lake: Lake, batch_id: str, sources: Itera
     asked = spark.createDataFrame([(s.name, batch_id) for s in sources], "source_name string, batch_id string")
     held = {r["source_name"]: r["data_batch_id"] for r in snapshots.resolve_snapshots(files, asked).collect()}
     bronze = lake.layer("bronze")
-    return {
-        s.name: snapshots.read_snapshot(spark, bronze, s.name, held[s.name]) if held.get(s.name) else None
-        for s in sources
-    }
+    there = {name: snapshots.existing_snapshot(spark, bronze, files, name, batch) for name, batch in held.items()}
+    return {s.name: snapshots.read_snapshot(spark, bronze, s.name, there[s.name]) if there.get(s.name) else None for s in sources}
+
+
+def register_lake(spark: SparkSession, lake: Lake) -> list[str]:
+    """A temporary view over the latest snapshot of every refined and published table."""
+    ledger = Ledger(spark, lake)
+    first = ledger.runs().groupBy("layer", "batch_id").agg(F.min("occurred_at").alias("begun"))
+    done = lineage.run_states(ledger.runs()).where("status = 'success'").select("layer", "batch_id").join(first, ["layer", "batch_id"])
+    latest = {r["layer"]: r["b"] for r in done.groupBy("layer").agg(F.max_by("batch_id", F.struct("begun", "batch_id")).alias("b")).collect()}
+    names = {"silver": ("dim_clubs", "dim_competitions", "dim_date", "dim_players", "fact_games", "fact_appearances"), "gold": tuple(a.name for a in gold.ARTIFACTS)}
+    found = {}
+    for layer, tables in names.items():
+        for name in tables if layer in latest else ():
+            there = snapshots.path_exists(spark, snapshots.snapshot_path(lake.layer(layer), name, latest[layer]))
+            found[name] = snapshots.read_snapshot(spark, lake.layer(layer), name, latest[layer]) if there else None
+    return snapshots.register_views(spark, found)
 
 
 def batch_before(spark: SparkSession, lake: Lake, layer: str, batch_id: str) -> str | None:
@@ -368,7 +381,7 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, at: dt.datetim
     written, errors = together(
         spark,
         {
-            a.name: lambda a=a: snapshots.write_snapshot(a.build(*[tables[i] for i in a.inputs]), root, a.name, batch_id)
+            a.name: lambda a=a: snapshots.write_snapshot(gold.presented(a, a.build(*[tables[i] for i in a.inputs])), root, a.name, batch_id)
             for a in gold.ARTIFACTS
         },
     )

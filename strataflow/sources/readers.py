@@ -52,7 +52,9 @@ def csv_parts(
     # Spark also marks rows that are too short; the marked text, read with one more column, tells them apart.
     wider = T.StructType([*[T.StructField(f"_{i}", T.StringType()) for i in range(len(names))], T.StructField("_more", T.StringType())])
     again = F.from_csv(_MALFORMED, wider.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"})
-    parted = raw.withColumn("_too_long", F.coalesce(again["_more"].isNotNull(), F.lit(False)))
+    # Spark refuses to read the marked text alone, so the condition looks at a column beside it, which changes nothing.
+    beside = F.length(F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)) == 0
+    parted = raw.withColumn("_too_long", F.coalesce(again["_more"].isNotNull(), F.lit(False)) & beside)
     rows = coerce(parted.where("NOT _too_long").select(*[F.col(f"`{n}`") for n in names]), schema or {}, na_values)
     return rows, parted.where("_too_long").select(F.col(_MALFORMED).alias("malformed"))
 

@@ -136,6 +136,20 @@ def resolve_snapshots(files: DataFrame, batches: DataFrame) -> DataFrame:
     return found.select(*batches.columns, F.coalesce("_own", "_found").alias("data_batch_id"))
 
 
+def existing_snapshot(spark: SparkSession, root: str, files: DataFrame, source: str, batch_id: str | None) -> str | None:
+    """The batch itself if its folder is there, else the newest one that landed the same content and is; or None."""
+    if batch_id is None or path_exists(spark, snapshot_path(root, source, batch_id)):
+        return batch_id
+    of_source = files.where(F.col("source_name") == source)
+    content = of_source.where(F.col("batch_id") == batch_id).select(F.col("fingerprint").alias("_f")).limit(1)
+    same = of_source.where(F.col("status").isin(*LANDED_STATES)).join(content, F.col("fingerprint") == F.col("_f"))
+    held = same.groupBy(F.coalesce("data_batch_id", "batch_id").alias("b")).agg(F.max("registered_at").alias("at"))
+    for row in held.orderBy(F.col("at").desc(), F.col("b").desc()).toLocalIterator():
+        if path_exists(spark, snapshot_path(root, source, row["b"])):
+            return row["b"]
+    return None
+
+
 # --- Incremental reads ---
 
 

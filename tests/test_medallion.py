@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import football
 from strataflow.operators.asof import nested_versions
 from strataflow.plans import gold, lineage, medallion
+from strataflow.sources import snapshots
 from strataflow.sources.snapshots import path_exists, read_snapshot, snapshot_path
 
 DAYS = {
@@ -209,6 +210,27 @@ def test_explorations_run(spark, runs):
     assert gold.valuation_trend(gold_table(spark, runs, "player_valuation_rolling_avg", 3), silver(spark, runs, "dim_players", 3)).count() == 36
 
 
+def test_views_show_the_latest_snapshots(spark, runs):
+    made = medallion.register_lake(spark, runs["lake"])
+    assert {"dim_players", "fact_games", "club_season_summary"} <= set(made)
+    assert spark.sql("SELECT count(*) FROM dim_players").first()[0] == 13
+
+
+def test_a_missing_folder_is_looked_for_in_other_batches(spark, runs):
+    files = lineage.file_states(medallion.Ledger(spark, runs["lake"]).events())
+    bronze = runs["lake"].layer("bronze")
+    assert snapshots.existing_snapshot(spark, bronze, files, "clubs", "day-3") == "day-1"
+    assert snapshots.existing_snapshot(spark, bronze + "/elsewhere", files, "clubs", "day-3") is None
+
+
+def test_gold_is_stored_in_its_order(spark, runs):
+    summary = gold_table(spark, runs, "club_season_summary", 1).coalesce(1).collect()
+    artifact = next(a for a in gold.ARTIFACTS if a.name == "club_season_summary")
+    column, up = artifact.order[0]
+    values = [r[column] for r in summary]
+    assert values == sorted(values, reverse=not up)
+
+
 def test_a_failing_source_does_not_stop_the_others(spark, tmp_path):
     lake = medallion.Lake(str(tmp_path / "lake"))
     raw = football.deliver(tmp_path / "raw", 1)

@@ -119,6 +119,21 @@ def test_asof_join_with_ends_and_ties(spark, few, limit):
     assert nested_versions(v, ["k"], "a", "b", "sk").isEmpty()
 
 
+@pytest.mark.parametrize(("few", "limit"), [(1000, 10**9), (0, 10**9), (0, 20)])
+def test_asof_join_with_versions_inside_one_another(spark, few, limit):
+    rng = random.Random(8)
+    versions = [(rng.randrange(12), a := rng.randrange(60), a + rng.randrange(-3, 40), sk) for sk in range(1, 120)]
+    events = [(i, None if i % 60 == 1 else rng.randrange(12), None if i % 41 == 2 else rng.randrange(110)) for i in range(500)]
+    v = spark.createDataFrame(versions, "k int, a int, b int, sk int").repartition(3)
+    e = spark.createDataFrame(events, "id int, k int, at int").repartition(3)
+    got = {r["id"]: r["found"] for r in asof_join(e, v, ["k"], "at", "a", "b", {"sk": "found"}, "sk", few_versions=few, hot_limit=limit).collect()}
+    want = {}
+    for i, key, at in events:
+        live = [(a, s) for k, a, b, s in versions if at is not None and k == key and a <= at <= b]
+        want[i] = max(live)[1] if live else None
+    assert got == want
+
+
 def test_asof_join_either_side_of_a_change(spark):
     day = dt.date
     versions = spark.createDataFrame(
@@ -252,6 +267,9 @@ def test_scd2_refuses_bad_input(spark):
     first = merge(None, rows.limit(1), D1).dimension
     with pytest.raises(ValueError, match="2 times"):
         merge(first, rows, D2)
+    second = merge(first, players(spark, (1, "a", 3, "GK", 1.0)), D2).dimension
+    with pytest.raises(ValueError, match="would close"):
+        merge(second, players(spark, (1, "a", 4, "GK", 1.0)), D2 - dt.timedelta(days=1))
     for key, tracked in (([], TRACKED), (["player_id"], []), (["absent"], TRACKED), (["player_id"], ["absent"])):
         with pytest.raises(ValueError):
             scd2.scd2_merge(None, rows, key, tracked, "sk", D1)

@@ -99,6 +99,37 @@ def test_csv_with_quotes_and_commas(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, "England, United Kingdom", 'say "hi"'), (2, None, None)]
 
 
+def test_csv_with_line_breaks_and_rows_that_do_not_fit(spark, tmp_path):
+    text = 'id,note,n\n1,"two\nlines",5\n2,short\n3,a,4,too many\n4,"x, ""y""",6\n'
+    (tmp_path / "notes.csv").write_text(text, encoding="utf-8")
+    rows, malformed = readers.csv_parts(spark, str(tmp_path / "notes.csv"), {"id": "int", "n": "int"}, multiline=True)
+    assert sorted(map(tuple, rows.collect())) == [(1, "two\nlines", 5), (2, "short", None), (4, 'x, "y"', 6)]
+    assert [r["malformed"] for r in malformed.collect()] == ["3,a,4,too many"]
+    assert (rows.count(), malformed.count()) == (3, 1)
+
+
+def test_large_files_are_named_but_not_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("abc")
+    (tmp_path / "b.csv").write_text("abcdef")
+    got = {r["file_name"]: (r["checksum_md5"], r["refused"]) for r in readers.file_fingerprints(spark, str(tmp_path), max_bytes=4).collect()}
+    assert got == {"a.csv": ("900150983cd24fb0d6963f7d28e17f72", False), "b.csv": (None, True)}
+
+
+def test_reading_parquet_leaves_the_session_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "a int, day string").write.partitionBy("day").parquet(path)
+    before = dict(spark.sparkContext.getConf().getAll())
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        table = readers.read_parquet(spark, path, path)
+        assert dict(table.dtypes) == {"a": "int", "day": "string"}
+        assert sorted(map(tuple, table.collect())) == [(1, "2024-01-01"), (2, "2024-01-02")]
+        assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    assert before == dict(spark.sparkContext.getConf().getAll())
+
+
 def test_manifest(spark, tmp_path):
     assert manifest.load_manifest(spark, str(tmp_path)) is None
     good = {

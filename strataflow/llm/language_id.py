@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import packed, unpacked
+from strataflow.session import cut_lineage
 
 UNKNOWN = "und"
 #: Characters of training text over all languages, dealt out evenly; the only bound on what is learnt from.
@@ -235,7 +236,7 @@ def learn_languages(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> Lang
                 kept = [(langs[i], len(codes), bits[j, own.languages.index(langs[i])]) for j, (i, codes) in enumerate(chunk) if langs[i] in own.languages]
                 yield pd.DataFrame(kept, columns=["lang", "n", "bits"])
 
-    measured = picked.where("_part = 0").select("lang", "text").mapInPandas(measure, "lang string, n long, bits double")
+    measured = cut_lineage(picked.where("_part = 0").select("lang", "text").mapInPandas(measure, "lang string, n long, bits double"))
     centre, spread = np.full(len(model.languages), np.nan), np.full(len(model.languages), 3.0)
     middle = {r["lang"]: r["c"] for r in measured.groupBy("lang").agg((F.sum(F.col("bits") * F.col("n")) / F.sum("n")).alias("c")).collect()}
     if middle:

@@ -20,7 +20,7 @@ from strataflow.functions.scalars import day_of, literal_like
 from strataflow.operators import quality
 from strataflow.operators.relational import union_by_name
 from strataflow.plans import gold, lineage, quality_report, star
-from strataflow.session import cut_lineage, together
+from strataflow.session import cut_lineage, job, together
 from strataflow.sources import snapshots
 from strataflow.sources.catalogue import ALL_SOURCES, QUALITY_RULES, Source, by_name, foreign_key_targets, rules_for
 from strataflow.sources.readers import read_raw
@@ -108,6 +108,7 @@ def _row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
     return {r["name"]: r["n"] for r in counts.collect()}
 
 
+@job
 def land_batch(
     spark: SparkSession,
     lake: Lake,
@@ -229,6 +230,7 @@ def _span(facts: Iterable[DataFrame], otherwise: dt.date) -> tuple[dt.date, dt.d
     return (min(days), max(days)) if days else (otherwise, otherwise)
 
 
+@job
 def refine_batch(
     spark: SparkSession,
     lake: Lake,
@@ -364,6 +366,7 @@ def check_gate(spark: SparkSession, lake: Lake, batch_id: str, threshold_pct: fl
     return decision
 
 
+@job
 def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, at: dt.datetime) -> dict[str, int]:
     """Build every gold table from the batch's own snapshot of the star schema."""
     ledger, silver = Ledger(spark, lake), lake.layer("silver")

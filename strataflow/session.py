@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -64,17 +65,40 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/strataflow-{spark.sparkContext.applicationId}"
 
 
+# Folders of the jobs that run now, the innermost last; threads of a job share its folder.
+_JOBS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the application's part of the shared folder."""
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder, and below the running job's in it."""
+    return "/".join([_scratch_root(spark), *_JOBS[-1:], f"{name}-{uuid.uuid4().hex}"])
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete what the application wrote for itself; tables still read from it cannot be used any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+def drop_scratch(spark: SparkSession, job: str = "") -> None:
+    """Delete what the application, or one job of it, wrote for itself; tables read from it cannot be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_scratch_root(spark)}/{job}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def job(run: Callable) -> Callable:
+    """A job whose first argument is the session and whose result needs none of its intermediate tables.
+
+    They are deleted when it ends, however it ends.
+    """
+
+    @functools.wraps(run)
+    def whole(spark: SparkSession, *args, **kwargs):
+        name = f"job-{uuid.uuid4().hex}"
+        _JOBS.append(name)
+        try:
+            return run(spark, *args, **kwargs)
+        finally:
+            _JOBS.remove(name)
+            drop_scratch(spark, name)
+
+    return whole
+
+
 def together(spark: SparkSession, tasks: dict[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, Exception]]:
     """Submit independent jobs at once and let Spark share the cluster among them; results and errors by name."""
     if not tasks:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import football
 from strataflow.operators.asof import nested_versions
 from strataflow.plans import gold, lineage, medallion
+from strataflow.session import scratch_path
 from strataflow.sources import snapshots
 from strataflow.sources.snapshots import path_exists, read_snapshot, snapshot_path
 
@@ -210,6 +211,14 @@ def test_explorations_run(spark, runs):
     assert gold.valuation_trend(gold_table(spark, runs, "player_valuation_rolling_avg", 3), silver(spark, runs, "dim_players", 3)).count() == 36
 
 
+def test_jobs_leave_nothing_behind(spark, runs):
+    root = scratch_path(spark, "x").rsplit("/", 1)[0]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+    assert not [name for name in left if name.startswith("job-")]
+
+
 def test_views_show_the_latest_snapshots(spark, runs):
     made = medallion.register_lake(spark, runs["lake"])
     assert {"dim_players", "fact_games", "club_season_summary"} <= set(made)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strataflow.llm.common import packed, text_or_empty
 
 #: Labelled rows that the classifier is fitted on, at most about as many; the only bound on what is learnt from.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 ORDERS = (3, 4, 5, 6)
 FEATURES = 8_192
 SMOOTHING = 1.0
@@ -125,11 +125,11 @@ def _gram_counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"gram": kinds.view(np.int64), "n1": ones.astype(np.int64), "n": np.diff(np.r_[start, len(both)]).astype(np.int64)})
 
 
-def _fit(rows: Sequence[tuple[int, Sequence[int]]], scale: np.ndarray, rounds: int = 300, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+def _fit(rows: Sequence[tuple[int, np.ndarray]], scale: np.ndarray, rounds: int = 300, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
     """Logistic regression on features that are 1 times their ratio where present: accelerated gradient descent."""
     y = np.array([toxic for toxic, _ in rows], dtype=np.float64)
-    row = np.repeat(np.arange(len(rows)), [len(f) for _, f in rows])
-    col = np.concatenate([np.asarray(f, dtype=np.int64) for _, f in rows]) if len(row) else np.empty(0, dtype=np.int64)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for _, f in rows])
+    col = np.concatenate([f for _, f in rows]) if len(row) else np.empty(0, dtype=np.int32)
     value = scale[col]
     weight, bias, n = np.zeros(len(scale)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), len(y)
     norms = np.bincount(row, value * value, minlength=n) + 1
@@ -175,9 +175,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
             for at, codes in chunks_of(batch["text"].tolist()):
                 text, feature = model.present(codes)
                 cuts = np.searchsorted(text, np.arange(1, len(codes)))
-                yield pd.DataFrame({"toxic": label[np.asarray(at)], "features": np.split(feature.astype(np.int32), cuts)})
+                parts = np.split(feature.astype(np.int32), cuts)
+                yield pd.DataFrame({"toxic": label[np.asarray(at)], "features": [part.tobytes() for part in parts]})
 
-    rows = [(r["toxic"], r["features"]) for r in sample.mapInPandas(features, "toxic int, features array<int>").collect()]
+    rows = [(r["toxic"], np.frombuffer(r["features"], dtype=np.int32)) for r in sample.mapInPandas(features, "toxic int, features binary").collect()]
     weights, bias = _fit(rows, scale)
     return with_filter(hashes[order], weights, bias)
 

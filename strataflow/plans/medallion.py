@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.hashing import content_fingerprint, schema_hash, tokenize_columns
+from strataflow.functions.hashing import schema_hash, tokenize_columns
 from strataflow.functions.scalars import day_of, literal_like
 from strataflow.operators import quality
 from strataflow.operators.relational import union_by_name
@@ -23,7 +23,7 @@ from strataflow.plans import gold, lineage, quality_report, star
 from strataflow.session import cut_lineage, job, together
 from strataflow.sources import snapshots
 from strataflow.sources.catalogue import ALL_SOURCES, QUALITY_RULES, Source, by_name, foreign_key_targets, rules_for
-from strataflow.sources.readers import read_raw
+from strataflow.sources.readers import identify, read_raw
 
 
 
@@ -89,11 +89,6 @@ class ConflictError(RuntimeError):
     """A file changed within a batch."""
 
 
-def _fingerprints(loads: dict[str, DataFrame]) -> DataFrame:
-    """Row count and content fingerprint of every table, computed in one job."""
-    return union_by_name([content_fingerprint(rows).withColumn("source_name", F.lit(name)) for name, rows in loads.items()])
-
-
 def _schema_hashes(spark: SparkSession, loads: dict[str, DataFrame]) -> dict[str, str]:
     columns = [(name, f.name, f.dataType.simpleString()) for name, rows in loads.items() for f in rows.schema.fields]
     table = spark.createDataFrame(columns, "source_name string, name string, type string")
@@ -119,6 +114,7 @@ def land_batch(
 ) -> dict[str, str]:
     """Land every source of a batch. Unchanged content is recorded, not written again.
 
+    Rows that do not fit the header go to the rejected sink as ``<source>_malformed``, and their count to the log.
     A source that fails does not keep the others from landing. Returns source -> written/skipped/failed.
     """
     ledger, bronze = Ledger(spark, lake), lake.layer("bronze")
@@ -126,29 +122,34 @@ def land_batch(
         return {}
     ledger.add_run(batch_id=batch_id, layer="bronze", status="running", occurred_at=at)
     declared = by_name(sources)
-    loads, failures = together(spark, {n: lambda s=s: read_raw(spark, s, raw_root) for n, s in declared.items()})
-    identities, more = together(spark, {n: lambda n=n, rows=rows: _fingerprints({n: rows}).first() for n, rows in loads.items()})
+    parts, failures = together(spark, {n: lambda s=s: read_raw(spark, s, raw_root) for n, s in declared.items()})
+    identities, more = together(spark, {n: lambda p=p: identify(*p) for n, p in parts.items()})
     failures.update(more)
-    loads = {n: rows for n, rows in loads.items() if n in identities}
+    loads = {n: rows for n, (rows, _) in parts.items() if n in identities}
 
     known = cut_lineage(lineage.file_states(ledger.events()))
     own = {r["source_name"]: r["fingerprint"] for r in known.where(F.col("batch_id") == batch_id).collect()}
     for name in list(loads):
-        if own.get(name) not in (None, identities[name]["fingerprint"]):
+        if own.get(name) not in (None, identities[name].fingerprint):
             failures[name] = ConflictError(f"{name} was registered in batch {batch_id} with other content")
             del loads[name]
 
     held: dict[str, str | None] = {}
     if loads:
         arriving = spark.createDataFrame(
-            [(batch_id, n, identities[n]["fingerprint"]) for n in loads], "batch_id string, source_name string, fingerprint string"
+            [(batch_id, n, identities[n].fingerprint) for n in loads], "batch_id string, source_name string, fingerprint string"
         )
         found = snapshots.previously_landed(known, arriving).collect()  # a row per source
         held = {r["source_name"]: r["data_batch_id"] for r in found}
-    _, more = together(
-        spark,
-        {n: lambda n=n: snapshots.write_snapshot(loads[n], bronze, n, batch_id) for n in loads if held[n] is None},
-    )
+
+    def store(name: str) -> None:
+        if identities[name].malformed_count:
+            aside = parts[name][1].withColumn("_dq_failure_reason", F.lit(f"malformed:{name}"))
+            snapshots.write_rejected(aside, lake.root, f"{name}_malformed", batch_id)
+        if held[name] is None:
+            snapshots.write_snapshot(loads[name], bronze, name, batch_id)
+
+    _, more = together(spark, {n: lambda n=n: store(n) for n in loads if held[n] is None or identities[n].malformed_count})
     failures.update(more)
     landed = [n for n in loads if n not in failures]
     digests = _schema_hashes(spark, loads) if loads else {}
@@ -160,10 +161,12 @@ def land_batch(
         if name in loads:
             identity = identities[name]
             events += [
-                _event(batch_id, source, path, "registered", at, status="registered", fingerprint=identity["fingerprint"],
+                _event(batch_id, source, path, "registered", at, status="registered", fingerprint=identity.fingerprint,
                        schema_hash=digests[name]),
-                _event(batch_id, source, path, "ingest_started", at, status="ingesting", row_count=identity["row_count"]),
+                _event(batch_id, source, path, "ingest_started", at, status="ingesting", row_count=identity.row_count + identity.malformed_count),
             ]
+            if identity.malformed_count:
+                events.append(_event(batch_id, source, path, "malformed_set_aside", at, row_count=identity.malformed_count))
         if name in failures:
             events.append(_event(batch_id, source, path, "failed", at, status="failed"))
         else:

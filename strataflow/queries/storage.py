@@ -44,11 +44,31 @@ def _messy_orders(t: Tables) -> DataFrame:
     )
 
 
-@query("csv_coerce", _ORDER_SQL, sparse=("o_custkey",))
-def csv_coerce(t: Tables) -> DataFrame:
+def _messy_delivery(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The rows of a written CSV and those set aside: beside the orders it has rows with one or two values too many."""
     path = scratch_path(t.spark, "csv")
     _messy_orders(t).write.option("header", True).option("escape", '"').csv(path)
-    return as_text(readers.read_csv(t.spark, path, ORDER_COLUMNS, na_values=["missing"], multiline=True), "o_orderdate")
+    key = F.col("o_orderkey")
+    extra = F.when(key % 2 == 0, "stray").otherwise(",stray")
+    line = F.concat_ws(",", key.cast("string"), F.lit("1"), F.lit("1998-01-01"), F.lit("0.5"), F.lit("true"), F.lit("note"), extra)
+    # A single column with another separator, so that the line and the header are written as they stand.
+    t.orders.where(key % 7 == 2).select(line.alias(",".join(ORDER_COLUMNS))).write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
+    return readers.csv_parts(t.spark, path, ORDER_COLUMNS, na_values=["missing"], multiline=True)
+
+
+@query("csv_coerce", _ORDER_SQL, sparse=("o_custkey",))
+def csv_coerce(t: Tables) -> DataFrame:
+    return as_text(_messy_delivery(t)[0], "o_orderdate")
+
+
+@query(
+    "csv_malformed",
+    """SELECT o_orderkey || ',1,1998-01-01,0.5,true,note,' || CASE WHEN o_orderkey % 2 = 0 THEN 'stray' ELSE ',stray' END AS malformed
+       FROM orders WHERE o_orderkey % 7 = 2""",
+)
+def csv_malformed(t: Tables) -> DataFrame:
+    """The second result of the delivery that ``csv_coerce`` reads."""
+    return _messy_delivery(t)[1]
 
 
 @query(

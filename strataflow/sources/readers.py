@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from strataflow.sources.schema import coerce
 
 
 _MALFORMED = "_malformed"
+_END = "\u0001end"  # stands behind the last value of a marked text
 MAX_FILE_BYTES = 2**31 - 1  # of a file whose digest is taken; what a single value can hold
 
 
@@ -27,7 +29,7 @@ def read_csv(
 ) -> DataFrame:
     """A CSV with a header, read as text in one pass and coerced leniently.
 
-    ``multiline`` allows line breaks inside quotes, but then each file is read by a single task.
+    Rows with more values than the header are not among these; :func:`csv_parts` has them too. ``multiline`` allows line breaks inside quotes, but then each file is read by a single task.
     """
     return csv_parts(spark, path, schema, na_values, multiline)[0]
 
@@ -49,12 +51,15 @@ def csv_parts(
     texts = [T.StructField(name, T.StringType()) for name in names]
     whole = T.StructType([*texts, T.StructField(_MALFORMED, T.StringType())])
     raw = spark.read.options(columnNameOfCorruptRecord=_MALFORMED, enforceSchema=True, **options).schema(whole).csv(path)
-    # Spark also marks rows that are too short; the marked text, read with one more column, tells them apart.
-    wider = T.StructType([*[T.StructField(f"_{i}", T.StringType()) for i in range(len(names))], T.StructField("_more", T.StringType())])
-    again = F.from_csv(_MALFORMED, wider.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0000"})
+    # Spark also marks rows that are too short. A sign behind the last value tells them apart: where the row is too
+    # long, it is found neither in the header's columns nor right behind them. Empty values at the end are no values.
+    cells = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names) + 1)])
+    signed = F.concat(F.regexp_replace(_MALFORMED, "[,\\r\\n]+$", ""), F.lit(f",{_END}"))
+    again = F.from_csv(signed, cells.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    short = F.exists(F.array(*[again[c] for c in cells.names]), lambda c: F.coalesce(c.endswith(_END), F.lit(False)))
     # Spark refuses to read the marked text alone, so the condition looks at a column beside it, which changes nothing.
     beside = F.length(F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)) == 0
-    parted = raw.withColumn("_too_long", F.coalesce(again["_more"].isNotNull(), F.lit(False)) & beside)
+    parted = raw.withColumn("_too_long", F.col(_MALFORMED).isNotNull() & ~F.coalesce(short, F.lit(False)) & beside)
     rows = coerce(parted.where("NOT _too_long").select(*[F.col(f"`{n}`") for n in names]), schema or {}, na_values)
     return rows, parted.where("_too_long").select(F.col(_MALFORMED).alias("malformed"))
 
@@ -74,32 +79,56 @@ def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -
     return reader.schema(texts).parquet(path)
 
 
-def read_raw(spark: SparkSession, source: Source, raw_root: str) -> DataFrame:
-    """The declared source in its declared format."""
+def read_raw(spark: SparkSession, source: Source, raw_root: str) -> tuple[DataFrame, DataFrame | None]:
+    """The declared source in its declared format, and the ``malformed`` text of rows that do not fit, if it can have any."""
     path = source.path(raw_root)
     if source.format == "csv":
-        return read_csv(spark, path, source.schema, multiline=source.multiline)
+        return csv_parts(spark, path, source.schema, multiline=source.multiline)
     if source.format == "parquet":
-        return coerce(read_parquet(spark, path), source.schema)
+        return coerce(read_parquet(spark, path), source.schema), None
     if source.format == "json":
-        return coerce(spark.read.json(path), source.schema)
+        return coerce(spark.read.json(path), source.schema), None
     raise ValueError(f"source {source.name} has the unknown format {source.format!r}")
 
 
+@dataclass(frozen=True)
+class Identity:
+    """Counts of a delivery's rows and of those set aside, and the fingerprint of all its content."""
+
+    row_count: int
+    malformed_count: int
+    fingerprint: str
+
+
+def identify(rows: DataFrame, malformed: DataFrame | None) -> Identity:
+    """One job over both parts. Without malformed rows the fingerprint is that of the rows."""
+    parts = content_fingerprint(rows).withColumn("_part", F.lit(0))
+    if malformed is not None:
+        parts = parts.unionByName(content_fingerprint(malformed).withColumn("_part", F.lit(1)))
+    found = {r["_part"]: r for r in parts.collect()}  # a row per part
+    aside = found[1]["row_count"] if 1 in found else 0
+    fingerprint = found[0]["fingerprint"]
+    if aside:
+        fingerprint = hashlib.md5(f"{fingerprint}|{found[1]['fingerprint']}".encode()).hexdigest()
+    return Identity(found[0]["row_count"], aside, fingerprint)
+
+
 @dataclass(frozen=True)
 class Load:
-    """Rows of a source with the count and content fingerprint that identify them."""
+    """Rows of a source with the count and content fingerprint that identify them, and what was set aside."""
 
     source: Source
     rows: DataFrame
     row_count: int
     fingerprint: str
+    malformed: DataFrame | None = None
+    malformed_count: int = 0
 
 
 def load_source(spark: SparkSession, source: Source, raw_root: str) -> Load:
-    rows = read_raw(spark, source, raw_root)
-    identity = content_fingerprint(rows).first()
-    return Load(source, rows, identity["row_count"], identity["fingerprint"])
+    rows, malformed = read_raw(spark, source, raw_root)
+    identity = identify(rows, malformed)
+    return Load(source, rows, identity.row_count, identity.fingerprint, malformed, identity.malformed_count)
 
 
 def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:

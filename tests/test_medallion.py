@@ -255,3 +255,21 @@ def test_a_failing_source_does_not_stop_the_others(spark, tmp_path):
     clubs = tmp_path / "raw" / "clubs.csv"
     clubs.write_text(clubs.read_text(encoding="utf-8").replace("Solnes", "Changed"), encoding="utf-8")
     assert medallion.land_batch(spark, lake, raw, "b", dt.datetime(2025, 5, 2), wanted)["clubs"] == "failed"
+
+
+def test_rows_that_do_not_fit_are_set_aside_and_counted(spark, tmp_path):
+    lake = medallion.Lake(str(tmp_path / "lake"))
+    raw = football.deliver(tmp_path / "raw", 1)
+    clubs = tmp_path / "raw" / "clubs.csv"
+    lines = clubs.read_text(encoding="utf-8").splitlines()
+    stray = lines[1] + ",,stray"
+    clubs.write_text("\n".join([*lines, stray]) + "\n", encoding="utf-8")
+    wanted = [s for s in medallion.ALL_SOURCES if s.name == "clubs"]
+    for batch, day in (("b", 1), ("again", 2)):  # written, then skipped as the same content
+        medallion.land_batch(spark, lake, raw, batch, dt.datetime(2025, 5, day), wanted)
+        aside = read_snapshot(spark, lake.root + "/_rejected", "clubs_malformed", batch).collect()
+        assert [(r["malformed"], r["_dq_failure_reason"]) for r in aside] == [(stray, "malformed:clubs")]
+        files = lineage.files_of_batch(lineage.file_states(medallion.Ledger(spark, lake).events()), batch)
+        row, n = files.first(), len(lines) - 1
+        assert (row["source_row_count"], row["malformed_row_count"], row["bronze_row_count"]) == (n + 1, 1, n)
+        assert "malformed_rows" in {r["code"] for r in lineage.reconcile(files).collect()}

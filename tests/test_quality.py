@@ -108,6 +108,23 @@ def test_csv_with_line_breaks_and_rows_that_do_not_fit(spark, tmp_path):
     assert (rows.count(), malformed.count()) == (3, 1)
 
 
+def test_csv_rows_with_empty_values_before_a_stray_one(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,n\n1,2,,x\n2,3,\n3\n4,"5\n5,6\n6,7,"a, b",c\n', encoding="utf-8")
+    rows, malformed = readers.csv_parts(spark, str(tmp_path / "a.csv"), {"id": "int"})
+    assert sorted((r["id"], r["n"]) for r in rows.where("id <> 4").collect()) == [(2, "3"), (3, None), (5, "6")]
+    assert sorted(r["malformed"] for r in malformed.collect()) == ["1,2,,x", '6,7,"a, b",c']
+    assert rows.count() + malformed.count() == 6
+
+
+def test_load_counts_rows_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,n\n1,2\n2,3,4\n", encoding="utf-8")
+    source = catalogue.Source("a", ("id",), {"id": "int", "n": "int"})
+    load = readers.load_source(spark, source, str(tmp_path))
+    assert (load.row_count, load.malformed_count, [r["malformed"] for r in load.malformed.collect()]) == (1, 1, ["2,3,4"])
+    (tmp_path / "a.csv").write_text("id,n\n1,2\n2,3,5\n", encoding="utf-8")
+    assert readers.load_source(spark, source, str(tmp_path)).fingerprint != load.fingerprint
+
+
 def test_large_files_are_named_but_not_read(spark, tmp_path):
     (tmp_path / "a.csv").write_text("abc")
     (tmp_path / "b.csv").write_text("abcdef")

@@ -10,10 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import packed, text_or_empty
+from strataflow.llm.common import packed, text_or_empty, with_bitmap
+from strataflow.session import cut_lineage
 
-#: Labelled rows that the classifier is fitted on, at most about as many; the only bound on what is learnt from.
-TRAIN_ROWS = 10_000
+#: Labelled rows that the linear part is fitted on, at most about as many; n-grams are counted over all labelled rows.
+TRAIN_ROWS = 20_000
+BROADCAST_LABELS = 500_000  # counted labels up to which they are broadcast
 ORDERS = (3, 4, 5, 6)
 FEATURES = 8_192
 SMOOTHING = 1.0
@@ -94,16 +96,26 @@ def with_filter(hashes: np.ndarray, weights: np.ndarray, bias: float) -> Toxicit
     return ToxicityModel(hashes, weights, bias, bits)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """``text, toxic`` of a sample of the labelled documents, by a hash of their id.
+def training_rows(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
+    """``text, toxic`` of all labelled documents, and a ``draw`` in 0..999,999 by a hash of their id.
 
-    The sample's ids and labels, bounded by ``most`` and a few, are broadcast, so that texts are not shuffled.
+    Ids and labels are broadcast while they are few, so that texts are not shuffled. Beyond that only the texts that
+    a label names are, once.
     """
-    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).distinct()
-    share = most / max(known.count(), 1)
-    if share < 1:
-        known = known.where(F.pmod(F.xxhash64(F.lit("toxic"), "_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(text_or_empty("text").alias("text"), "toxic")
+    texts = docs.select(F.col("doc_id").alias("_doc"), text_or_empty("text").alias("text"))
+    id_type = docs.schema["doc_id"].dataType
+    known = (
+        labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").cast(id_type).alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+        .distinct()
+    )
+    few = known.count() <= broadcast_labels
+    if few:
+        joined = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id"))
+    else:
+        joined = with_bitmap(texts, "_doc", known.select("_id"), "_maybe").where("_maybe").join(known, F.col("_doc") == F.col("_id"))
+    rows = joined.select("text", "toxic", F.pmod(F.xxhash64(F.lit("toxic"), "_id"), F.lit(1_000_000)).alias("draw"))
+    return rows if few else cut_lineage(rows)
 
 
 def _gram_counter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,16 +162,16 @@ def _fit(rows: Sequence[tuple[int, np.ndarray]], scale: np.ndarray, rounds: int
 def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> ToxicityModel:
     """A model of the labelled documents ``doc_id, text`` and ``doc_id, toxic``; others are not looked at.
 
-    Spark counts n-grams by label and computes their log-count ratios; those that tell most come to the
-    driver, a fixed number, and the linear part is fitted on which of them stand in each of the training
-    rows. Without both labels the model has no features and scores every text alike.
+    Spark counts n-grams by label over all labelled rows and computes their log-count ratios; those that tell
+    most come to the driver, a fixed number, and the linear part is fitted on which of them stand in each of a
+    sample of ``most`` rows, picked by a hash of the id. Without both labels the model has no features and scores every text alike.
     """
-    sample = training_rows(docs, labels, most)
-    total = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    labelled = training_rows(docs, labels)
+    total = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     n, n1 = total[0], total[1] or 0
     if not n1 or n1 == n:
         return with_filter(np.empty(0, dtype=np.uint64), np.empty(0), float(np.log((n1 + 0.5) / (n - n1 + 0.5))))
-    grams = sample.mapInPandas(_gram_counter, "gram long, n1 long, n long").groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"))
+    grams = labelled.select("text", "toxic").mapInPandas(_gram_counter, "gram long, n1 long, n long").groupBy("gram").agg(F.sum("n1").alias("n1"), F.sum("n").alias("n"))
     ratio = F.log(((F.col("n1") + SMOOTHING) / (n1 + 2 * SMOOTHING)) / ((F.col("n") - F.col("n1") + SMOOTHING) / (n - n1 + 2 * SMOOTHING)))
     telling = F.abs(F.col("ratio")) * F.sqrt(F.col("n"))
     chosen = grams.where(F.col("n") >= MIN_DOCS).withColumn("ratio", ratio).orderBy(telling.desc(), "gram").limit(FEATURES).collect()
@@ -178,7 +190,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
                 parts = np.split(feature.astype(np.int32), cuts)
                 yield pd.DataFrame({"toxic": label[np.asarray(at)], "features": [part.tobytes() for part in parts]})
 
+    sample = labelled.where(F.col("draw") < F.lit(most / n * 1_000_000)).select("text", "toxic")
     rows = [(r["toxic"], np.frombuffer(r["features"], dtype=np.int32)) for r in sample.mapInPandas(features, "toxic int, features binary").collect()]
+    if not rows:
+        return with_filter(np.empty(0, dtype=np.uint64), np.empty(0), float(np.log((n1 + 0.5) / (n - n1 + 0.5))))
     weights, bias = _fit(rows, scale)
     return with_filter(hashes[order], weights, bias)
 

@@ -192,7 +192,8 @@ def _gram_counter(order: int):
                     if len(codes):
                         padded = " " * (order - 1) + codes.tobytes().decode("utf-32-le", "surrogatepass")
                         counts.update(padded[i : i + order] for i in range(len(padded) - order + 1))
-                yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
+                if counts:
+                    yield pd.DataFrame({"lang": lang, "gram": list(counts), "n": list(counts.values())})
 
     return count
 
@@ -207,7 +208,9 @@ def learn_languages(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> Lang
     """The model of the non-null ``lang`` values of ``key, text, lang``; None if nothing can be learnt.
 
     A hash of the key picks rows until each language has its share of ``train_chars``; one in five of them
-    serves to calibrate what is far from every language. The number of languages is taken to be small.
+    serves to calibrate what is far from every language. A language that this leaves without training text learns
+    from its calibration rows, or else from its row of smallest draw, so that none with letters is missing; it is
+    calibrated as the others' furthest. The number of languages is taken to be small.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     shares = _share(rows, train_chars)
@@ -217,11 +220,20 @@ def learn_languages(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> Lang
     share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
     picked = rows.where(draw < share).withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(5)))
     schema = "lang string, gram string, n long"
-    grams = picked.where("_part > 0").select("lang", "text").mapInPandas(_gram_counter(ORDER), schema)
-    counts = {(r["lang"], r["gram"]): r["n"] for r in grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()}
-    if not counts:  # a single row for calibration
-        grams = picked.select("lang", "text").mapInPandas(_gram_counter(ORDER), schema)
-        counts = {(r["lang"], r["gram"]): r["n"] for r in grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()}
+
+    def counted(texts: DataFrame) -> dict[tuple[str, str], int]:
+        grams = texts.select("lang", "text").mapInPandas(_gram_counter(ORDER), schema)
+        return {(r["lang"], r["gram"]): r["n"] for r in grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect()}
+
+    counts = counted(picked.where("_part > 0"))
+    trained = sorted({lang for lang, _ in counts})
+    lacking = sorted(shares.keys() - set(trained))
+    if lacking:
+        counts |= counted(picked.where(F.col("lang").isin(lacking)))
+        lacking = sorted(shares.keys() - {lang for lang, _ in counts})
+    if lacking:
+        left = rows.where(F.col("lang").isin(lacking) & F.col("text").rlike("\\p{L}"))
+        counts |= counted(left.groupBy("lang").agg(F.min_by("text", F.struct(draw, "text")).alias("text")))
     if not counts:
         return None
     model = kneser_ney(counts)
@@ -236,7 +248,10 @@ def learn_languages(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> Lang
                 kept = [(langs[i], len(codes), bits[j, own.languages.index(langs[i])]) for j, (i, codes) in enumerate(chunk) if langs[i] in own.languages]
                 yield pd.DataFrame(kept, columns=["lang", "n", "bits"])
 
-    measured = cut_lineage(picked.where("_part = 0").select("lang", "text").mapInPandas(measure, "lang string, n long, bits double"))
+    apart = picked.where(F.col("_part") == 0)
+    if trained:  # texts that were learnt from after all tell nothing of others
+        apart = apart.where(F.col("lang").isin(trained))
+    measured = cut_lineage(apart.select("lang", "text").mapInPandas(measure, "lang string, n long, bits double"))
     centre, spread = np.full(len(model.languages), np.nan), np.full(len(model.languages), 3.0)
     middle = {r["lang"]: r["c"] for r in measured.groupBy("lang").agg((F.sum(F.col("bits") * F.col("n")) / F.sum("n")).alias("c")).collect()}
     if middle:

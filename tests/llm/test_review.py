@@ -2,7 +2,9 @@
 
 import random
 
-from strataflow.llm import toxicity
+import numpy as np
+
+from strataflow.llm import language_id, toxicity
 
 
 def test_ngrams_are_counted_over_all_labelled_rows(spark, monkeypatch):
@@ -17,3 +19,14 @@ def test_ngrams_are_counted_over_all_labelled_rows(spark, monkeypatch):
     few, many = (toxicity.training_rows(docs, labels, n).orderBy("draw", "text").collect() for n in (1000, 10))
     assert few == many and len(few) == 100  # labels broadcast or joined
     assert len(toxicity.learn_toxicity(docs, labels, most=1).hashes) in (0, len(model.hashes))
+
+
+def test_no_language_is_left_out(spark):
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    prose = lambda seed: " ".join("".join(random.Random(seed * 100 + k).choices(alphabet, k=6)) for k in range(40))
+    rows = [(k, prose(k), "many") for k in range(30)] + [(100 + k, prose(100 + k), f"rare{k:02d}") for k in range(20)]
+    frame = spark.createDataFrame([*rows, (200, "123", "blank")], "key long, text string, lang string")
+    languages = ["many", *[f"rare{k:02d}" for k in range(20)]]
+    model = language_id.learn_languages(frame)
+    assert model.languages == languages and np.isfinite(model.centre).all()  # a row each, one in five of them drawn for calibration
+    assert language_id.learn_languages(frame, train_chars=40).languages == languages  # hardly any row is drawn

@@ -83,7 +83,7 @@ def cell_keys(unit: np.ndarray, shape: Lattice) -> np.ndarray:
             points.append(nearest_e8(part))
             gains.append((part - points[-1]) @ around.T)
         point = np.rint(np.concatenate(points, 1) * 2).astype(np.int64)
-        base = point @ mix
+        base = point @ mix + draw.integers(1, 2**40)  # else the point zero has one key in all dimensions
         gain = np.concatenate(gains, 1)
         best = np.argpartition(-gain, shape.probes, axis=1)[:, : shape.probes]
         step = np.rint(around * 2).astype(np.int64)
@@ -175,10 +175,13 @@ def _comparer(shape: Lattice, least: float):
             units, keys = batch["unit"].to_numpy(), batch["keys"].to_numpy()
             out = []
             for a, b in zip(starts, [*starts[1:], len(batch)]):
-                if b - a < 2 or len({len(u) for u in units[a:b]}) > 1:  # vectors of other dimensions share a key by chance only
-                    continue
-                own = np.stack(keys[a:b]).reshape(b - a, shape.tables, 1 + shape.probes)
-                out.append(_compare(code[a, 0], code[a, 1] != code[a, 2], node[a:b], weight[a:b], np.stack(units[a:b]), own, block[a:b], least))
+                sizes = np.array([len(u) for u in units[a:b]])
+                for d in np.unique(sizes):  # vectors of other dimensions share a key by chance only
+                    at = a + np.flatnonzero(sizes == d)
+                    if len(at) < 2:
+                        continue
+                    own = np.stack(keys[at]).reshape(len(at), shape.tables, 1 + shape.probes)
+                    out.append(_compare(code[a, 0], code[a, 1] != code[a, 2], node[at], weight[at], np.stack(units[at]), own, block[at], least))
             if out:
                 yield pd.DataFrame({n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("node", "label", "links"))})
 

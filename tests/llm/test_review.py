@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+import pandas as pd
 
-from strataflow.llm import language_id, toxicity
+from strataflow.llm import language_id, lattice_dedup, toxicity
 
 
 def test_ngrams_are_counted_over_all_labelled_rows(spark, monkeypatch):
@@ -30,3 +31,14 @@ def test_no_language_is_left_out(spark):
     model = language_id.learn_languages(frame)
     assert model.languages == languages and np.isfinite(model.centre).all()  # a row each, one in five of them drawn for calibration
     assert language_id.learn_languages(frame, train_chars=40).languages == languages  # hardly any row is drawn
+
+
+def test_vectors_of_two_dimensions_in_one_cell(spark):
+    shape = lattice_dedup.Lattice(tables=1, probes=0)
+    units = [np.eye(4)[0], np.eye(3)[0], np.eye(4)[0]]
+    cell = pd.DataFrame({"key": [5] * 3, "lo": [0] * 3, "hi": [0] * 3, "node": [1, 2, 3], "weight": [1] * 3, "block": [0] * 3, "unit": units, "keys": [np.array([5])] * 3})
+    found = pd.concat(lattice_dedup._comparer(shape, 0.95)(iter([cell])))
+    assert found.to_numpy().tolist() == [[1, 1, 1], [3, 1, 1]]
+    flat = lattice_dedup.Lattice(scale=0.0)  # all vectors lie at the point zero
+    own = [lattice_dedup.cell_keys(np.eye(d)[:1], flat)[0, :, 0] for d in (3, 4)]
+    assert (own[0] != own[1]).all()

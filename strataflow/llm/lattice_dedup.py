@@ -25,11 +25,11 @@ class Lattice:
     """``tables`` tables, each of ``blocks`` E8 points of random projections, ``probes`` neighbours probed in each.
 
     With these numbers a pair of cosine 0.95 in 64 dimensions shares a cell of one table with probability
-    0.43 and of any with 0.996, one of 0.98 with 0.999999; two random vectors share one with less than 1e-4.
+    0.43 and of any with 0.99999; two random vectors share one with less than 2e-4.
     More vectors ask for more blocks and more tables.
     """
 
-    tables: int = 10
+    tables: int = 20
     blocks: int = 2
     probes: int = 2
     scale: float = 0.6

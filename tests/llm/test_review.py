@@ -42,3 +42,14 @@ def test_vectors_of_two_dimensions_in_one_cell(spark):
     flat = lattice_dedup.Lattice(scale=0.0)  # all vectors lie at the point zero
     own = [lattice_dedup.cell_keys(np.eye(d)[:1], flat)[0, :, 0] for d in (3, 4)]
     assert (own[0] != own[1]).all()
+
+
+def test_pairs_at_the_threshold_meet():
+    draw = np.random.default_rng(11)
+    x, y = draw.normal(size=(2, 4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = (lattice_dedup.cell_keys(v, lattice_dedup.Lattice()) for v in (x, 0.95 * x + np.sqrt(1 - 0.95**2) * y))
+    met = (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3))
+    assert (~met).sum() <= 1  # about 14 with ten tables

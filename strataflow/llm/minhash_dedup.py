@@ -253,7 +253,8 @@ def near_duplicates(
     text: str = "text",
 ) -> DataFrame:
     """Groups of documents whose shingle sets are alike: ``doc`` (carried columns), ``row`` (identity of id and
-    text), ``n_shingles``, ``component_id`` (smallest id that links reach), ``kept`` (the id is that one).
+    text), ``n_shingles``, ``component_id`` (smallest id that links reach), ``kept`` (the id is that one), ``survivor``
+    (``row`` of the group's first by id, nulls last, then ``row``; null for a text without words).
 
     Equal sets form a class, found by a 128-bit print of the set and combined before any shuffle of theirs;
     only classes meet in buckets. Candidates share a band of minima; what their packed low bits rule out is
@@ -278,29 +279,29 @@ def grouped(docs: DataFrame, stored: DataFrame, width: int, percent: int, shape:
     buckets = cut_lineage(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_k"), "hub"))
     members = cut_lineage(keys.join(buckets, F.col("key") == F.col("_k")).select("key", "node", "hub"))
     label = _connect(_Finder(docs, classes, text, doc_id, width, percent, shape), members)
-    joined = cut_lineage(label.join(classes.select("node", "least_id"), "node"))
-    least = joined.groupBy("label").agg(F.min("least_id").alias("_c"))
-    linked = joined.join(least, "label").select(F.col("node").alias("_n"), "_c")
+    joined = cut_lineage(label.join(classes.select("node", "least_id", "row"), "node"))
+    least = joined.groupBy("label").agg(F.min(F.struct(F.col("least_id").isNull().alias("n"), F.col("least_id").alias("i"), F.col("row").alias("r"))).alias("_f"))
+    linked = joined.join(least, "label").select(F.col("node").alias("_n"), F.col("_f.i").alias("_c"), F.col("_f.r").alias("_r"))
     ids = cut_lineage(
-        classes.select("print", "node", "least_id").join(linked, F.col("node") == F.col("_n"), "left")
-        .select(F.col("print").alias("_p"), F.coalesce("_c", "least_id").alias("component_id"))
+        classes.select("print", "node", "least_id", "row").join(linked, F.col("node") == F.col("_n"), "left")
+        .select(F.col("print").alias("_p"), F.coalesce("_c", "least_id").alias("component_id"), F.coalesce("_r", "row").alias("survivor"))
     )
     return (
         stored.select("doc", "_id", "row", "n_shingles", "print").join(ids, F.col("print") == F.col("_p"), "left")
         .withColumn("component_id", F.when(F.col("print").isNull(), F.col("_id")).otherwise(F.col("component_id")))
-        .select("doc", "row", "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select("doc", "row", "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"), "survivor")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns as they came, less all but one of each group.
 
-    The rows to go are a small table beside the texts; rows that are equal in id and text, if there are any,
+    A group's survivor is one row, also where ids are shared or null. The rows to go are a small table beside the texts; rows that are equal in id and text, if there are any,
     are looked at by themselves, and one of them stays.
     """
-    found = cut_lineage(near_duplicates(docs, (), width, percent).select("row", "kept", "n_shingles"))
-    gone = cut_lineage(found.where("NOT kept").select(F.col("row").alias("_row")).distinct())
-    again = cut_lineage(found.where("kept AND n_shingles > 0").groupBy("row").count().where("count > 1").select("row"))
+    found = cut_lineage(near_duplicates(docs, (), width, percent).select("row", "survivor"))
+    gone = cut_lineage(found.where("row <> survivor").select(F.col("row").alias("_row")).distinct())
+    again = cut_lineage(found.where("row = survivor").groupBy("row").count().where("count > 1").select("row"))
     keyed = docs.select(packed(docs.columns).alias("doc"), identity("doc_id", "text").alias("row"))
     marked = with_bitmap(keyed, "row", gone, "_maybe")
     left = marked.where("NOT _maybe").drop("_maybe").unionByName(marked.where("_maybe").drop("_maybe").join(gone, F.col("row") == F.col("_row"), "left_anti"))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from strataflow.llm import language_id, lattice_dedup, toxicity
+from strataflow.llm import language_id, lattice_dedup, minhash_dedup, toxicity
 
 
 def test_ngrams_are_counted_over_all_labelled_rows(spark, monkeypatch):
@@ -53,3 +53,14 @@ def test_pairs_at_the_threshold_meet():
     a, b = (lattice_dedup.cell_keys(v, lattice_dedup.Lattice()) for v in (x, 0.95 * x + np.sqrt(1 - 0.95**2) * y))
     met = (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3))
     assert (~met).sum() <= 1  # about 14 with ten tables
+
+
+def test_one_of_each_group_stays_whatever_its_ids(spark):
+    words = lambda seed: " ".join("".join(random.Random(seed * 1000 + k).choices("abcdefgh", k=5)) for k in range(200))
+    rows = [(None, words(1) + f" more{k}") for k in range(3)] + [(5, words(2) + f" more{k}") for k in range(3)]
+    rows += [(7, words(3)), (None, words(3) + " x"), (8, words(3) + " y"), (None, words(4)), (None, words(4)), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = minhash_dedup.drop_near_duplicates(docs).collect()
+    groups = [sum((r.text or "").startswith(words(k)) for r in left) for k in (1, 2, 3, 4)]
+    assert groups == [1, 1, 1, 1] and len(left) == 6
+    assert [r.doc_id for r in left if (r.text or "").startswith(words(3))] == [7]

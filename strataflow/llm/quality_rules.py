@@ -121,23 +121,32 @@ def quality_rules(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str
     as often as they stand there. An empty table gives an empty result. Columns of the input never clash with
     the operator's, since they travel inside ``doc``.
     """
-    rules = _broken(limits)
+    measured = cut_lineage(_flagged(docs, carry, text, host, limits).select("doc", "_host", "n_lines", *MEASURES, *[f"_{r}" for r in RULES]))
+    return _with_verdict(measured, limits).select("doc", *MEASURES, "base_failed", "host_docs", "host_rate", "host_failed", "kept")
+
+
+def _flagged(docs: DataFrame, carry: Sequence[str], text: str, host: str, limits: Limits) -> DataFrame:
+    """``doc``, ``_host``, the measures, and a boolean ``_<rule>`` for each rule."""
     rows = docs.select(packed(carry).alias("doc"), F.col(host).cast("string").alias("_host"), text_or_empty(text).alias("_text"))
-    measured = cut_lineage(
-        _with_measures(rows)
-        .select("doc", "_host", "n_lines", *MEASURES)
-        .withColumns({f"_{name}": F.coalesce(broken, F.lit(False)) for name, broken in rules.items()})
-    )
+    return _with_measures(rows).withColumns({f"_{name}": F.coalesce(broken, F.lit(False)) for name, broken in _broken(limits).items()})
+
+
+def _with_verdict(measured: DataFrame, limits: Limits) -> DataFrame:
+    """The hosts' verdicts joined back, ``base_failed`` and ``kept``."""
     hosts = cut_lineage(host_verdicts(measured, limits)).withColumnRenamed("_host", "_h")
     failed = F.col("_short") | F.col("_repeated")
     return (
         measured.join(hosts, F.col("_host").eqNullSafe(F.col("_h")), "left")
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & ~F.coalesce("host_failed", F.lit(False)))
-        .select("doc", *MEASURES, "base_failed", "host_docs", "host_rate", "host_failed", "kept")
     )
 
 
 def keep_quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The documents, all columns as they came, that pass their own rules and whose host is not rejected."""
-    return unpacked(quality_rules(docs, docs.columns, limits=limits).where("kept"), docs.columns)
+    """The documents, all columns as they came, that pass their own rules and whose host is not rejected.
+
+    The texts are read twice and never stored: the first pass leaves only counts by host, the second works out
+    the two base rules again beside the text. A null, empty or blank text fails; a text of any length is
+    measured whole within its row; repeated rows stand or fall together; an empty table stays empty.
+    """
+    return unpacked(_with_verdict(_flagged(docs, docs.columns, "text", "source", limits), limits).where("kept"), docs.columns)

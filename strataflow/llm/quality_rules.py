@@ -132,13 +132,17 @@ def _flagged(docs: DataFrame, carry: Sequence[str], text: str, host: str, limits
 
 
 def _with_verdict(measured: DataFrame, limits: Limits) -> DataFrame:
-    """The hosts' verdicts joined back, ``base_failed`` and ``kept``."""
+    """The hosts' verdicts joined back, ``base_failed`` and ``kept``.
+
+    ``kept`` is a sum over both sides of the join, so a filter on it stays above the join and the measures below it
+    are worked out once; two conditions would be parted, and the own one worked out anew word by word in the scan.
+    """
     hosts = cut_lineage(host_verdicts(measured, limits)).withColumnRenamed("_host", "_h")
     failed = F.col("_short") | F.col("_repeated")
     return (
         measured.join(hosts, F.col("_host").eqNullSafe(F.col("_h")), "left")
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & ~F.coalesce("host_failed", F.lit(False)))
+        .withColumn("kept", failed.cast("int") + F.coalesce("host_failed", F.lit(False)).cast("int") == 0)
     )
 
 

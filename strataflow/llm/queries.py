@@ -6,7 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from strataflow.llm import chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity
+from strataflow.llm import chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, permutation_index, piece_codec
+from strataflow.llm import prefix_trie, quality_rules, source_mix, target_resampling, toxicity
 from strataflow.llm.common import small_batches
 from strataflow.queries.inputs import Tables
 
@@ -247,3 +248,82 @@ def op10_lattice_lm(t: Tables):
     model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
     scored = lattice_lm.score_texts(t.documents, model, language_id.remainder("doc_id", 10) == 0)
     return scored.select("doc.doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_permutation_index(t: Tables):
+    return permutation_index.nearest_vectors(t.embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+# All pairs. A table of up to 800 vectors is searched whole; on larger ones tests measure recall.
+SQL["op11_permutation_index"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+
+
+@query
+def op12_target_resampling(t: Tables):
+    drawn = target_resampling.resample(t.documents, t.benchmark)
+    return drawn.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC-32 bit by bit, of a list of bytes that each are followed by eight steps of -1.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform({bytes},
+    lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+_WORD_BYTES = """list_transform(range(CAST(len(hx) / 2 AS BIGINT)), lambda i: CAST(
+    16 * (strpos('0123456789ABCDEF', hx[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', hx[2 * i + 2]) - 1 AS BIGINT))"""
+SQL["op12_target_resampling"] = rf"""
+WITH x AS (
+  SELECT doc_id, coalesce(text, '') AS text, TRUE AS own FROM documents UNION ALL SELECT item_id, coalesce(text, ''), FALSE FROM benchmark),
+l AS (SELECT doc_id, own, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM x),
+o AS (SELECT doc_id, own, unnest(ws) AS word FROM l),
+k AS (SELECT word, {_CRC32.format(bytes=_WORD_BYTES)} % 10000 AS bucket FROM (SELECT word, hex(encode(word)) AS hx FROM (SELECT DISTINCT word FROM o))),
+b AS (SELECT bucket, count(*) FILTER (WHERE own) AS s, count(*) FILTER (WHERE NOT own) AS t FROM o JOIN k USING (word) GROUP BY bucket),
+z AS (SELECT CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM b),
+g AS (SELECT bucket, floor(1000 * ln((b.t + 1.0::DOUBLE) * (z.s + 10000) / ((b.s + 1.0::DOUBLE) * (z.t + 10000)))) AS gain FROM b, z),
+m AS (SELECT doc_id, floor(sum(gain) / count(*)) AS mean FROM o JOIN k USING (word) JOIN g USING (bucket) WHERE own GROUP BY doc_id),
+r AS (SELECT doc_id, len(ws) AS n_features, CAST(coalesce(mean, 0) AS BIGINT) AS weight,
+             CAST('0x' || sha256('2024:' || doc_id)[:8] AS BIGINT) AS h FROM l LEFT JOIN m USING (doc_id) WHERE own),
+c AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+n AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS i, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM c)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND i <= 10 * n // 100 THEN i END AS rank FROM n"""
+
+
+@query
+def op13_prefix_trie(t: Tables):
+    return prefix_trie.prefix_trie(t.conversations)
+
+
+_CHARS = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda y: CAST(ascii(y) AS BIGINT))"
+SQL["op13_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, conv_id - conv_id % 20 AS base, {_CRC32.format(bytes=_CHARS)} % 4 AS h FROM (SELECT conv_id, max(pos) AS n FROM t GROUP BY conv_id)),
+k AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS head FROM c LEFT JOIN c b ON b.conv_id = c.base),
+p AS (
+  SELECT k.conv_id, pos AS depth, r, x FROM k JOIN t ON t.conv_id = base AND pos <= h
+  UNION ALL SELECT conv_id, pos - h + head, r, x FROM k JOIN t USING (conv_id) WHERE pos > h),
+w AS (
+  SELECT conv_id, depth, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
+         string_agg(length(r) || ':' || r || length(x) || ':' || x, '' ) OVER (PARTITION BY conv_id ORDER BY depth) AS name FROM p
+  UNION ALL SELECT conv_id, 0, 0, '' FROM k),
+n AS (SELECT name, depth, min(conv_id) AS m, count(*) AS n_convs, max(words) AS words FROM w GROUP BY name, depth),
+u AS (SELECT n.*, a.name AS above, q.m AS parent_conv_id FROM n LEFT JOIN w a ON a.conv_id = n.m AND a.depth = n.depth - 1 LEFT JOIN n q ON q.name = a.name AND q.depth = a.depth),
+i AS (SELECT above AS name, depth - 1 AS depth, count(*) AS n_children FROM u WHERE depth > 0 GROUP BY 1, 2),
+v AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN i USING (name, depth)),
+s AS (
+  SELECT w.name, w.depth, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, CAST(sum((v.n_convs - 1) * v.words) AS BIGINT) AS saved_tokens
+  FROM v JOIN w ON w.conv_id = v.m AND w.depth <= v.depth GROUP BY 1, 2),
+e AS (
+  SELECT name, depth, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM w JOIN (SELECT conv_id, max(depth) AS depth FROM w GROUP BY 1) USING (conv_id, depth) GROUP BY 1, 2)
+SELECT v.m AS conv_id, v.depth, parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM v JOIN s USING (name, depth) LEFT JOIN e USING (name, depth)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -101,3 +102,16 @@ def content_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             ).alias("fingerprint"),
         )
     )
+
+
+def fingerprint_parts(names: Sequence[str], counted: Column) -> list[Column]:
+    """The three aggregates of :func:`content_fingerprint` over the rows that are ``counted``: count, xor and sum."""
+    values = [F.col(f"`{c}`") for c in sorted(names)]
+    row = F.when(counted, F.xxhash64(*values, *[v.isNull() for v in values]))
+    return [F.count_if(counted), F.bit_xor(row), F.sum(row.cast("decimal(38,0)"))]
+
+
+def fingerprint_of(names: Sequence[str], count: int, xor: int | None, total) -> str:
+    """The fingerprint that :func:`content_fingerprint` gives, from its aggregates."""
+    parts = [",".join(sorted(names)), str(count), *("-" if x is None else str(x) for x in (xor, total))]
+    return hashlib.md5("|".join(parts).encode()).hexdigest()

@@ -236,7 +236,7 @@ def reconcile(files: DataFrame) -> DataFrame:
     """Findings over the row counts of each file; every rule is read off the same row."""
     source, bronze = F.col("source_row_count"), F.col("bronze_row_count")
     rejected, silver = F.col("rejected_row_count"), F.col("silver_row_count")
-    malformed = F.col("malformed_row_count")
+    malformed = F.coalesce(F.col("malformed_row_count"), F.lit(0))  # logged only where there are any
     expected = bronze - rejected
     rate = rejected.cast("double") / bronze.cast("double")
 

@@ -7,7 +7,9 @@ rows stay in Spark. Batch ids, dates and times are given by the caller.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -23,7 +25,8 @@ from strataflow.plans import gold, lineage, quality_report, star
 from strataflow.session import cut_lineage, job, together
 from strataflow.sources import snapshots
 from strataflow.sources.catalogue import ALL_SOURCES, QUALITY_RULES, Source, by_name, foreign_key_targets, rules_for
-from strataflow.sources.readers import identify, read_raw
+from strataflow.sources.manifest import checksum_mismatches, load_manifest, manifest_files
+from strataflow.sources.readers import file_fingerprints, parted, read_raw, store_observed
 
 
 
@@ -103,6 +106,34 @@ def _row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
     return {r["name"]: r["n"] for r in counts.collect()}
 
 
+def _vendor_says(spark: SparkSession, raw_root: str) -> tuple[dict, dict[str, dict]]:
+    """What the delivery's manifest says of itself, and by file name the sums of files that are not as listed."""
+    manifest = load_manifest(spark, raw_root)
+    if manifest is None:
+        return {}, {}
+    said = manifest.select("vendor", "dataset", "dataset_version", "vendor_last_updated").first().asDict()
+    wrong = checksum_mismatches(manifest_files(manifest), file_fingerprints(spark, raw_root)).collect()  # at most a row per listed file
+    return said, {r["file_name"]: {"listed_md5": r["listed_md5"], "computed_md5": r["computed_md5"]} for r in wrong}
+
+
+def _drifts(spark: SparkSession, known: DataFrame, batch_id: str, bronze: str, rows: dict[str, DataFrame], digests: dict[str, str]) -> dict[str, str]:
+    """For each source whose schema is not that of its last landing, the difference as JSON."""
+    last = lineage.latest_ingestion(known.where(F.col("batch_id") != batch_id)).select("source_name", "schema_hash", "data_batch_id").collect()
+    before, after = [], []
+    for row in last:  # a row per source
+        name, held = row["source_name"], row["data_batch_id"]
+        changed = name in rows and row["schema_hash"] not in (None, digests[name])
+        if changed and snapshots.path_exists(spark, snapshots.snapshot_path(bronze, name, held)):
+            old = spark.read.parquet(snapshots.snapshot_path(bronze, name, held)).schema
+            before += [(name, f.name, f.dataType.simpleString()) for f in old.fields]
+            after += [(name, f.name, f.dataType.simpleString()) for f in rows[name].schema.fields]
+    if not before:
+        return {}
+    tables = [spark.createDataFrame(t, "source_name string, name string, type string") for t in (before, after)]
+    found = lineage.schema_drift(*tables).collect()
+    return {r["source_name"]: json.dumps({k: v for k, v in r.asDict().items() if k != "source_name"}) for r in found}
+
+
 @job
 def land_batch(
     spark: SparkSession,
@@ -112,61 +143,77 @@ def land_batch(
     at: dt.datetime,
     sources: Iterable[Source] = ALL_SOURCES,
 ) -> dict[str, str]:
-    """Land every source of a batch. Unchanged content is recorded, not written again.
-
-    Rows that do not fit the header go to the rejected sink as ``<source>_malformed``, and their count to the log.
-    A source that fails does not keep the others from landing. Returns source -> written/skipped/failed.
+    """Land every source of a batch. Unchanged content is recorded, not kept again.
+
+    A source is parsed once: its rows are written to staging while their count and fingerprint are observed, and the
+    folder is then moved into place or dropped. So what lands is what was counted, even if the file is replaced
+    meanwhile. Rows that do not fit the header go to the rejected sink as ``<source>_malformed``, and their count to
+    the log. Where the delivery has a manifest, the vendor's version and time are logged, and so is every file whose
+    md5 is not the listed one; the computed sum is the one that counts. A schema that differs from the last landing is
+    logged with its difference. A source that fails does not keep the others from landing. Returns source ->
+    written/skipped/failed.
     """
     ledger, bronze = Ledger(spark, lake), lake.layer("bronze")
     if ledger.succeeded(batch_id, "bronze"):
         return {}
+    vendor, wrong_sums = _vendor_says(spark, raw_root)
     ledger.add_run(batch_id=batch_id, layer="bronze", status="running", occurred_at=at)
     declared = by_name(sources)
-    parts, failures = together(spark, {n: lambda s=s: read_raw(spark, s, raw_root) for n, s in declared.items()})
-    identities, more = together(spark, {n: lambda p=p: identify(*p) for n, p in parts.items()})
-    failures.update(more)
-    loads = {n: rows for n, (rows, _) in parts.items() if n in identities}
-
-    known = cut_lineage(lineage.file_states(ledger.events()))
-    own = {r["source_name"]: r["fingerprint"] for r in known.where(F.col("batch_id") == batch_id).collect()}
-    for name in list(loads):
-        if own.get(name) not in (None, identities[name].fingerprint):
-            failures[name] = ConflictError(f"{name} was registered in batch {batch_id} with other content")
-            del loads[name]
-
-    held: dict[str, str | None] = {}
-    if loads:
-        arriving = spark.createDataFrame(
-            [(batch_id, n, identities[n].fingerprint) for n in loads], "batch_id string, source_name string, fingerprint string"
-        )
-        found = snapshots.previously_landed(known, arriving).collect()  # a row per source
-        held = {r["source_name"]: r["data_batch_id"] for r in found}
-
-    def store(name: str) -> None:
-        if identities[name].malformed_count:
-            aside = parts[name][1].withColumn("_dq_failure_reason", F.lit(f"malformed:{name}"))
-            snapshots.write_rejected(aside, lake.root, f"{name}_malformed", batch_id)
-        if held[name] is None:
-            snapshots.write_snapshot(loads[name], bronze, name, batch_id)
-
-    _, more = together(spark, {n: lambda n=n: store(n) for n in loads if held[n] is None or identities[n].malformed_count})
-    failures.update(more)
+    staging = lake.layer(f"_staging/{uuid.uuid4().hex}")
+    wholes, failures = together(spark, {n: lambda s=s: read_raw(spark, s, raw_root) for n, s in declared.items()})
+    try:
+        identities, more = together(spark, {n: lambda n=n, w=w: store_observed(w, f"{staging}/{n}") for n, w in wholes.items()})
+        failures.update(more)
+        loads = {n: parted(wholes[n])[0] for n in identities}
+
+        known = cut_lineage(lineage.file_states(ledger.events()))
+        own = {r["source_name"]: r["fingerprint"] for r in known.where(F.col("batch_id") == batch_id).collect()}
+        for name in list(loads):
+            if own.get(name) not in (None, identities[name].fingerprint):
+                failures[name] = ConflictError(f"{name} was registered in batch {batch_id} with other content")
+                del loads[name]
+
+        held: dict[str, str | None] = {}
+        if loads:
+            arriving = spark.createDataFrame(
+                [(batch_id, n, identities[n].fingerprint) for n in loads], "batch_id string, source_name string, fingerprint string"
+            )
+            found = snapshots.previously_landed(known, arriving).collect()  # a row per source
+            held = {r["source_name"]: r["data_batch_id"] for r in found}
+
+        def store(name: str) -> None:
+            if identities[name].malformed_count:
+                aside = parted(wholes[name])[1].withColumn("_dq_failure_reason", F.lit(f"malformed:{name}"))
+                snapshots.write_rejected(aside, lake.root, f"{name}_malformed", batch_id)
+            if held[name] is None:
+                snapshots.publish_snapshot(spark, f"{staging}/{name}", bronze, name, batch_id)
+
+        _, more = together(spark, {n: lambda n=n: store(n) for n in loads if held[n] is None or identities[n].malformed_count})
+        failures.update(more)
+    finally:
+        snapshots.drop_folder(spark, staging)
     landed = [n for n in loads if n not in failures]
     digests = _schema_hashes(spark, loads) if loads else {}
+    drifts = _drifts(spark, known, batch_id, bronze, loads, digests) if loads else {}
     counts = _row_counts({n: snapshots.read_snapshot(spark, bronze, n, held[n] or batch_id) for n in landed})
 
     events = []
     for name, source in declared.items():
         path = source.path(raw_root)
+        wrong = wrong_sums.get(path.rsplit("/", 1)[-1])
         if name in loads:
             identity = identities[name]
             events += [
                 _event(batch_id, source, path, "registered", at, status="registered", fingerprint=identity.fingerprint,
-                       schema_hash=digests[name]),
+                       schema_hash=digests[name], payload=json.dumps(vendor) if vendor else None),
                 _event(batch_id, source, path, "ingest_started", at, status="ingesting", row_count=identity.row_count + identity.malformed_count),
             ]
             if identity.malformed_count:
                 events.append(_event(batch_id, source, path, "malformed_set_aside", at, row_count=identity.malformed_count))
+            if wrong:
+                events.append(_event(batch_id, source, path, "checksum_mismatch", at, payload=json.dumps(wrong)))
+            if name in drifts:
+                events.append(_event(batch_id, source, path, "schema_drift", at, payload=drifts[name]))
         if name in failures:
             events.append(_event(batch_id, source, path, "failed", at, status="failed"))
         else:
@@ -369,6 +416,14 @@ def check_gate(spark: SparkSession, lake: Lake, batch_id: str, threshold_pct: fl
     return decision
 
 
+def _reconcile_batch(ledger: Ledger, batch_id: str, at: dt.datetime) -> None:
+    """Close a batch with a ``reconciled`` event per file that counts the findings over its row counts."""
+    files = lineage.files_of_batch(lineage.file_states(ledger.events().where(F.col("batch_id") == batch_id)), batch_id)
+    keys = ("batch_id", "source_name", "source_file_path")
+    found = lineage.reconciliation_events(files).collect()  # a row per source
+    ledger.add_events([{**{k: r[k] for k in keys}, "event_type": "reconciled", "row_count": r["finding_count"], "payload": r["payload"], "occurred_at": at} for r in found])
+
+
 @job
 def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, at: dt.datetime) -> dict[str, int]:
     """Build every gold table from the batch's own snapshot of the star schema."""
@@ -399,6 +454,8 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, at: dt.datetim
         if a.primary_source == name and a.name in rows
     ]
     ledger.add_events(events)
+    if not errors:
+        _reconcile_batch(ledger, batch_id, at)
     ledger.add_run(
         batch_id=batch_id,
         layer="gold",

@@ -53,7 +53,7 @@ def _messy_delivery(t: Tables) -> tuple[DataFrame, DataFrame]:
     line = F.concat_ws(",", key.cast("string"), F.lit("1"), F.lit("1998-01-01"), F.lit("0.5"), F.lit("true"), F.lit("note"), extra)
     # A single column with another separator, so that the line and the header are written as they stand.
     t.orders.where(key % 7 == 2).select(line.alias(",".join(ORDER_COLUMNS))).write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
-    return readers.csv_parts(t.spark, path, ORDER_COLUMNS, na_values=["missing"], multiline=True)
+    return readers.csv_parts(t.spark, path, ORDER_COLUMNS, na_values=["missing"])
 
 
 @query("csv_coerce", _ORDER_SQL, sparse=("o_custkey",))
@@ -196,22 +196,26 @@ def dq_report_sink(t: Tables) -> DataFrame:
 # --- Fingerprints and manifests ---
 
 
+#: Keys whose lines make one file; the number of files follows the table.
+FILE_KEYS = 500
+
+
 @query(
     "fingerprint_files",
-    """SELECT CAST(p_partkey % 4 AS BIGINT) AS bucket, CAST(sum(strlen(line) + 1) AS BIGINT) AS size_bytes,
-              md5(string_agg(line || chr(10), '' ORDER BY p_partkey)) AS checksum_md5, FALSE AS refused
+    f"""SELECT p_partkey // {FILE_KEYS} AS bucket, CAST(sum(strlen(line) + 1) AS BIGINT) AS size_bytes,
+               md5(string_agg(line || chr(10), '' ORDER BY p_partkey)) AS checksum_md5
        FROM (SELECT p_partkey, concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size, CAST(round(p_retailprice * 100) AS BIGINT)) AS line FROM part)
-       GROUP BY p_partkey % 4""",
+       GROUP BY p_partkey // {FILE_KEYS}""",
 )
 def fingerprint_files(t: Tables) -> DataFrame:
-    """Files written from the parts of this run, one per bucket, their lines in the order of the key."""
+    """Files written from the parts of this run, one per run of keys, their lines in the order of the key."""
     path = scratch_path(t.spark, "files")
     columns = [c if c != "p_retailprice" else F.round(F.col(c) * 100).cast("long") for c in t.part.columns]
-    lines = t.part.select((F.col("p_partkey") % 4).alias("bucket"), "p_partkey", F.concat_ws("|", *columns).alias("line"))
-    dealt = lines.repartition(4, "bucket").sortWithinPartitions("bucket", "p_partkey")
+    lines = t.part.select(F.expr(f"p_partkey div {FILE_KEYS}").alias("bucket"), "p_partkey", F.concat_ws("|", *columns).alias("line"))
+    dealt = lines.repartition("bucket").sortWithinPartitions("bucket", "p_partkey")
     dealt.select("bucket", "line").write.partitionBy("bucket").text(path)
     found = readers.file_fingerprints(t.spark, path).where(F.col("file_name").startswith("part-"))
-    return found.select(F.regexp_extract("file_path", "bucket=(\\d+)", 1).cast("long").alias("bucket"), "size_bytes", "checksum_md5", "refused")
+    return found.select(F.regexp_extract("file_path", "bucket=(\\d+)", 1).cast("long").alias("bucket"), "size_bytes", "checksum_md5")
 
 
 @query(

@@ -21,7 +21,7 @@ class Source:
     tracked_columns: tuple[str, ...] = ()
     pii_columns: tuple[str, ...] = ()
     expected_min_rows: int | None = None
-    multiline: bool = False  # values may hold line breaks inside quotes
+    multiline: bool = True  # False: the vendor warrants that no quoted value holds a line break, which saves a scan
 
     def __post_init__(self) -> None:
         struct_type(self.schema)

@@ -3,65 +3,81 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping, Sequence
+import urllib.parse
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.functions.hashing import content_fingerprint
+from strataflow.functions.hashing import content_fingerprint, fingerprint_of, fingerprint_parts
 from strataflow.sources.catalogue import Source
+from strataflow.sources.records import quoted_records, scan_quotes
 from strataflow.sources.schema import coerce
 
 
-_MALFORMED = "_malformed"
+MALFORMED = "_malformed"
 _END = "\u0001end"  # stands behind the last value of a marked text
-MAX_FILE_BYTES = 2**31 - 1  # of a file whose digest is taken; what a single value can hold
+_FORM = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CHUNK_BYTES = 8 << 20
 
 
-def read_csv(
-    spark: SparkSession,
-    path: str,
-    schema: Mapping[str, str] | None = None,
-    na_values: Sequence[str] = (),
-    multiline: bool = False,
-) -> DataFrame:
-    """A CSV with a header, read as text in one pass and coerced leniently.
+def read_csv(spark: SparkSession, path: str, schema: Mapping[str, str] | None = None, na_values: Sequence[str] = (), multiline: bool = True) -> DataFrame:
+    """A CSV with a header, read as text and coerced leniently.
 
-    Rows with more values than the header are not among these; :func:`csv_parts` has them too. ``multiline`` allows line breaks inside quotes, but then each file is read by a single task.
+    Rows with more values than the header are not among these; :func:`csv_parts` has them too.
     """
     return csv_parts(spark, path, schema, na_values, multiline)[0]
 
 
 def csv_parts(
-    spark: SparkSession,
-    path: str,
-    schema: Mapping[str, str] | None = None,
-    na_values: Sequence[str] = (),
-    multiline: bool = False,
+    spark: SparkSession, path: str, schema: Mapping[str, str] | None = None, na_values: Sequence[str] = (), multiline: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows of a CSV, and apart from them the text of those rows that hold more values than the header.
+    """The rows of a CSV, and apart from them the text of those rows that hold more values than the header."""
+    return parted(csv_rows(spark, path, schema, na_values, multiline))
+
+
+def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that fit, and the ``malformed`` text of those that do not."""
+    return rows.where(F.col(MALFORMED).isNull()).drop(MALFORMED), rows.where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("malformed"))
 
-    A row with fewer values is filled with NULLs. No value is dropped: a row that does not fit is set aside
-    whole, as ``malformed``.
+
+def csv_rows(
+    spark: SparkSession, path: str, schema: Mapping[str, str] | None = None, na_values: Sequence[str] = (), multiline: bool = True
+) -> DataFrame:
+    """The coerced columns of a CSV and ``_malformed``, the whole text of a row that holds more values than the header.
+
+    A row with fewer values is filled with NULLs. No value is dropped: a row that does not fit is set aside whole.
+    Line breaks inside quotes are part of the value, however large the file: where a scan for quotes finds any, records
+    are cut by :mod:`strataflow.sources.records`, else Spark's own reader takes lines for records. ``multiline=False``
+    saves that scan where the vendor warrants that no value holds a line break. A quote that the file never closes
+    raises.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": multiline, "columnPruning": False}
-    names = spark.read.options(**options).csv(path).columns
-    texts = [T.StructField(name, T.StringType()) for name in names]
-    whole = T.StructType([*texts, T.StructField(_MALFORMED, T.StringType())])
-    raw = spark.read.options(columnNameOfCorruptRecord=_MALFORMED, enforceSchema=True, **options).schema(whole).csv(path)
+    options = {"header": True, **_FORM}
+    names = spark.read.options(multiLine=True, **options).csv(path).columns
+    cells = [f"_{i}" for i in range(len(names))]
+    scan = scan_quotes(spark, path) if multiline else None
+    if scan is None or not scan.breaks:
+        whole = T.StructType([T.StructField(c, T.StringType()) for c in (*cells, MALFORMED)])
+        reader = spark.read.options(columnNameOfCorruptRecord=MALFORMED, enforceSchema=True, columnPruning=False, **options)
+        raw = reader.schema(whole).csv(path)
+    else:
+        kinds = ", ".join(f"{c} string" for c in (*cells, MALFORMED))
+        # A record is one value here, and `multiLine` leaves the line breaks inside it as they are.
+        parsed = F.from_csv("value", kinds, {**_FORM, "multiLine": "true", "columnNameOfCorruptRecord": MALFORMED})
+        raw = quoted_records(spark, path, scan).where("kind <> 'header'").select(parsed.alias("r")).select("r.*")
     # Spark also marks rows that are too short. A sign behind the last value tells them apart: where the row is too
     # long, it is found neither in the header's columns nor right behind them. Empty values at the end are no values.
-    cells = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names) + 1)])
-    signed = F.concat(F.regexp_replace(_MALFORMED, "[,\\r\\n]+$", ""), F.lit(f",{_END}"))
-    again = F.from_csv(signed, cells.simpleString()[7:-1].replace(":", " "), {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    short = F.exists(F.array(*[again[c] for c in cells.names]), lambda c: F.coalesce(c.endswith(_END), F.lit(False)))
+    signed = F.concat(F.regexp_replace(MALFORMED, "[,\\r\\n]+$", ""), F.lit(f",{_END}"))
+    again = F.from_csv(signed, ", ".join(f"_{i} string" for i in range(len(names) + 1)), {**_FORM, "multiLine": "true"})
+    short = F.exists(F.array(*[again[f"_{i}"] for i in range(len(names) + 1)]), lambda c: F.coalesce(c.endswith(_END), F.lit(False)))
     # Spark refuses to read the marked text alone, so the condition looks at a column beside it, which changes nothing.
-    beside = F.length(F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)) == 0
-    parted = raw.withColumn("_too_long", F.col(_MALFORMED).isNotNull() & ~F.coalesce(short, F.lit(False)) & beside)
-    rows = coerce(parted.where("NOT _too_long").select(*[F.col(f"`{n}`") for n in names]), schema or {}, na_values)
-    return rows, parted.where("_too_long").select(F.col(_MALFORMED).alias("malformed"))
+    beside = F.length(F.substring(F.coalesce(cells[0], F.lit("")), 1, 0)) == 0
+    aside = F.when(F.col(MALFORMED).isNotNull() & ~F.coalesce(short, F.lit(False)) & beside, F.col(MALFORMED))
+    named = raw.select(*[F.col(c).alias(n) for c, n in zip(cells, names)], aside.alias(MALFORMED))
+    return coerce(named, schema or {}, na_values)  # a malformed text is none of the texts that stand for a missing value
 
 
 def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
@@ -79,16 +95,18 @@ def read_parquet(spark: SparkSession, path: str, base_path: str | None = None) -
     return reader.schema(texts).parquet(path)
 
 
-def read_raw(spark: SparkSession, source: Source, raw_root: str) -> tuple[DataFrame, DataFrame | None]:
-    """The declared source in its declared format, and the ``malformed`` text of rows that do not fit, if it can have any."""
+def read_raw(spark: SparkSession, source: Source, raw_root: str) -> DataFrame:
+    """The declared source in its declared format, with ``_malformed``: the text of a row that does not fit, else NULL."""
     path = source.path(raw_root)
     if source.format == "csv":
-        return csv_parts(spark, path, source.schema, multiline=source.multiline)
+        return csv_rows(spark, path, source.schema, multiline=source.multiline)
     if source.format == "parquet":
-        return coerce(read_parquet(spark, path), source.schema), None
-    if source.format == "json":
-        return coerce(spark.read.json(path), source.schema), None
-    raise ValueError(f"source {source.name} has the unknown format {source.format!r}")
+        rows = read_parquet(spark, path)
+    elif source.format == "json":
+        rows = spark.read.json(path)
+    else:
+        raise ValueError(f"source {source.name} has the unknown format {source.format!r}")
+    return coerce(rows, source.schema).withColumn(MALFORMED, F.lit(None).cast("string"))
 
 
 @dataclass(frozen=True)
@@ -100,17 +118,31 @@ class Identity:
     fingerprint: str
 
 
-def identify(rows: DataFrame, malformed: DataFrame | None) -> Identity:
-    """One job over both parts. Without malformed rows the fingerprint is that of the rows."""
-    parts = content_fingerprint(rows).withColumn("_part", F.lit(0))
-    if malformed is not None:
-        parts = parts.unionByName(content_fingerprint(malformed).withColumn("_part", F.lit(1)))
-    found = {r["_part"]: r for r in parts.collect()}  # a row per part
-    aside = found[1]["row_count"] if 1 in found else 0
-    fingerprint = found[0]["fingerprint"]
-    if aside:
-        fingerprint = hashlib.md5(f"{fingerprint}|{found[1]['fingerprint']}".encode()).hexdigest()
-    return Identity(found[0]["row_count"], aside, fingerprint)
+def identity_aggregates(rows: DataFrame) -> list[Column]:
+    """What :func:`identity_of` needs, as aggregates that any pass over the rows can compute or observe."""
+    fits = F.col(MALFORMED).isNull()
+    names = [c for c in rows.columns if c != MALFORMED]
+    return [
+        *[a.alias(f"rows_{i}") for i, a in enumerate(fingerprint_parts(names, fits))],
+        *[a.alias(f"aside_{i}") for i, a in enumerate(fingerprint_parts([MALFORMED], ~fits))],
+    ]
+
+
+def identity_of(names: Sequence[str], found: Mapping) -> Identity:
+    """Without malformed rows the fingerprint is that of the rows."""
+    rows, aside = ([found[f"{part}_{i}"] for i in range(3)] for part in ("rows", "aside"))
+    fingerprint = fingerprint_of([n for n in names if n != MALFORMED], *rows)
+    if aside[0]:
+        fingerprint = hashlib.md5(f"{fingerprint}|{fingerprint_of(['malformed'], *aside)}".encode()).hexdigest()
+    return Identity(rows[0], aside[0], fingerprint)
+
+
+def store_observed(rows: DataFrame, path: str) -> Identity:
+    """Write the rows that fit and return the identity of the whole delivery, both from one pass over the raw text."""
+    seen = Observation()
+    watched = rows.observe(seen, *identity_aggregates(rows))
+    watched.where(F.col(MALFORMED).isNull()).drop(MALFORMED).write.parquet(path)
+    return identity_of(rows.columns, seen.get)
 
 
 @dataclass(frozen=True)
@@ -121,31 +153,55 @@ class Load:
     rows: DataFrame
     row_count: int
     fingerprint: str
-    malformed: DataFrame | None = None
+    malformed: DataFrame
     malformed_count: int = 0
 
 
 def load_source(spark: SparkSession, source: Source, raw_root: str) -> Load:
-    rows, malformed = read_raw(spark, source, raw_root)
-    identity = identify(rows, malformed)
+    whole = read_raw(spark, source, raw_root)
+    identity = identity_of(whole.columns, whole.agg(*identity_aggregates(whole)).first().asDict())
+    rows, malformed = parted(whole)
     return Load(source, rows, identity.row_count, identity.fingerprint, malformed, identity.malformed_count)
 
 
-def file_fingerprints(spark: SparkSession, path: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """S8 at file grain: name, size, md5 and modification time of every file under ``path``.
+def _open(path: str):
+    """A stream over a file of any file system Arrow knows."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"))
+    system, inner = fs.FileSystem.from_uri(urllib.parse.quote(path, safe=":/@"))
+    return system.open_input_stream(inner)
+
+
+def _digests(chunk: int):
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["file_path"]:
+                digest = hashlib.md5()
+                with _open(path) as stream:
+                    while part := stream.read(chunk):
+                        digest.update(part)
+                found.append(digest.hexdigest())
+            yield batch.assign(checksum_md5=found)
 
-    A digest needs the file as one value, so files above ``max_bytes`` are named with ``refused`` set and
-    without a digest, and their content is not read; tables of any size are identified by
-    :func:`content_fingerprint`.
+    return digests
+
+
+def file_fingerprints(spark: SparkSession, path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """S8 at file grain: name, path, size, modification time and md5 of every file under ``path``.
+
+    Files are dealt out to tasks by name and streamed in chunks, so their size does not matter; one file is read by
+    one task, since md5 can only be taken in order. Spark lists no empty files. Tables are identified by :func:`content_fingerprint`.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    named = [
+    listed = files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("path").alias("file_path"),
         F.col("length").alias("size_bytes"),
-    ]
-    fits = files.where(F.col("length") <= max_bytes).select(*named, F.md5("content").alias("checksum_md5"), "modificationTime")
-    large = files.where(F.col("length") > max_bytes).select(*named, F.lit(None).cast("string").alias("checksum_md5"), "modificationTime")
-    return fits.unionByName(large).select(
-        "file_name", "file_path", "size_bytes", "checksum_md5", F.col("checksum_md5").isNull().alias("refused"), F.col("modificationTime").alias("modified_at")
+        F.col("modificationTime").cast("timestamp_ntz").cast("string").alias("modified_at"),
     )
+    kinds = "file_name string, file_path string, size_bytes long, modified_at string, checksum_md5 string"
+    streamed = listed.repartition("file_path").mapInPandas(_digests(chunk), kinds)
+    return streamed.select("file_name", "file_path", "size_bytes", "checksum_md5", F.col("modified_at").cast("timestamp_ntz").alias("modified_at"))

@@ -51,6 +51,23 @@ def write_snapshot(df: DataFrame, root: str, table: str, batch_id: str) -> None:
     df.drop(BATCH_COLUMN).write.mode("overwrite").parquet(snapshot_path(root, table, batch_id))
 
 
+def publish_snapshot(spark: SparkSession, staged: str, root: str, table: str, batch_id: str) -> None:
+    """Make a written folder a batch of a table by moving it; a folder of that batch that is there already goes."""
+    target = snapshot_path(root, table, batch_id)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(staged), path(target)):
+        raise OSError(f"{staged} could not be moved to {target}")
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_snapshot(spark: SparkSession, root: str, table: str, batch_id: str) -> DataFrame:
     """One batch of a table; only its own folder is listed, and its id stays the text it is."""
     return spark.read.parquet(snapshot_path(root, table, batch_id)).withColumn(BATCH_COLUMN, F.lit(batch_id))

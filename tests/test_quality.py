@@ -1,14 +1,19 @@
 """Rules, reports, gate, lineage and storage on hand-written rows."""
 
 import datetime as dt
+import hashlib
 import json
+import os
+import random
 
+import pandas as pd
 import pytest
 
+from strataflow.functions.hashing import content_fingerprint
 from strataflow.operators import quality
 from strataflow.operators.quality import CRITICAL, REASON, WARNING, ForeignKey, HasColumns, NotNull, Range, Unique
 from strataflow.plans import lineage, quality_report
-from strataflow.sources import catalogue, manifest, readers, snapshots
+from strataflow.sources import catalogue, manifest, readers, records, snapshots
 
 
 def failed(df, rule, references=None):
@@ -102,7 +107,7 @@ def test_csv_with_quotes_and_commas(spark, tmp_path):
 def test_csv_with_line_breaks_and_rows_that_do_not_fit(spark, tmp_path):
     text = 'id,note,n\n1,"two\nlines",5\n2,short\n3,a,4,too many\n4,"x, ""y""",6\n'
     (tmp_path / "notes.csv").write_text(text, encoding="utf-8")
-    rows, malformed = readers.csv_parts(spark, str(tmp_path / "notes.csv"), {"id": "int", "n": "int"}, multiline=True)
+    rows, malformed = readers.csv_parts(spark, str(tmp_path / "notes.csv"), {"id": "int", "n": "int"})
     assert sorted(map(tuple, rows.collect())) == [(1, "two\nlines", 5), (2, "short", None), (4, 'x, "y"', 6)]
     assert [r["malformed"] for r in malformed.collect()] == ["3,a,4,too many"]
     assert (rows.count(), malformed.count()) == (3, 1)
@@ -110,7 +115,7 @@ def test_csv_with_line_breaks_and_rows_that_do_not_fit(spark, tmp_path):
 
 def test_csv_rows_with_empty_values_before_a_stray_one(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,n\n1,2,,x\n2,3,\n3\n4,"5\n5,6\n6,7,"a, b",c\n', encoding="utf-8")
-    rows, malformed = readers.csv_parts(spark, str(tmp_path / "a.csv"), {"id": "int"})
+    rows, malformed = readers.csv_parts(spark, str(tmp_path / "a.csv"), {"id": "int"}, multiline=False)
     assert sorted((r["id"], r["n"]) for r in rows.where("id <> 4").collect()) == [(2, "3"), (3, None), (5, "6")]
     assert sorted(r["malformed"] for r in malformed.collect()) == ["1,2,,x", '6,7,"a, b",c']
     assert rows.count() + malformed.count() == 6
@@ -125,11 +130,53 @@ def test_load_counts_rows_that_do_not_fit(spark, tmp_path):
     assert readers.load_source(spark, source, str(tmp_path)).fingerprint != load.fingerprint
 
 
-def test_large_files_are_named_but_not_read(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("abc")
-    (tmp_path / "b.csv").write_text("abcdef")
-    got = {r["file_name"]: (r["checksum_md5"], r["refused"]) for r in readers.file_fingerprints(spark, str(tmp_path), max_bytes=4).collect()}
-    assert got == {"a.csv": ("900150983cd24fb0d6963f7d28e17f72", False), "b.csv": (None, True)}
+def test_files_of_any_size_are_streamed(spark, tmp_path):
+    whole = os.urandom(1000)
+    (tmp_path / "a b.csv").write_text("abc")
+    (tmp_path / "b.csv").write_bytes(whole)
+    (tmp_path / "empty").write_text("")
+    got = {r["file_name"]: r["checksum_md5"] for r in readers.file_fingerprints(spark, str(tmp_path), chunk=7).collect()}
+    assert got == {"a b.csv": "900150983cd24fb0d6963f7d28e17f72", "b.csv": hashlib.md5(whole).hexdigest()}  # Spark lists no empty files
+
+
+@pytest.mark.parametrize("split", ["128m", "97b", "1000b"])
+def test_hostile_csv_reads_as_pandas_does(spark, tmp_path, split):
+    """Quoted line breaks, stray quotes, escaped quotes and carriage returns, in ranges of any size."""
+    draw = random.Random(7)
+    pieces = ["a", ",", '"', "\n", "\r\n", "é", " ", "x,y", '""', "line\nline\nline", "long " * 40]
+    rows = []
+    for i in range(300):
+        value = "".join(draw.choices(pieces, k=draw.randint(1, 6)))
+        plain = draw.choice(['5" pipe', "it's", 'a"b"c', "word", ""])
+        rows.append((str(i), value, plain))
+    quoted = "\n".join(f'{i},"{v.replace(chr(34), chr(34) * 2)}",{p}' for i, v, p in rows)
+    (tmp_path / "a.csv").write_bytes(f"id,value,plain\n{quoted}\n\n".encode())
+    want = pd.read_csv(tmp_path / "a.csv", dtype=str, keep_default_na=False, lineterminator="\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got, malformed = readers.csv_parts(spark, str(tmp_path / "a.csv"))
+        got = {r["id"]: (r["value"], r["plain"]) for r in got.collect()}
+        assert malformed.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert got == {r.id: (r.value, r.plain or None) for r in want.itertuples()}
+
+
+def test_a_quote_that_never_closes_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,n\n1,"two\n3,4\n')
+    with pytest.raises(records.UnclosedQuote):
+        readers.csv_parts(spark, str(tmp_path / "a.csv"))
+
+
+def test_one_pass_gives_rows_and_identity(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,n\n1,2\n2,3,4\n5,"a\nb"\n')
+    whole = readers.csv_rows(spark, str(tmp_path / "a.csv"), {"id": "int"})
+    identity = readers.store_observed(whole, str(tmp_path / "staged"))
+    stored = spark.read.parquet(str(tmp_path / "staged"))
+    assert sorted(map(tuple, stored.collect())) == [(1, "2"), (5, "a\nb")]
+    own = content_fingerprint(stored).first()["fingerprint"]
+    aside = content_fingerprint(readers.parted(whole)[1]).first()["fingerprint"]
+    assert identity == readers.Identity(2, 1, hashlib.md5(f"{own}|{aside}".encode()).hexdigest())
 
 
 def test_reading_parquet_leaves_the_session_alone(spark, tmp_path):

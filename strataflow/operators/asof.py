@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataflow.operators.ordered import HOT_LIMIT, carry_forward
+from strataflow.operators.ordered import HOT_LIMIT, SLICE, carry_forward, greatest_before, range_slices
+from strataflow.session import cut_lineage
 
 # Versions of one key up to which each event may be compared with all of them.
 FEW_VERSIONS = 64
@@ -50,46 +53,108 @@ def asof_join(
     if valid_to:
         slim = slim.where(F.col("_to") >= F.col("_from"))
     slim = slim.withColumn("_after", F.lit(False))
-    earlier = W.partitionBy(*version_keys).orderBy("_from", "_tie").rowsBetween(W.unboundedPreceding, -1)
-    inside = F.max("_to").over(earlier) > F.col("_to") if valid_to else F.lit(False)
-    sizes = slim.select(*version_keys, F.coalesce(inside, F.lit(False)).alias("_inside")).groupBy(*version_keys)
-    most, nested = sizes.agg(F.count("*").alias("n"), F.max("_inside").alias("i")).agg(F.max("n"), F.max("i")).first()
-    if nested:
-        slim = _unnested(slim, version_keys, inside)
+    nested = None
+    if valid_to:
+        # One row per key that has a version inside another; where there is none, nothing below costs anything.
+        seen = greatest_before(slim.select(*version_keys, "_from", "_to", "_tie"), version_keys, ["_from", "_tie"], "_to", "_older_end", hot_limit)
+        keyed = seen.groupBy(*version_keys).agg(F.count("*").alias("n"), F.max(F.coalesce(F.col("_older_end") > F.col("_to"), F.lit(False))).alias("inside"))
+        counted = cut_lineage(keyed.withColumn("n", F.col("n") * F.when(F.col("inside"), 2).otherwise(1)))
+        most, any_inside = counted.agg(F.max("n"), F.max("inside")).first()
+        nested = counted.where("inside").select(*version_keys) if any_inside else None
+    else:
+        most = slim.groupBy(*version_keys).count().agg(F.max("count")).first()[0]
+    if nested is not None:
+        slim = slim.join(nested, version_keys, "left_anti").unionByName(_unnested(slim.join(nested, version_keys, "left_semi"), version_keys))
     # Events that lack a key or a time cannot match; they are kept out of the shuffle, where they would be one hot key.
     lacking = F.col(event_time).isNull()
     for key in keys:
         lacking = lacking | F.col(key).isNull()
     unmatched = events.where(lacking).select("*", *_nulls(slim, list(take.values())))
     complete = events.where(~lacking)
-    if (most or 0) * (2 if nested else 1) <= few_versions:
+    if (most or 0) <= few_versions:
         matched = _compare(complete, slim, keys, event_time, valid_to is not None, list(take.values()))
     else:
         matched = _merge(complete, slim, keys, event_time, valid_to is not None, list(take.values()), hot_limit)
     return matched.unionByName(unmatched)
 
 
-def _unnested(slim, version_keys, inside):
+def _sweep(only_open: bool):
+    """Passes over the points of a slice in order and keeps the versions that are open, the newest on top.
+
+    A row is a begin or an end of a version, or (``p`` below 0) a version handed on from earlier slices. Numbers stand
+    for places in the order of all points (``p``, and ``p_end`` for the version's end) and of all versions (``v``, newer
+    ones greater). Gives the newest open version at the last row of each point; or, with ``only_open``, the versions
+    that are handed on: those still open, without any that a newer one outlasts.
+    """
+
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, begun = None, [], []
+        for batch in batches:
+            found = []
+            for part, p, v, p_end, last in zip(*(batch[c].tolist() for c in ("slice", "p", "v", "p_end", "last"))):
+                if part != at:
+                    if only_open and at is not None:
+                        found += _outlasting(at, begun)
+                    at, held, begun = part, [], []
+                if v >= 0:
+                    if only_open:
+                        begun.append((v, p_end))
+                    else:
+                        heapq.heappush(held, (-v, p_end))
+                if last and not only_open:
+                    while held and held[0][1] <= p:
+                        heapq.heappop(held)
+                    found.append((part, p, -held[0][0] if held else -1, -1))
+            yield pd.DataFrame(found, columns=["slice", "p", "v", "p_end"])
+        if only_open and at is not None:
+            yield pd.DataFrame(_outlasting(at, begun), columns=["slice", "p", "v", "p_end"])
+
+    return sweep
+
+
+def _outlasting(part: int, versions: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    kept, latest = [], -1
+    for v, p_end in sorted(versions, reverse=True):
+        if p_end > latest:
+            kept.append((part, -1, v, p_end))
+            latest = p_end
+    return kept
+
+
+def _unnested(slim, version_keys):
     """Versions of keys where one lies inside another, cut at every begin and end; the newest one holds between.
 
     ``_after``: the piece begins just after ``_from``, where a version ended. A piece without a version has a
-    NULL ``_to`` and holds for no event. Keys without such versions stay as they are.
+    NULL ``_to`` and holds for no event.
+
+    Begins and ends are laid in one order and cut into slices of it, whatever key they belong to; a slice is swept
+    once, starting with the versions that earlier slices have left open. The work is a sort of the points, and what a
+    slice hands on is only what may still become the newest.
     """
-    flagged = slim.withColumn("_inside", F.coalesce(inside, F.lit(False))).withColumn("_any", F.max("_inside").over(W.partitionBy(*version_keys)))
-    plain = flagged.where(~F.col("_any")).select(*slim.columns)
-    cut = flagged.where("_any").select(*slim.columns)
-    renamed = {k: f"_c{i}" for i, k in enumerate(version_keys)}
-    begins = cut.select(*[F.col(k).alias(c) for k, c in renamed.items()], F.col("_from").alias("_at"), F.lit(False).alias("_side"))
-    ends = cut.select(*[F.col(k).alias(c) for k, c in renamed.items()], F.col("_to").alias("_at"), F.lit(True).alias("_side"))
-    points = begins.unionByName(ends).distinct()
-    holds = (F.col("_from") <= F.col("_at")) & F.when(F.col("_side"), F.col("_to") > F.col("_at")).otherwise(F.col("_to") >= F.col("_at"))
-    for k, c in renamed.items():
-        holds = holds & (F.col(k) == F.col(c))
-    newest = F.max_by(F.struct("_to", "_tie", "_take"), F.struct("_from", "_tie")).alias("_v")
-    pieces = points.join(cut, holds, "left").groupBy(*renamed.values(), "_at", "_side").agg(newest)
-    return plain.unionByName(
-        pieces.select(*[F.col(c).alias(k) for k, c in renamed.items()], F.col("_at").alias("_from"), "_v._to", "_v._tie", "_v._take", F.col("_side").alias("_after"))
-    )
+    rows = slim.count()
+    ordered = range_slices(slim, [F.col(c) for c in (*version_keys, "_from", "_tie")], rows, numbered="_n")
+    versions = ordered.withColumn("v", F.col(SLICE).cast("long") * F.lit(1 << 33) + F.col("_n")).drop(SLICE, "_n", "_after")
+    begins = versions.select(*version_keys, F.col("_from").alias("_at"), F.lit(False).alias("_side"), "v")
+    ends = versions.select(*version_keys, F.col("_to").alias("_at"), F.lit(True).alias("_side"), "v")
+    place = [*version_keys, "_at", "_side"]
+    # Rows of one point have one sort key, so they are never parted.
+    points = range_slices(begins.unionByName(ends), [F.col(c) for c in place], 2 * rows, numbered="_n")
+    points = points.withColumn("p", F.col(SLICE).cast("long") * F.lit(1 << 33) + F.col("_n"))
+    last = points.groupBy(*place).agg(F.max("p").alias("p"))
+    end_of = points.where("_side").select(F.col("v").alias("_v"), F.col("p").alias("p_end"), F.col(SLICE).alias("_end_slice"))
+    begun = cut_lineage(points.where("NOT _side").join(end_of, F.col("v") == F.col("_v")).select(F.col(SLICE).alias("slice"), "p", "v", "p_end", "_end_slice"))
+    kind = "slice int, p long, v long, p_end long"
+    crossing = begun.where("_end_slice > slice").withColumn("last", F.lit(False))
+    left_open = cut_lineage(crossing.repartition("slice").sortWithinPartitions("slice", "p").mapInPandas(_sweep(True), kind))
+    # Where a version ends says which slices it reaches into.
+    reach = left_open.select("slice", "v", "p_end", F.shiftright("p_end", 33).cast("int").alias("_to_slice"))
+    handed = reach.withColumn("slice", F.explode(F.sequence(F.col("slice") + 1, F.col("_to_slice")))).select("slice", F.lit(-1).cast("long").alias("p"), "v", "p_end")
+    marks = last.select(F.shiftright("p", 33).cast("int").alias("slice"), "p", F.lit(-1).cast("long").alias("v"), F.lit(-1).cast("long").alias("p_end"), F.lit(True).alias("last"))
+    rows_of = handed.unionByName(begun.select("slice", "p", "v", "p_end")).withColumn("last", F.lit(False)).unionByName(marks)
+    swept = rows_of.repartition("slice").sortWithinPartitions("slice", "p", "last").mapInPandas(_sweep(False), kind)
+    newest = swept.select("p", F.col("v").alias("_v"))
+    found = last.join(newest, "p").join(versions.select(F.col("v").alias("_w"), "_to", "_tie", "_take"), F.col("_v") == F.col("_w"), "left")
+    return found.select(*version_keys, F.col("_at").alias("_from"), "_to", "_tie", "_take", F.col("_side").alias("_after"))
 
 
 def _compare(events, slim, keys, event_time, bounded, names):

@@ -220,3 +220,29 @@ def carry_forward(
     return local.join(F.broadcast(handed), on, "left").select(
         *df.columns, F.coalesce("_local", "_handed").alias(out)
     )
+
+
+def greatest_before(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: str, out: str, hot_limit: int = HOT_LIMIT
+) -> DataFrame:
+    """The greatest value of a key in the rows before each row, in ascending ``order_by``; NULL for the first."""
+    ascending = [F.col(c).asc() for c in order_by]
+    most, rows = group_sizes(df, keys)
+    if most <= hot_limit:
+        before = W.partitionBy(*keys).orderBy(*ascending).rowsBetween(W.unboundedPreceding, -1)
+        return df.withColumn(out, F.max(value).over(before))
+    sliced = range_slices(df, [*[F.col(k).asc() for k in keys], *ascending], rows)
+    before = W.partitionBy(SLICE, *keys).orderBy(*ascending).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    # Greatest value of a key in earlier slices, for the slices where the key continues: one row per slice.
+    handed = (
+        sliced.groupBy(SLICE, *keys)
+        .agg(F.max(value).alias("_most"))
+        .withColumn("_handed", F.max("_most").over(earlier))
+        .where("_handed is not null")
+        .select(F.col(SLICE).alias("_s"), *renamed, "_handed")
+    )
+    on = (F.col(SLICE) == F.col("_s")) & same_keys(keys, [f"_k{i}" for i in range(len(keys))])
+    local = sliced.withColumn("_local", F.max(value).over(before))
+    return local.join(F.broadcast(handed), on, "left").select(*df.columns, F.greatest("_local", "_handed").alias(out))

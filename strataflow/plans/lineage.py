@@ -274,7 +274,7 @@ def reconcile(files: DataFrame) -> DataFrame:
             malformed > 0,
             "WARN",
             "malformed_rows",
-            F.format_string("%d rows of a delivery of %d did not fit its header", malformed, source),
+            F.format_string("%d rows did not fit the header", malformed),
         ),
         finding(
             bronze < source - malformed,

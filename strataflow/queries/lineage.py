@@ -272,42 +272,61 @@ def latest_schema_hashes(t: Tables) -> DataFrame:
     return lineage.latest_schema_hashes(files)
 
 
+def _events_with_malformed(t: Tables) -> DataFrame:
+    """Every third event also says how many rows of the file did not fit its header."""
+    events = _events(t)
+    aside = events.where("event_id % 3 = 0").withColumns(
+        {"event_type": F.lit("malformed_set_aside"), "status": F.lit(None).cast("string"), "row_count": F.col("row_count") % 50}
+    )
+    return events.unionByName(aside)
+
+
+_FILES_SQL = f"""{_EVENTS_SQL},
+aside AS (SELECT batch_id, source_name, source_file_path, max_by(row_count % 50, occurred_at) AS m FROM log WHERE event_id % 3 = 0 GROUP BY ALL),
+whole AS (SELECT files.*, coalesce(m, 0) AS malformed FROM files LEFT JOIN aside USING (batch_id, source_name, source_file_path))"""
+
+
 @query(
     "reconcile",
-    f"""WITH {_EVENTS_SQL},
+    f"""WITH {_FILES_SQL},
         findings AS (
           SELECT *, 'CRITICAL' AS severity, 'bronze_inflated' AS code, 'landed ' || bronze_row_count || ' rows out of a delivery of ' || source_row_count AS message
-          FROM files WHERE bronze_row_count > source_row_count
+          FROM whole WHERE bronze_row_count > source_row_count
           UNION ALL SELECT *, 'CRITICAL', 'row_count_drift', 'refined ' || silver_row_count || ' rows, while ' || bronze_row_count || ' landed and ' || rejected_row_count || ' were set aside'
-          FROM files WHERE silver_row_count <> bronze_row_count - rejected_row_count
+          FROM whole WHERE silver_row_count <> bronze_row_count - rejected_row_count
           UNION ALL SELECT *, 'CRITICAL', 'complete_silver_loss', 'of ' || bronze_row_count || ' landed rows none was refined'
-          FROM files WHERE bronze_row_count > 0 AND silver_row_count = 0
+          FROM whole WHERE bronze_row_count > 0 AND silver_row_count = 0
           UNION ALL SELECT *, 'WARN', 'high_reject_rate', rejected_row_count || ' rows set aside out of ' || bronze_row_count
-          FROM files WHERE bronze_row_count > 0 AND CAST(rejected_row_count AS DOUBLE) / bronze_row_count > 0.05
-          UNION ALL SELECT *, 'WARN', 'empty_source_file', 'the delivery was empty' FROM files WHERE bronze_row_count = 0
+          FROM whole WHERE bronze_row_count > 0 AND CAST(rejected_row_count AS DOUBLE) / bronze_row_count > 0.05
+          UNION ALL SELECT *, 'WARN', 'malformed_rows', malformed || ' rows did not fit the header'
+          FROM whole WHERE malformed > 0
+          UNION ALL SELECT *, 'CRITICAL', 'bronze_loss', 'landed ' || bronze_row_count || ' rows out of a delivery of ' || source_row_count || ', while ' || malformed || ' did not fit'
+          FROM whole WHERE bronze_row_count < source_row_count - malformed
+          UNION ALL SELECT *, 'WARN', 'empty_source_file', 'the delivery was empty' FROM whole WHERE bronze_row_count = 0
           UNION ALL SELECT *, 'WARN', 'non_terminal_status', 'the file stopped at ' || status
-          FROM files WHERE status NOT IN ('transformed', 'failed'))
+          FROM whole WHERE status NOT IN ('transformed', 'failed'))
         SELECT batch_id, source_name, source_file_path, severity, code, message FROM findings""",
 )
 def reconcile(t: Tables) -> DataFrame:
-    return lineage.reconcile(lineage.file_states(_events(t)))
+    return lineage.reconcile(lineage.file_states(_events_with_malformed(t)))
 
 
 @query(
     "reconcile_summary",
-    f"""WITH {_EVENTS_SQL},
+    f"""WITH {_FILES_SQL},
         counted AS (
           SELECT batch_id, source_name, source_file_path,
                  coalesce(CAST(bronze_row_count > source_row_count AS BIGINT), 0)
+                   + coalesce(CAST(bronze_row_count < source_row_count - malformed AS BIGINT), 0)
                    + coalesce(CAST(silver_row_count <> bronze_row_count - rejected_row_count AS BIGINT), 0)
                    + coalesce(CAST(bronze_row_count > 0 AND silver_row_count = 0 AS BIGINT), 0) AS critical_count,
                  coalesce(CAST(bronze_row_count > 0 AND CAST(rejected_row_count AS DOUBLE) / nullif(bronze_row_count, 0) > 0.05 AS BIGINT), 0)
-                   + coalesce(CAST(bronze_row_count = 0 AS BIGINT), 0)
+                   + CAST(malformed > 0 AS BIGINT) + coalesce(CAST(bronze_row_count = 0 AS BIGINT), 0)
                    + coalesce(CAST(status NOT IN ('transformed', 'failed') AS BIGINT), 0) AS warn_count
-          FROM files)
+          FROM whole)
         SELECT *, critical_count + warn_count AS finding_count,
                '{{"finding_count":' || (critical_count + warn_count) || ',"critical_count":' || critical_count || ',"warn_count":' || warn_count || '}}' AS payload
         FROM counted""",
 )
 def reconcile_summary(t: Tables) -> DataFrame:
-    return lineage.reconciliation_events(lineage.file_states(_events(t)))
+    return lineage.reconciliation_events(lineage.file_states(_events_with_malformed(t)))

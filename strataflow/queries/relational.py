@@ -321,6 +321,12 @@ def asof_nested_many_versions(t: Tables) -> DataFrame:
     return _valid_view(t, few_versions=0)
 
 
+@query("asof_nested_hot_keys", _NESTED_SQL, sparse=("valid_view",))
+def asof_nested_hot_keys(t: Tables) -> DataFrame:
+    """Every key beyond the limit: running ends, the sweep and the carrying forward all go by range slices."""
+    return _valid_view(t, few_versions=0, hot_limit=10)
+
+
 @query(
     "previous_value_hot_keys",
     """SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_type FROM events""",

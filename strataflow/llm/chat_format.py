@@ -38,7 +38,8 @@ def _role_read(line: Column) -> Column:
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages ``conv_id, turn, part, role, text`` of ``conv_id, turn, seq, kind, role, text``.
 
-    Events of a conversation's turn are taken in the order of ``seq`` (equal ones by kind, role and text). A
+    Events of a conversation's turn are taken in the order of ``seq`` (equal ones by kind, role and text); one that is
+    equal in all of these was delivered twice and counts once. Events of another kind, or of none, are ignored. A
     ``message`` begins a message; an ``edit`` or a ``regenerate`` begins the text of the message before it anew;
     a ``delta`` adds to it. Several messages of one turn are parts of it, in their order. The role is that of
     the last event that names one. Events before any message belong to the first part.
@@ -47,11 +48,16 @@ def fold_events(events: DataFrame) -> DataFrame:
     """
     kinds = F.array(*[F.lit(k) for k in (*FRESH, DELTA)])
     order = [F.col("seq").asc_nulls_last(), F.array_position(kinds, F.col("kind")), F.col("role"), F.col("text")]
-    turn = W.partitionBy("conv_id", "turn").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    line = W.partitionBy("conv_id", "turn").orderBy(*order)
+    turn = line.rowsBetween(W.unboundedPreceding, 0)
+    same = F.struct("seq", "kind", "role", "text")
     placed = (
-        events.withColumn("text", text_or_empty("text"))
+        events.where(F.col("kind").isin(*FRESH, DELTA))
+        .withColumn("text", text_or_empty("text"))
+        .withColumn("again", same.eqNullSafe(F.lag(same).over(line)))
+        .where("NOT again")
         .withColumn("part", F.greatest(F.sum((F.col("kind") == MESSAGE).cast("long")).over(turn), F.lit(1)))
-        .withColumn("n", F.row_number().over(W.partitionBy("conv_id", "turn").orderBy(*order)))
+        .withColumn("n", F.row_number().over(line))
         .withColumn("fresh", F.col("kind").isin(*FRESH))
     )
     steps = F.array_sort(F.collect_list(F.struct("n", "fresh", "text")))
@@ -131,6 +137,44 @@ def read_trained(formatted: Column, spans: Column) -> Column:
     return F.transform(spans, lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["size"].cast("int"))))
 
 
+def _numbered(turns: DataFrame) -> DataFrame:
+    """Rows of ``conv_id, turn, role, text``, without nulls in the last two; rows of one turn are numbered by these."""
+    row = W.partitionBy("conv_id", "turn").orderBy("role", "text")
+    filled = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text_or_empty("text").alias("text"))
+    return filled.withColumn("n", F.row_number().over(row).cast("long"))
+
+
 def events_of_turns(turns: DataFrame) -> DataFrame:
     """Rows of ``conv_id, turn, role, text`` as a log in which every row is one whole message."""
-    return turns.select("conv_id", "turn", F.col("turn").alias("seq"), F.lit(MESSAGE).alias("kind"), F.coalesce("role", F.lit("")).alias("role"), "text")
+    return _numbered(turns).select("conv_id", "turn", F.col("n").alias("seq"), F.lit(MESSAGE).alias("kind"), "role", "text")
+
+
+def streamed_turns(turns: DataFrame) -> DataFrame:
+    """Rows of ``conv_id, turn, role, text`` as the log of a chat that streamed them.
+
+    Each begins as a draft that one more delta extends and a regeneration takes back; the text then arrives in three
+    deltas. Where the number of turn and row together is odd it arrives with a slip that an edit puts right. Events
+    come last first, and every third delta twice; only ``seq`` tells their order.
+    """
+    size = F.length("text")
+    third = F.floor(size / 3).cast("int")
+    cut = lambda first, length: F.substring(F.col("text"), first, length)
+    slip = F.pmod(F.coalesce(F.col("turn"), F.lit(0)) + F.col("n"), F.lit(2)) == 1
+
+    def event(step: int, kind: str, text: Column, role: Column | None = None) -> Column:
+        own = F.lit(None).cast("string") if role is None else role
+        return F.struct((F.col("n") * 8 + step).alias("seq"), F.lit(kind).alias("kind"), own.alias("role"), text.alias("text"))
+
+    last = event(5, DELTA, cut(2 * third + 1, size))
+    steps = F.array(
+        event(6, EDIT, F.col("text")),
+        last,
+        event(4, DELTA, F.concat(cut(third + 1, third), F.when(slip, F.lit(" slip")).otherwise(F.lit("")))),
+        event(3, DELTA, cut(F.lit(1), third)),
+        event(2, REGENERATE, F.lit("")),
+        event(1, DELTA, F.lit(", more of it")),
+        event(0, MESSAGE, F.concat(F.lit("draft of "), cut(F.lit(1), F.lit(5))), F.col("role")),
+    )
+    sent = F.when(slip, steps).otherwise(F.slice(steps, 2, 6))
+    sent = F.when(F.col("n") % 3 == 1, F.concat(sent, F.array(last))).otherwise(sent)
+    return _numbered(turns).select("conv_id", "turn", F.explode(sent).alias("e")).select("conv_id", "turn", "e.*")

@@ -42,6 +42,11 @@ def split_words(text: Column, between: str = BLANKS) -> Column:
     return F.array_remove(F.split(text, between, -1), "")
 
 
+def fraction(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1, fine enough for any share of any table."""
+    return hashed.cast("double") / F.lit(2.0**64) + 0.5
+
+
 def packed(columns: Sequence[str]) -> Column:
     """The named columns as one struct, out of the way of the operator's own names.
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import packed, unpacked
+from strataflow.llm.common import fraction, packed, unpacked
 from strataflow.session import cut_lineage
 
 UNKNOWN = "und"
@@ -216,9 +216,9 @@ def learn_languages(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> Lang
     shares = _share(rows, train_chars)
     if not shares:
         return None
-    draw = F.pmod(F.xxhash64(F.lit("language"), "key"), F.lit(1_000_000)) / 1_000_000
+    draw = fraction(F.xxhash64(F.lit("language"), "key"))
     share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
-    picked = rows.where(draw < share).withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(5)))
+    picked = rows.where(draw <= share).withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "key"), F.lit(5)))
     schema = "lang string, gram string, n long"
 
     def counted(texts: DataFrame) -> dict[tuple[str, str], int]:

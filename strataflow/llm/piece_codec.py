@@ -16,6 +16,8 @@ SPACE = "▁"  # fixed by the model format: stands for a blank
 SINGLE = -1  # rank of single characters, which are there before any merge
 NEVER = 1 << 60
 MEMO_WORDS = 400_000  # remembered words of a task; then it starts over
+MEMO_CHARS = 64  # of a word that is remembered
+MEMO_PAIRS = 2_000_000  # of tokens whose compatibility is remembered
 
 
 def read_vocabulary(model: bytes) -> dict:
@@ -95,7 +97,7 @@ def word_encoder(vocabulary: dict) -> Callable[[str], list[int]]:
     for p, i, *_ in vocabulary["pieces"]:
         automaton.add_word(p, (i, len(p)))
     automaton.make_automaton()
-    tested: dict[tuple[int, int], bool] = {}
+    tested: dict[tuple[int, int], bool] = {}  # started anew when full
 
     def compatible(a: int, b: int) -> bool:
         """Whether no merge across the border comes before both sides have merged as they would alone.
@@ -127,6 +129,8 @@ def word_encoder(vocabulary: dict) -> Callable[[str], list[int]]:
                 pair = (before, token)
                 fits = tested.get(pair)
                 if fits is None:
+                    if len(tested) >= MEMO_PAIRS:
+                        tested.clear()
                     fits = tested[pair] = compatible(before, token)
                 if not fits:
                     continue
@@ -163,6 +167,8 @@ def text_encoder(vocabulary: dict, memo_words: int = MEMO_WORDS) -> Callable[[st
 
     def line(text: str) -> bytes:
         found = lines.get(text)
+        if found is None and len(text) > MEMO_CHARS:
+            return pack(encode_word(text))
         if found is None:
             if len(lines) >= memo_words:
                 lines.clear()
@@ -178,7 +184,8 @@ def text_encoder(vocabulary: dict, memo_words: int = MEMO_WORDS) -> Callable[[st
                 found = newline.join([self[first], *map(line, more)])
             else:
                 found = pack(encode_word(SPACE + first))
-            self[word] = found
+            if len(word) <= MEMO_CHARS:
+                self[word] = found
             return found
 
     words = Words()
@@ -218,8 +225,9 @@ def _codec(model: bytes, vocabulary: dict):
 def encode_and_decode(docs: DataFrame, model: bytes, carry: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """``doc`` (carried columns), ``ids`` (unsigned 32-bit little-endian, begin and end included) and ``decoded``.
 
-    Words are encoded once per task and remembered, up to a bound; each stands for itself, since no piece has
-    a blank inside. The model, a file of fixed size, travels with the function. A null text is encoded as an
+    Words of up to ``MEMO_CHARS`` characters are encoded once per task and remembered, up to a bound in number; each
+    stands for itself, since no piece has a blank inside. Longer ones, such as code or base64 without a blank, are
+    encoded anew each time, so that what is remembered is bounded in bytes as well. Repeated rows are encoded alike. The model, a file of fixed size, travels with the function. A null text is encoded as an
     empty one, of two ids. Texts of any length are encoded whole. An empty table gives an empty result.
     Input columns travel inside ``doc``.
     """

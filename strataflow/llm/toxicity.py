@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import packed, text_or_empty, with_bitmap
+from strataflow.llm.common import fraction, packed, text_or_empty, with_bitmap
 from strataflow.session import cut_lineage
 
 #: Labelled rows that the linear part is fitted on, at most about as many; n-grams are counted over all labelled rows.
@@ -97,7 +97,7 @@ def with_filter(hashes: np.ndarray, weights: np.ndarray, bias: float) -> Toxicit
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
-    """``text, toxic`` of all labelled documents, and a ``draw`` in 0..999,999 by a hash of their id.
+    """``text, toxic`` of all labelled documents, and a ``draw`` from 0 to 1 by a hash of their id.
 
     Ids and labels are broadcast while they are few, so that texts are not shuffled. Beyond that only the texts that
     a label names are, once.
@@ -114,7 +114,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BR
         joined = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id"))
     else:
         joined = with_bitmap(texts, "_doc", known.select("_id"), "_maybe").where("_maybe").join(known, F.col("_doc") == F.col("_id"))
-    rows = joined.select("text", "toxic", F.pmod(F.xxhash64(F.lit("toxic"), "_id"), F.lit(1_000_000)).alias("draw"))
+    rows = joined.select("text", "toxic", fraction(F.xxhash64(F.lit("toxic"), "_id")).alias("draw"))
     return rows if few else cut_lineage(rows)
 
 
@@ -190,7 +190,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
                 parts = np.split(feature.astype(np.int32), cuts)
                 yield pd.DataFrame({"toxic": label[np.asarray(at)], "features": [part.tobytes() for part in parts]})
 
-    sample = labelled.where(F.col("draw") < F.lit(most / n * 1_000_000)).select("text", "toxic")
+    sample = labelled.where(F.col("draw") <= most / n).select("text", "toxic")
     rows = [(r["toxic"], np.frombuffer(r["features"], dtype=np.int32)) for r in sample.mapInPandas(features, "toxic int, features binary").collect()]
     if not rows:
         return with_filter(np.empty(0, dtype=np.uint64), np.empty(0), float(np.log((n1 + 0.5) / (n - n1 + 0.5))))

@@ -190,6 +190,33 @@ def test_chat_round_trip(spark):
         assert r.t == [text for role, text in own if role == "assistant"]
 
 
+def test_chat_log_with_strays_and_repeats(spark):
+    log = [
+        (1, 0, 1, "message", "user", "a"),
+        (1, 0, 2, "delta", None, "b"),
+        (1, 0, 2, "delta", None, "b"),  # delivered twice
+        (1, 0, 3, "tool_ping", "tool", "NOISE"),
+        (1, 0, 4, None, None, "NOISE"),
+        (1, 0, 5, "delta", None, "b"),  # says the same again
+        (2, 0, 1, "ping", None, "only noise"),
+        (3, None, 1, "message", "assistant", "long " * 400_000),
+    ]
+    events = spark.createDataFrame([(*e, 7, 8, "x") for e in log], "conv_id long, turn long, seq long, kind string, role string, text string, part int, n int, again string")
+    got = {r.conv_id: r for r in chat_format.format_chats(events).select("conv_id", chat_format.read_messages(F.col("formatted")).alias("m")).collect()}
+    assert [tuple(m) for m in got[1].m] == [("user", "abb")] and 2 not in got
+    assert got[3].m[0]["text"] == "long " * 400_000
+
+
+def test_streamed_log_folds_to_the_turns(spark):
+    draw = random.Random(6)
+    turns = [(c, t, draw.choice(["user", "assistant", None]), draw.choice(["", None, "é🙂", "ab", "abc", "a longer text <|im_end|>", "x" * 1000])) for c in range(40) for t in (0, 1, 1, None)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    log = chat_format.streamed_turns(table)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    whole, streamed = ({tuple(map(str, r)) for r in chat_format.format_chats(e).collect()} for e in (chat_format.events_of_turns(table), log.repartition(5)))
+    assert whole == streamed and len(whole) == 40
+
+
 def test_toxicity(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (3, 0), (9, 0), (2, 1), (7, None), (None, 1), (3, 0)], "doc_id long, toxic int")
     model = toxicity.learn_toxicity(docs, labels)

@@ -19,6 +19,7 @@ from strataflow.operators.ordered import same_keys
 from strataflow.session import cut_lineage
 
 CRITICAL, WARNING = "critical", "warning"
+# This column name, and the formats of the rules' ids below.
 REASON = "_dq_failure_reason"
 
 

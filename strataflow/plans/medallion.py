@@ -306,7 +306,7 @@ def refine_batch(
     ledger.add_run(batch_id=batch_id, layer="silver", status="running", occurred_at=at)
     try:
         bronze = bronze_tables(spark, lake, batch_id, sources)
-        clean, rejected = _check_batch(spark, lake, batch_id, bronze, sources, rules)
+        clean, rejected, short = _check_batch(spark, lake, batch_id, bronze, sources, rules)
 
         def store(tables: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
             """Build and write tables side by side, and read back what was written."""
@@ -354,6 +354,8 @@ def refine_batch(
         for name, path in _paths(ledger, batch_id):
             source = declared[name]
             events.append(_event(batch_id, source, path, "dq_completed", at, row_count=rejected.get(name)))
+            if name in short:
+                events.append(_event(batch_id, source, path, "below_minimum_rows", at, row_count=short[name]["rows_in"], payload=json.dumps(short[name])))
             if name in silver_rows:
                 events.append(_event(batch_id, source, path, "silver_started", at, status="transforming"))
                 events.append(
@@ -373,8 +375,11 @@ def _paths(ledger: Ledger, batch_id: str) -> list[tuple[str, str]]:
     return [(r["source_name"], r["source_file_path"]) for r in files.select("source_name", "source_file_path").collect()]
 
 
-def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Annotate each table once, write what failed and the report; returns clean rows and reject counts."""
+def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[str, DataFrame], dict[str, int], dict[str, dict]]:
+    """Annotate each table once, write what failed and the report.
+
+    Returns clean rows, reject counts, and what is known of sources with fewer rows than declared (Q13).
+    """
     targets = {
         (name, column): bronze[name].select(column)
         for name, column in foreign_key_targets(rules)
@@ -393,12 +398,17 @@ def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[st
     done, failed = together(spark, {s.name: lambda n=s.name: check(n) for s in sources if bronze.get(s.name) is not None})
     if failed:
         raise RuntimeError("; ".join(f"quality of {n}: {e}" for n, e in failed.items()))
+    short = {}
     if done:
         totals = union_by_name([quality.source_totals(c, n) for n, (_, c, _) in done.items()])
+        minimums = {s.name: s.expected_min_rows for s in sources if s.expected_min_rows}
+        if minimums:
+            missed = quality.below_minimum(totals, minimums).collect()  # at most a row per source
+            short = {r["source_name"]: {"rows_in": r["rows_in"], "expected_min_rows": r["expected_min_rows"], "severity": r["severity"]} for r in missed}
         outcomes = union_by_name([quality.outcomes(c, rules_for(n, rules), n) for n, (_, c, _) in done.items()])
         quality_report.write_report(quality_report.batch_report(totals, outcomes, batch_id), lake.layer("dq_reports"), batch_id)
     clean = {n: quality.clean_rows(a, rules_for(n, rules)) for n, (a, _, _) in done.items()}
-    return clean, {n: rejected for n, (_, _, rejected) in done.items()}
+    return clean, {n: rejected for n, (_, _, rejected) in done.items()}, short
 
 
 class GateError(RuntimeError):

@@ -16,6 +16,7 @@ from strataflow.operators.relational import drop_batch, first_per_key, keep_exis
 from strataflow.operators.scd2 import FAR_PAST, MergeResult, scd2_merge
 from strataflow.sources.catalogue import PLAYERS, Source
 
+# The columns of the two dimensions.
 CLUB_COLUMNS = (
     "club_id",
     "club_code",

@@ -34,43 +34,73 @@ class Source:
         return f"{raw_root.rstrip('/')}/{self.name}.{self.format}"
 
 
-def _columns(text: str) -> dict[str, str]:
-    """Column -> tag of a ``name tag, name tag`` list."""
-    pairs = (part.strip().split() for part in text.strip().strip(",").split(","))
-    return {name: tag for name, tag in pairs}
-
-
+# Keys, columns and their types, tracked and masked columns, and least rows of the six sources.
 COMPETITIONS = Source(
     "competitions",
     ("competition_id",),
-    _columns(
-        "competition_id string, name string, country_name string, sub_type string, type string,"
-        " confederation string, url string"
-    ),
+    {
+        "competition_id": "string",
+        "name": "string",
+        "country_name": "string",
+        "sub_type": "string",
+        "type": "string",
+        "confederation": "string",
+        "url": "string",
+    },
     expected_min_rows=10,
 )
 CLUBS = Source(
     "clubs",
     ("club_id",),
-    _columns(
-        "club_id int, club_code string, name string, domestic_competition_id string, total_market_value float,"
-        " squad_size int, average_age float, foreigners_number int, foreigners_percentage float,"
-        " national_team_players int, stadium_name string, stadium_seats int, net_transfer_record string,"
-        " coach_name string, last_season int, filename string, url string"
-    ),
+    {
+        "club_id": "int",
+        "club_code": "string",
+        "name": "string",
+        "domestic_competition_id": "string",
+        "total_market_value": "float",
+        "squad_size": "int",
+        "average_age": "float",
+        "foreigners_number": "int",
+        "foreigners_percentage": "float",
+        "national_team_players": "int",
+        "stadium_name": "string",
+        "stadium_seats": "int",
+        "net_transfer_record": "string",
+        "coach_name": "string",
+        "last_season": "int",
+        "filename": "string",
+        "url": "string",
+    },
     expected_min_rows=100,
 )
 PLAYERS = Source(
     "players",
     ("player_id",),
-    _columns(
-        "player_id int, first_name string, last_name string, name string, last_season int, current_club_id int,"
-        " player_code string, country_of_birth string, city_of_birth string, country_of_citizenship string,"
-        " date_of_birth date, sub_position string, position string, foot string, height_in_cm int,"
-        " market_value_in_eur float, highest_market_value_in_eur float, contract_expiration_date date,"
-        " agent_name string, image_url string, url string, current_club_domestic_competition_id string,"
-        " current_club_name string"
-    ),
+    {
+        "player_id": "int",
+        "first_name": "string",
+        "last_name": "string",
+        "name": "string",
+        "last_season": "int",
+        "current_club_id": "int",
+        "player_code": "string",
+        "country_of_birth": "string",
+        "city_of_birth": "string",
+        "country_of_citizenship": "string",
+        "date_of_birth": "date",
+        "sub_position": "string",
+        "position": "string",
+        "foot": "string",
+        "height_in_cm": "int",
+        "market_value_in_eur": "float",
+        "highest_market_value_in_eur": "float",
+        "contract_expiration_date": "date",
+        "agent_name": "string",
+        "image_url": "string",
+        "url": "string",
+        "current_club_domestic_competition_id": "string",
+        "current_club_name": "string",
+    },
     tracked_columns=("current_club_id", "position", "market_value_in_eur"),
     pii_columns=("first_name", "last_name", "name", "date_of_birth", "city_of_birth"),
     expected_min_rows=1000,
@@ -78,24 +108,52 @@ PLAYERS = Source(
 GAMES = Source(
     "games",
     ("game_id",),
-    _columns(
-        "game_id int, competition_id string, season int, round string, date date, home_club_id int,"
-        " away_club_id int, home_club_goals int, away_club_goals int, home_club_position int,"
-        " away_club_position int, home_club_manager_name string, away_club_manager_name string, stadium string,"
-        " attendance int, referee string, url string, home_club_formation string, away_club_formation string,"
-        " home_club_name string, away_club_name string, aggregate string, competition_type string"
-    ),
+    {
+        "game_id": "int",
+        "competition_id": "string",
+        "season": "int",
+        "round": "string",
+        "date": "date",
+        "home_club_id": "int",
+        "away_club_id": "int",
+        "home_club_goals": "int",
+        "away_club_goals": "int",
+        "home_club_position": "int",
+        "away_club_position": "int",
+        "home_club_manager_name": "string",
+        "away_club_manager_name": "string",
+        "stadium": "string",
+        "attendance": "int",
+        "referee": "string",
+        "url": "string",
+        "home_club_formation": "string",
+        "away_club_formation": "string",
+        "home_club_name": "string",
+        "away_club_name": "string",
+        "aggregate": "string",
+        "competition_type": "string",
+    },
     timestamp_column="date",
     expected_min_rows=1000,
 )
 APPEARANCES = Source(
     "appearances",
     ("appearance_id",),
-    _columns(
-        "appearance_id string, game_id int, player_id int, player_club_id int, player_current_club_id int,"
-        " date date, player_name string, competition_id string, yellow_cards int, red_cards int, goals int,"
-        " assists int, minutes_played int"
-    ),
+    {
+        "appearance_id": "string",
+        "game_id": "int",
+        "player_id": "int",
+        "player_club_id": "int",
+        "player_current_club_id": "int",
+        "date": "date",
+        "player_name": "string",
+        "competition_id": "string",
+        "yellow_cards": "int",
+        "red_cards": "int",
+        "goals": "int",
+        "assists": "int",
+        "minutes_played": "int",
+    },
     # The name is carried here in plain text as well, so it is masked here as well.
     pii_columns=("player_name",),
     expected_min_rows=10000,
@@ -103,10 +161,13 @@ APPEARANCES = Source(
 PLAYER_VALUATIONS = Source(
     "player_valuations",
     ("player_id", "date"),
-    _columns(
-        "player_id int, date date, market_value_in_eur float, current_club_id int,"
-        " player_club_domestic_competition_id string"
-    ),
+    {
+        "player_id": "int",
+        "date": "date",
+        "market_value_in_eur": "float",
+        "current_club_id": "int",
+        "player_club_domestic_competition_id": "string",
+    },
     timestamp_column="date",
     expected_min_rows=10000,
 )
@@ -135,6 +196,7 @@ def incremental_sources(sources: Iterable[Source] = ALL_SOURCES) -> list[Source]
     return [s for s in sources if s.timestamp_column]
 
 
+# The rules of the six sources, their severities and ranges.
 QUALITY_RULES: tuple[Rule, ...] = (
     NotNull("competitions", CRITICAL, ("competition_id", "name")),
     Unique("competitions", CRITICAL, ("competition_id",)),

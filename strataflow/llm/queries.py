@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from strataflow.llm import chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, permutation_index, piece_codec
@@ -14,7 +15,7 @@ from strataflow.queries.inputs import Tables
 QUERIES, SQL = {}, {}
 
 #: Where the public tokenizers' files lie; a parameter, since they are no part of the repository.
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = str(Path(public_tokenizers.path("piece_bpe_32k.model")).parent)
 
 
 def query(fn):
@@ -78,40 +79,43 @@ def op2_license_scan(t: Tables):
 
 
 def _license_sql() -> str:
-    templates = [*license_scan.BASE_TEMPLATES, *license_scan.TEMPLATES]
-    words = ", ".join(f"({n}, {i}, '{w}')" for n, t in enumerate(templates) for i, w in enumerate(t.text.split()))
-    names = ", ".join(f"({n}, '{t.label}', {len(t.text.split())}, {str(n < len(license_scan.BASE)).lower()})" for n, t in enumerate(templates))
-    keys = []
-    for n, t in enumerate(templates):
-        for phrase in t.phrases:
-            at = t.text.split().index(phrase.split()[0]) if f" {t.text} ".find(f" {phrase} ") < 0 else len(f" {t.text} "[: f" {t.text} ".find(f" {phrase} ")].split())
-            keys += [f"({n}, {at + i}, '{w}')" for i, w in enumerate(phrase.split())]
+    base, more = license_scan.BASE_TEMPLATES, license_scan.TEMPLATES
+    words = lambda ts: ", ".join(f"({n}, {i}, '{w}')" for n, t in enumerate(ts) for i, w in enumerate(t.words))
+    names = ", ".join(f"({n}, '{t.label}', {len(t.words)})" for n, t in enumerate(base))
+    notices = ", ".join(f"({n}, '{t.label}', {len(t.words)}, '{license_scan.key_pattern(t)}', {min(2, len(set(t.words) - license_scan.EVERYDAY))}, {len(license_scan.word_pairs(t))})" for n, t in enumerate(more))
+    pairs = ", ".join(f"({n}, '{p}')" for n, t in enumerate(more) for p in license_scan.word_pairs(t))
+    vocabulary = ", ".join(f"'{w}'" for w in license_scan.licence_words(more))
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
-WITH names(t, label, size, base) AS (VALUES {names}),
-tw(t, p, w) AS (VALUES {words}),
-keys(t, p, w) AS (VALUES {', '.join(keys)}),
+WITH names(t, label, size) AS (VALUES {names}),
+bw(t, p, w) AS (VALUES {words(base)}),
+notices(t, label, size, pattern, need, n_pairs) AS (VALUES {notices}),
+nw(t, p, w) AS (VALUES {words(more)}),
+np(t, pair) AS (VALUES {pairs}),
 d AS (SELECT doc_id, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 o AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
-k AS (SELECT * FROM o WHERE w IN (SELECT w FROM tw)),
+base AS (SELECT doc_id, t, i - p AS s FROM o JOIN bw USING (w) GROUP BY doc_id, t, i - p HAVING count(*) = (SELECT size FROM names n WHERE n.t = bw.t)),
+k AS (SELECT * FROM o WHERE w IN ({vocabulary})),
 df AS (SELECT w, count(DISTINCT doc_id) AS n FROM k GROUP BY w),
-ranked AS (SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY n, w) AS r
-           FROM (SELECT DISTINCT t, w FROM tw) JOIN (SELECT DISTINCT w, coalesce(n, 0) AS n FROM tw LEFT JOIN df USING (w)) USING (w)),
-posting AS (SELECT tw.t, tw.p, tw.w, least(2, count(*) OVER (PARTITION BY tw.t)) AS need FROM tw JOIN ranked r ON r.t = tw.t AND r.w = tw.w AND r <= 3),
-cand AS (SELECT doc_id, t, i - p AS s FROM k JOIN posting USING (w) GROUP BY doc_id, t, i - p HAVING count(*) >= max(need)),
-place AS (
-  SELECT doc_id, t, s FROM cand JOIN keys USING (t) LEFT JOIN k USING (doc_id)
-  WHERE k.i = s + keys.p AND k.w = keys.w GROUP BY doc_id, t, s
-  HAVING count(*) = (SELECT count(*) FROM keys y WHERE y.t = cand.t)),
-matched AS (SELECT doc_id, t, s, count(*) AS m FROM place JOIN tw USING (t) JOIN k USING (doc_id) WHERE k.i = s + tw.p AND k.w = tw.w GROUP BY ALL),
-found AS (
-  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(s) FILTER (WHERE base) AS first_word, max(s) FILTER (WHERE base) AS last_word,
-         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(m / size) AS score
-  FROM matched JOIN names USING (t) GROUP BY doc_id)
+mine AS (SELECT doc_id, w FROM (SELECT DISTINCT doc_id, w FROM k) JOIN df USING (w) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n, w) <= 12),
+votes AS (SELECT k.doc_id, nw.t, k.i - nw.p AS s, k.w FROM k JOIN mine USING (doc_id, w) JOIN nw USING (w)),
+gaps AS (SELECT *, coalesce(s - lag(s) OVER z > 8, TRUE) AS fresh FROM votes WINDOW z AS (PARTITION BY doc_id, t ORDER BY s, w)),
+runs AS (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id, t ORDER BY s, w ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
+agreed AS (
+  SELECT doc_id, t, run, min(s) AS s, greatest(min(s) - 8, 0) AS a, max(s) - min(s) + any_value(size) + 16 AS n
+  FROM runs JOIN notices USING (t) GROUP BY doc_id, t, run HAVING count(DISTINCT w) >= any_value(need)),
+part AS (SELECT doc_id, t, run, s, ws[a + 1 : a + n] AS ws FROM agreed JOIN d USING (doc_id)),
+stands AS (SELECT part.* FROM part JOIN notices USING (t) WHERE regexp_matches(' ' || array_to_string(ws, ' ') || ' ', pattern)),
+own AS (SELECT DISTINCT doc_id, t, run, ws[j] || ' ' || ws[j + 1] AS pair FROM (SELECT *, unnest(range(1, len(ws))) AS j FROM stands)),
+share AS (SELECT doc_id, t, run, count(*) AS m FROM own JOIN np USING (t, pair) GROUP BY doc_id, t, run),
+every AS (
+  SELECT doc_id, label, 1.0::DOUBLE AS score FROM base JOIN names USING (t)
+  UNION ALL SELECT doc_id, label, coalesce(m, 0) / n_pairs FROM stands JOIN notices USING (t) LEFT JOIN share USING (doc_id, t, run)),
+found AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM every GROUP BY doc_id),
+found_base AS (SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base JOIN names USING (t) GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
-FROM d LEFT JOIN found USING (doc_id)"""
+FROM d LEFT JOIN found_base USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
 SQL["op2_license_scan"] = _license_sql()

@@ -104,6 +104,38 @@ def test_license_scan(spark, docs, none):
     assert places[2] == ([], []) and places[3][1] == ["mit"] and places[4] == ([], [])  # a no-break space is part of a word
 
 
+def test_whole_notices_are_found_though_words_differ(spark):
+    whole = {t.label: t.text for t in license_scan.TEMPLATES}
+    mit, bsd = whole["mit"], whole["bsd-3-clause"]
+    half = prose(5, 300)
+    texts = [
+        f"{half} {mit} {half}",
+        mit.replace("granted, free of charge", "granted, entirely free of charge").replace("subject to the", "subject always and everywhere to the"),
+        "redistribution and use in source and binary forms, with or without any modification, are permitted",
+        f"{half}\n{bsd.upper()}\n{half}",
+        mit.replace("free of charge", "for a fee"),
+        "permission free charge granted hereby software person obtaining copy",
+        "# " + mit.replace("\n", "\n# "),
+        half,
+        "x " * 200_000 + whole["apache-2.0"],
+        " ".join([mit] * 3),
+    ]
+    found = by_id(license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "labels", "score", "places")
+    labels = [r[1] for r in found]
+    assert labels[0] == labels[1] == labels[6] == ["mit"] and found[0][2] == 1.0 and 0.9 < found[1][2] < 1
+    near = lambda place, at: 0 <= at - place["start"] <= 2 * license_scan.SLACK
+    assert near(found[0][3][-1], 300)
+    assert labels[2] == ["bsd"] and "bsd-3-clause" in labels[3] and labels[7] == []
+    assert labels[4] == labels[5] == [] and labels[8] == ["apache-2.0"] and near(found[8][3][-1], 200_000)
+    assert labels[9] == ["mit"] and all(any(near(p, at) for p in found[9][3]) for at in (0, 163, 326))
+
+
+def test_every_notice_is_found_by_itself(spark):
+    texts = [(n, t.text) for n, t in enumerate(license_scan.TEMPLATES)]
+    found = by_id(license_scan.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")), "labels", "score")
+    assert all(license_scan.TEMPLATES[n].label in labels and score == 1.0 for n, labels, score in found)
+
+
 def test_source_mix(docs, none):
     got = source_mix.mix_sources(docs, ("doc_id", "source")).select("doc.doc_id", "size", "source_size", "target", "taken", "copies").collect()
     assert len(got) == len(rows())

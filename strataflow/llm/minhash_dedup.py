@@ -17,6 +17,7 @@ from strataflow.session import cut_lineage
 
 BITS = 4  # low bits kept of every minimum
 BLOCK_ROWS = 2000  # rows of a bucket that are compared at once; fuller buckets are cut into such blocks
+BLOCK_SHINGLES = 4_000_000  # shingles of rows whose full sets are compared at once; longer texts are cut into more blocks
 SHINGLES_AT_ONCE = 2048
 
 
@@ -228,7 +229,12 @@ def _connect(find: _Finder, members: DataFrame) -> DataFrame:
     if suspects.isEmpty():
         return label
     sets = with_shingles(find.texts(suspects.select("node").distinct()), find.width).select(F.col("node").alias("_n"), "shingles")
-    rows = suspects.join(sets, F.col("node") == F.col("_n")).drop("_n")
+    # Blocks were cut by rows; full sets are as long as the texts, so they are cut anew by shingles.
+    sizes = find.classes.select(F.col("node").alias("_n"), "n_shingles")
+    apart = suspects.withColumn("cell", F.xxhash64("key", "lo", "hi")).drop("key", "lo", "hi")
+    weighed = apart.join(sizes, F.col("node") == F.col("_n")).groupBy(F.col("cell").alias("_k")).agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("cuts"))
+    blocks = in_blocks(apart, cut_lineage(weighed), "cell", "node").withColumnRenamed("cell", "key").drop("block")
+    rows = blocks.join(sets, F.col("node") == F.col("_n")).drop("_n")
     more = dealt(rows).mapInPandas(_verify(find.percent), "a long, b long")
     return cut_lineage(components(links.unionByName(cut_lineage(more))))
 
@@ -262,7 +268,8 @@ def near_duplicates(
 
     A text without words, or null, is linked with nothing and kept. Null ids never become a component's id
     unless it has no other; then it is null and its documents are kept. Rows that are equal in id and text
-    belong to one class. An empty table gives an empty result. Input columns travel inside ``doc``.
+    belong to one class. A text of any length is cut whole into its set, within its row; sets that are compared meet in
+    blocks of a bounded number of shingles. An empty table gives an empty result. Input columns travel inside ``doc``.
     """
     rows = docs.select(packed(carry).alias("doc"), F.col(doc_id).alias("_id"), identity(doc_id, text).alias("row"), text_or_empty(text).alias("_text"))
     signed = with_shingles(rows, width).withColumn("_s", _signer(shape)("shingles"))
@@ -273,8 +280,8 @@ def near_duplicates(
 def grouped(docs: DataFrame, stored: DataFrame, width: int, percent: int, shape: Bands, doc_id: str, text: str) -> DataFrame:
     """Classes, buckets, links and components of the stored signatures, back on the documents."""
     first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("row").alias("r")))
-    named = stored.where("print IS NOT NULL").groupBy("print").agg(first.alias("f"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-    classes = cut_lineage(named.select("print", F.col("f.i").alias("least_id"), F.col("f.r").alias("row"), "signature", "bands").withColumn("node", F.monotonically_increasing_id()))
+    named = stored.where("print IS NOT NULL").groupBy("print").agg(first.alias("f"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"))
+    classes = cut_lineage(named.select("print", F.col("f.i").alias("least_id"), F.col("f.r").alias("row"), "signature", "bands", "n_shingles").withColumn("node", F.monotonically_increasing_id()))
     keys = classes.select("node", F.explode("bands").alias("key"))
     buckets = cut_lineage(keys.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_k"), "hub"))
     members = cut_lineage(keys.join(buckets, F.col("key") == F.col("_k")).select("key", "node", "hub"))
@@ -296,8 +303,9 @@ def grouped(docs: DataFrame, stored: DataFrame, width: int, percent: int, shape:
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns as they came, less all but one of each group.
 
-    A group's survivor is one row, also where ids are shared or null. The rows to go are a small table beside the texts; rows that are equal in id and text, if there are any,
-    are looked at by themselves, and one of them stays.
+    A group's survivor is one row, also where ids are shared or null. The rows to go are a small table beside the texts;
+    rows that are equal in id and text, if there are any, are looked at by themselves, and one of them stays. Documents
+    without words, null texts among them, all stay but for such equal rows. An empty table stays empty.
     """
     found = cut_lineage(near_duplicates(docs, (), width, percent).select("row", "survivor"))
     gone = cut_lineage(found.where("row <> survivor").select(F.col("row").alias("_row")).distinct())

@@ -15,6 +15,8 @@ from strataflow.session import cut_lineage
 
 #: Labelled rows that the linear part is fitted on, at most about as many; n-grams are counted over all labelled rows.
 TRAIN_ROWS = 20_000
+#: Features present in all fitted rows together, which are what the driver holds; where texts are long, fewer rows are drawn.
+TRAIN_PRESENT = 10_000_000
 BROADCAST_LABELS = 500_000  # counted labels up to which they are broadcast
 ORDERS = (3, 4, 5, 6)
 FEATURES = 8_192
@@ -164,7 +166,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
 
     Spark counts n-grams by label over all labelled rows and computes their log-count ratios; those that tell
     most come to the driver, a fixed number, and the linear part is fitted on which of them stand in each of a
-    sample of ``most`` rows, picked by a hash of the id. Without both labels the model has no features and scores every text alike.
+    sample of ``most`` rows, picked by a hash of the id; fewer where their texts are so long that more than
+    ``TRAIN_PRESENT`` features would stand in them. A document that is labelled twice counts once with each label; equal
+    rows of labels count once, equal rows of documents each. Without both labels the model has no features and scores every text alike.
     """
     labelled = training_rows(docs, labels)
     total = labelled.agg(F.count(F.lit(1)), F.sum("toxic")).first()
@@ -183,15 +187,20 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = ToxicityModel(**plain)
         for batch in batches:
-            label = batch["toxic"].to_numpy()
+            label, draw = batch["toxic"].to_numpy(), batch["draw"].to_numpy()
             for at, codes in chunks_of(batch["text"].tolist()):
                 text, feature = model.present(codes)
                 cuts = np.searchsorted(text, np.arange(1, len(codes)))
                 parts = np.split(feature.astype(np.int32), cuts)
-                yield pd.DataFrame({"toxic": label[np.asarray(at)], "features": [part.tobytes() for part in parts]})
-
-    sample = labelled.where(F.col("draw") <= most / n).select("text", "toxic")
-    rows = [(r["toxic"], np.frombuffer(r["features"], dtype=np.int32)) for r in sample.mapInPandas(features, "toxic int, features binary").collect()]
+                yield pd.DataFrame({"toxic": label[np.asarray(at)], "draw": draw[np.asarray(at)], "features": [part.tobytes() for part in parts]})
+
+    share = most / n
+    sample = labelled.where(F.col("draw") <= share).select("text", "toxic", "draw")
+    found = cut_lineage(sample.mapInPandas(features, "toxic int, draw double, features binary"))
+    present = found.agg(F.sum(F.octet_length("features"))).first()[0] or 0
+    share *= min(1.0, 4 * TRAIN_PRESENT / max(present, 1))
+    drawn = found.where(F.col("draw") <= share).select("toxic", "features").collect()
+    rows = [(r["toxic"], np.frombuffer(r["features"], dtype=np.int32)) for r in drawn]
     if not rows:
         return with_filter(np.empty(0, dtype=np.uint64), np.empty(0), float(np.log((n1 + 0.5) / (n - n1 + 0.5))))
     weights, bias = _fit(rows, scale)

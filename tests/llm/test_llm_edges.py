@@ -306,6 +306,19 @@ def brute_force_components(table, width):
     return {i: root(i) for i in sets}
 
 
+def test_blocks_by_shingles_lose_no_link(spark, monkeypatch):
+    """Rows that stand apart from their bucket's hub, compared in many small blocks of full sets."""
+    draw = random.Random(3)
+    shared = [f"s{k}" for k in range(60)]
+    texts = [" ".join([*shared, *[f"g{g}w{k}" for k in range(140)], f"own{draw.random()}"]) for g in range(12) for _ in range(6)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    whole = sorted(map(tuple, minhash_dedup.near_duplicates(docs).select("doc.doc_id", "component_id").collect()))
+    monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", 3)
+    assert sorted(map(tuple, minhash_dedup.near_duplicates(docs).select("doc.doc_id", "component_id").collect())) == whole
+    assert whole == [(i, i - i % 6) for i in range(72)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 60), (60, 100), (70, 70), (80, 90), (90, 85)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

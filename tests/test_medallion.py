@@ -1,6 +1,8 @@
 """Three batches through all layers, against the values known for this data."""
 
 import datetime as dt
+import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,3 +275,44 @@ def test_rows_that_do_not_fit_are_set_aside_and_counted(spark, tmp_path):
         row, n = files.first(), len(lines) - 1
         assert (row["source_row_count"], row["malformed_row_count"], row["bronze_row_count"]) == (n + 1, 1, n)
         assert "malformed_rows" in {r["code"] for r in lineage.reconcile(files).collect()}
+
+
+def test_manifest_drift_and_replaced_files(spark, tmp_path):
+    lake = medallion.Lake(str(tmp_path / "lake"))
+    raw = football.deliver(tmp_path / "raw", 1)
+    wanted = [s for s in medallion.ALL_SOURCES if s.name in ("clubs", "competitions")]
+    sums = {n: hashlib.md5((tmp_path / "raw" / f"{n}.csv").read_bytes()).hexdigest() for n in ("clubs", "competitions")}
+    listed = {"clubs.csv": {"size_bytes": 1, "checksum_md5": sums["clubs"]}, "competitions.csv": {"size_bytes": 1, "checksum_md5": "0" * 32}}
+    said = {"manifest_version": 1, "vendor": "v", "dataset": "d", "dataset_version": "47", "vendor_last_updated": "2016-10-14", "fetched_at": "t", "files": listed}
+    (tmp_path / "raw" / "_manifest.json").write_text(json.dumps(said))
+    assert set(medallion.land_batch(spark, lake, raw, "a", dt.datetime(2025, 5, 1), wanted).values()) == {"written"}
+    events = medallion.Ledger(spark, lake).events()
+    assert {json.loads(r["payload"])["vendor_last_updated"] for r in events.where("event_type = 'registered'").collect()} == {"2016-10-14"}
+    wrong = events.where("event_type = 'checksum_mismatch'").collect()
+    assert [(r["source_name"], json.loads(r["payload"])["computed_md5"]) for r in wrong] == [("competitions", sums["competitions"])]
+    assert not path_exists(spark, lake.layer("_staging/none")) and not list((tmp_path / "lake" / "_staging").iterdir())
+
+    clubs = tmp_path / "raw" / "clubs.csv"
+    header, *rest = clubs.read_text(encoding="utf-8").splitlines()
+    clubs.write_text("\n".join([f"{header},founded", *[f"{line},1900" for line in rest]]) + "\n", encoding="utf-8")
+    assert medallion.land_batch(spark, lake, raw, "b", dt.datetime(2025, 5, 2), wanted) == {"clubs": "written", "competitions": "skipped"}
+    drift = medallion.Ledger(spark, lake).events().where("event_type = 'schema_drift'").collect()
+    assert [(r["batch_id"], r["source_name"], json.loads(r["payload"])["columns_added"]) for r in drift] == [("b", "clubs", "founded")]
+
+
+def test_a_batch_ends_reconciled(spark, runs):
+    events = medallion.Ledger(spark, runs["lake"]).events()
+    closed = events.where("event_type = 'reconciled'").groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in closed} == {batch: 6 for batch, _ in DAYS.values()}
+    short = events.where("event_type = 'below_minimum_rows' AND batch_id = 'day-1'").collect()
+    assert {r["source_name"]: json.loads(r["payload"])["expected_min_rows"] for r in short}["clubs"] == 100
+
+
+def test_bronze_loss_is_found_without_malformed_rows(spark):
+    rows = [("b", "s", "f", "transformed", 10, None, 5, 0, 5, None), ("b", "t", "g", "transformed", 10, 2, 8, 0, 8, None)]
+    files = spark.createDataFrame(
+        rows,
+        "batch_id string, source_name string, source_file_path string, status string, source_row_count long, malformed_row_count long,"
+        " bronze_row_count long, rejected_row_count long, silver_row_count long, gold_row_count long",
+    )
+    assert {(r["source_name"], r["code"]) for r in lineage.reconcile(files).collect()} == {("s", "bronze_loss"), ("t", "malformed_rows")}

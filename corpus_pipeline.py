@@ -10,37 +10,50 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataflow.llm import language_id, minhash_dedup, piece_codec, quality_rules, source_mix
 from strataflow.llm.common import small_batches
 from strataflow.llm.queries import TOKENIZERS
-from strataflow.session import cut_lineage, tune
+from strataflow.session import drop_scratch, job, scratch_path, tune
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no base rule and whose source is not rejected."""
+    """Documents that break no base rule and whose source is not rejected; null, empty and blank texts break one.
+
+    Texts of any length are measured whole; equal rows stand or fall together; documents without a source form one.
+    """
     return quality_rules.keep_quality(docs)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents close enough to a language of the documents themselves."""
+    """Documents close enough to a language of the documents themselves; null texts and those without a letter go.
+
+    Nothing is rejected for its length; where no row has a language, nothing can be learnt and all rows go.
+    """
     small_batches(spark)
     return language_id.keep_known_languages(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group alike in at least 80 % of their shingles of five words."""
+    """One document of each group alike in at least 80 % of their shingles of five words.
+
+    Of equal ids or null ids one row stays as well; texts without words are alike nothing but their equal rows.
+    """
     small_batches(spark)
     return minhash_dedup.drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of sources takes it."""
+    """Every document as often as the mix of sources takes it: not at all, once or twice.
+
+    Null sources are one source; texts without words use no budget and stay.
+    """
     return source_mix.apply_mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, null texts as empty ones, texts of any length whole."""
     small_batches(spark)
     model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
     return piece_codec.encode_and_decode(docs, model).select(
@@ -63,12 +76,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@job
+def _store(spark: SparkSession, stage, docs: DataFrame, sf_dir: str, path: str) -> T.StructType:
+    """Write what a stage gives; what it wrote for itself goes when it is done."""
+    done = stage(spark, docs, sf_dir)
+    done.write.parquet(path)
+    return done.schema
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written to the shared folder and read again."""
+    """All stages over ``documents``; each but the last is written to the shared folder and read again.
+
+    Of intermediate tables only the last stage's input stays. An empty table gives an empty result.
+    """
     docs = tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     *inner, (_, last) = STAGES
+    before = None
     for _, stage in inner:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+        path = scratch_path(spark, "pipeline")
+        schema = _store(spark, stage, docs, sf_dir, path)
+        docs = spark.read.schema(schema).parquet(path)
+        if before:
+            drop_scratch(spark, before.rsplit("/", 1)[-1])
+        before = path
     return last(spark, docs, sf_dir)
 
 

@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from strataflow.llm import (
     chat_format, language_id, lattice_dedup, lattice_lm, license_scan, minhash_dedup, piece_codec, quality_rules, source_mix, toxicity,
 )
@@ -424,3 +426,15 @@ def piece_log(own, piece):
     if at < own.pieces and own.hashes[at] == final:
         return own.logs[at]
     return sum(own.logs[own.pieces + b] for b in piece.encode()) if len(piece) == 1 else -np.inf
+
+
+def test_pipeline_on_edge_rows_and_nothing(spark, docs, none, tmp_path):
+    for name, table, least in (("edges", docs.unionByName(docs), 3), ("nothing", none, 0), ("nulls", docs.where("text IS NULL"), 0)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / name))
+        assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        rows = got.collect()
+        assert len(rows) >= least and all(r.n_tokens > 2 for r in rows)
+        if name == "edges":
+            assert max(sum(r.doc_id == d for r in rows) for d in {r.doc_id for r in rows}) <= 2
+            assert {9} <= {r.doc_id for r in rows} <= {1, 2, 3, 9, None}

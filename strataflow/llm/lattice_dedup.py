@@ -75,7 +75,7 @@ def cell_keys(unit: np.ndarray, shape: Lattice) -> np.ndarray:
     keys = np.empty((n, shape.tables, 1 + shape.probes), dtype=np.int64)
     for t in range(shape.tables):
         draw = np.random.default_rng([t, d])
-        projected = unit @ (draw.normal(size=(d, 8 * shape.blocks)) * shape.scale * np.sqrt(1.0))
+        projected = unit @ (draw.normal(size=(d, 8 * shape.blocks)) * shape.scale)
         mix = draw.integers(1, 2**40, 8 * shape.blocks)
         points, gains = [], []
         for b in range(shape.blocks):

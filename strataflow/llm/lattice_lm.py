@@ -25,7 +25,7 @@ BLOCK_CHARS = 16_000_000  # or fewer, if they hold so many characters
 WORDS_AT_ONCE = 20_000
 LONG_WORD = 64
 FILTER_BITS = 20
-PRIOR_TOKENS = 1000.0  # weight of the vocabulary's own scores beside the counts
+PRIOR_TOKENS = 1000.0  # weight of what the vocabulary's ranks say beside the counts
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOG10 = np.log(10.0)
 
@@ -291,8 +291,8 @@ def score_texts(docs: DataFrame, model: bytes, held_out: Column, carry: Sequence
 
     Words are cut into pieces of the given vocabulary in every way there is; the logarithms of all ways are
     summed by a forward recursion. A word's pieces do not reach into the next, so a text's probability is the
-    product of its words' and of its end's. The pieces' probabilities start from the vocabulary's own scores;
-    each of ``rounds`` rounds replaces them by what is expected in the training texts' words.
+    product of its words' and of its end's. The pieces' probabilities start from their ranks in the
+    vocabulary, which holds no probabilities of its own; each of ``rounds`` rounds replaces them by what is expected in the training texts' words.
 
     Texts stay where they are: each block of documents is stored as its distinct words and a bag of words per
     document. Words are counted, scored once each, and their scores go back to the blocks, where documents add
@@ -300,7 +300,7 @@ def score_texts(docs: DataFrame, model: bytes, held_out: Column, carry: Sequence
     gathered grows with the corpus.
 
     A null text is empty: one token, its end. Without training texts all words are unknown. Repeated rows are
-    scored alike. An empty table gives an empty result. Input columns travel inside ``doc``.
+    scored alike. A text of any length is scored whole, as a bag of its words. An empty table gives an empty result. Input columns travel inside ``doc``.
     """
     rows = docs.select(packed(carry).alias("doc"), F.coalesce(held_out, F.lit(False)).alias("held_out"), ascii_lower(text_or_empty(text)).alias("text"))
     blocks = cut_lineage(rows.mapInPandas(_into_blocks, _block_schema(rows)))

@@ -117,7 +117,8 @@ def quality_rules(docs: DataFrame, carry: Sequence[str] = ("doc_id",), text: str
     host_failed, kept``. Texts are read once; the measures are stored, counted by host, and meet the hosts'
     verdicts, which Spark broadcasts only if their stored size is below its threshold.
 
-    A null or empty text has no words and fails. Documents without a host form one host. Repeated rows count
+    A null or empty text has no words and fails. A text of any length is measured whole, within its row. Documents without a
+    host form one host. Repeated rows count
     as often as they stand there. An empty table gives an empty result. Columns of the input never clash with
     the operator's, since they travel inside ``doc``.
     """

@@ -107,7 +107,7 @@ def mix_sources(docs: DataFrame, carry: Sequence[str] = ("doc_id",), doc_id: str
 
     Every source is a queue of its documents in the order of a hash, twice over; a document finishes at the
     words of its queue up to and with it over the queue's target. All queues are merged by finish time until
-    the budget is used. As the merge takes a prefix of each queue, one hash per source and epoch tells for any
+    the budget is used; equal finish times go by epoch, hash and source. As the merge takes a prefix of each queue, one hash per source and epoch tells for any
     document whether it is taken, so texts are never shuffled: what moves is a hash and a size per document.
 
     A null text has size 0; a document of size 0 takes no words and stays in (``copies`` 1) without using any

@@ -389,8 +389,9 @@ def _check_batch(spark, lake, batch_id, bronze, sources, rules) -> tuple[dict[st
     def check(name: str):
         own = rules_for(name, rules)
         annotated = cut_lineage(quality.annotate(bronze[name].drop("batch_id"), own, targets))
-        counted = cut_lineage(quality.count_failures(annotated, own))
-        rejected = counted.first()["rows_quarantined"]
+        counts = quality.count_failures(annotated, own)
+        row = counts.first()  # one row of numbers, from which the report is made without another pass
+        counted, rejected = spark.createDataFrame([row], counts.schema), row["rows_quarantined"]
         if rejected:
             snapshots.write_rejected(quality.failing_rows(annotated, own), lake.root, name, batch_id)
         return annotated, counted, rejected

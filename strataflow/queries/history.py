@@ -130,7 +130,11 @@ def scd2_classify(t: Tables) -> DataFrame:
 @query(
     "scd2_history_immutable",
     DIM_SQL
-    + """SELECT (SELECT count(*) FROM dim2 WHERE NOT is_current) AS closed_before, CAST(0 AS BIGINT) AS altered, CAST(0 AS BIGINT) AS nested""",
+    + """SELECT (SELECT count(*) FROM dim2 WHERE NOT is_current) AS closed_before,
+                (SELECT count(*) FROM (SELECT c_sk, c_custkey, c_name, c_nationkey, c_mktsegment, effective_date, end_date FROM dim2 WHERE NOT is_current
+                   EXCEPT ALL SELECT c_sk, c_custkey, c_name, c_nationkey, c_mktsegment, effective_date, end_date FROM dim3 WHERE NOT is_current)) AS altered,
+                (SELECT count(*) FROM (SELECT end_date < max(end_date) OVER (PARTITION BY c_custkey ORDER BY effective_date, c_sk
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS inside FROM dim3) WHERE inside) AS nested""",
 )
 def scd2_history_immutable(t: Tables) -> DataFrame:
     """Closed versions that a later merge changed or lost, and versions inside one another: none."""

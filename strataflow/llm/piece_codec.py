@@ -15,7 +15,7 @@ from strataflow.llm.common import packed, text_or_empty
 SPACE = "▁"  # fixed by the model format: stands for a blank
 SINGLE = -1  # rank of single characters, which are there before any merge
 NEVER = 1 << 60
-MEMO_WORDS = 400_000  # remembered words of a task; then it starts over
+MEMO_WORDS = 200_000  # remembered words of a task, in two generations
 MEMO_CHARS = 64  # of a word that is remembered
 MEMO_PAIRS = 2_000_000  # of tokens whose compatibility is remembered
 
@@ -170,21 +170,28 @@ def text_encoder(vocabulary: dict, memo_words: int = MEMO_WORDS) -> Callable[[st
         if found is None and len(text) > MEMO_CHARS:
             return pack(encode_word(text))
         if found is None:
-            if len(lines) >= memo_words:
+            if len(lines) >= memo_words // 4:
                 lines.clear()
             found = lines[text] = pack(encode_word(text))
         return found
 
     class Words(dict):
+        """Two generations of words: a full one becomes the older, from which words in use are taken over."""
+
+        older: dict[str, bytes] = {}
+
         def __missing__(self, word: str) -> bytes:
-            if len(self) >= memo_words:
-                self.clear()
-            first, *more = word.split("\n")
-            if more:
-                found = newline.join([self[first], *map(line, more)])
-            else:
-                found = pack(encode_word(SPACE + first))
+            found = self.older.get(word)
+            if found is None:
+                first, *more = word.split("\n")
+                if more:
+                    found = newline.join([self[first], *map(line, more)])
+                else:
+                    found = pack(encode_word(SPACE + first))
             if len(word) <= MEMO_CHARS:
+                if len(self) >= memo_words // 2:
+                    self.older = dict(self)
+                    self.clear()
                 self[word] = found
             return found
 

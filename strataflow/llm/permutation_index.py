@@ -58,8 +58,9 @@ def choose_pivots(rows: DataFrame, shape: PermutationIndex) -> dict[int, tuple[n
     pivots = {}
     for dim, largest in sizes.items():
         taken = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("_v"), "id").limit(4 * shape.pivots).select("_v").collect()
-        found = np.unique(np.array([r["_v"] for r in taken], dtype=np.float64), axis=0)[: shape.pivots]
-        pivots[dim] = (_lifted(found, largest), largest)
+        found = np.array([r["_v"] for r in taken], dtype=np.float64)
+        first = np.sort(np.unique(found, axis=0, return_index=True)[1])  # equal vectors once, in the order of the hash
+        pivots[dim] = (_lifted(found[first][: shape.pivots], largest), largest)
     return pivots
 
 

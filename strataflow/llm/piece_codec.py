@@ -15,7 +15,7 @@ from strataflow.llm.common import packed, text_or_empty
 SPACE = "▁"  # fixed by the model format: stands for a blank
 SINGLE = -1  # rank of single characters, which are there before any merge
 NEVER = 1 << 60
-MEMO_WORDS = 200_000  # remembered words of a task, in two generations
+MEMO_WORDS = 400_000  # remembered words of a task; then it starts over
 MEMO_CHARS = 64  # of a word that is remembered
 MEMO_PAIRS = 2_000_000  # of tokens whose compatibility is remembered
 
@@ -170,28 +170,21 @@ def text_encoder(vocabulary: dict, memo_words: int = MEMO_WORDS) -> Callable[[st
         if found is None and len(text) > MEMO_CHARS:
             return pack(encode_word(text))
         if found is None:
-            if len(lines) >= memo_words // 4:
+            if len(lines) >= memo_words // 2:
                 lines.clear()
             found = lines[text] = pack(encode_word(text))
         return found
 
     class Words(dict):
-        """Two generations of words: a full one becomes the older, from which words in use are taken over."""
-
-        older: dict[str, bytes] = {}
-
         def __missing__(self, word: str) -> bytes:
-            found = self.older.get(word)
-            if found is None:
-                first, *more = word.split("\n")
-                if more:
-                    found = newline.join([self[first], *map(line, more)])
-                else:
-                    found = pack(encode_word(SPACE + first))
+            if len(self) >= memo_words:
+                self.clear()
+            first, *more = word.split("\n")
+            if more:
+                found = newline.join([self[first], *map(line, more)])
+            else:
+                found = pack(encode_word(SPACE + first))
             if len(word) <= MEMO_CHARS:
-                if len(self) >= memo_words // 2:
-                    self.older = dict(self)
-                    self.clear()
                 self[word] = found
             return found
 
@@ -218,9 +211,9 @@ def text_encoder(vocabulary: dict, memo_words: int = MEMO_WORDS) -> Callable[[st
     return encode
 
 
-def _codec(model: bytes, vocabulary: dict):
+def _codec(model: bytes, vocabulary: dict, memo_words: int):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode = text_encoder(vocabulary)
+        encode = text_encoder(vocabulary, memo_words)
         lib = sentencepiece.SentencePieceProcessor(model_proto=model)
         for batch in batches:
             ids = [encode(text) for text in batch]
@@ -229,7 +222,7 @@ def _codec(model: bytes, vocabulary: dict):
     return run
 
 
-def encode_and_decode(docs: DataFrame, model: bytes, carry: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+def encode_and_decode(docs: DataFrame, model: bytes, carry: Sequence[str] = ("doc_id",), text: str = "text", memo_words: int = MEMO_WORDS) -> DataFrame:
     """``doc`` (carried columns), ``ids`` (unsigned 32-bit little-endian, begin and end included) and ``decoded``.
 
     Words of up to ``MEMO_CHARS`` characters are encoded once per task and remembered, up to a bound in number; each
@@ -238,6 +231,6 @@ def encode_and_decode(docs: DataFrame, model: bytes, carry: Sequence[str] = ("do
     empty one, of two ids. Texts of any length are encoded whole. An empty table gives an empty result.
     Input columns travel inside ``doc``.
     """
-    codec = F.pandas_udf(_codec(model, read_vocabulary(model)), "ids binary, decoded string")
+    codec = F.pandas_udf(_codec(model, read_vocabulary(model), memo_words), "ids binary, decoded string")
     rows = docs.select(packed(carry).alias("doc"), text_or_empty(text).alias("_text"))
     return rows.withColumn("_c", codec("_text")).select("doc", "_c.ids", "_c.decoded")

@@ -56,7 +56,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, null texts as empty ones, texts of any length whole."""
     small_batches(spark)
     model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
-    return piece_codec.encode_and_decode(docs, model).select(
+    # A smaller memo than by itself: earlier stages have left executors with full heaps.
+    return piece_codec.encode_and_decode(docs, model, memo_words=200_000).select(
         "doc.doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

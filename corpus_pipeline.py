@@ -52,9 +52,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mix.apply_mix(docs)
 
 
+#: A batch to encode is held as text, ids, decoded text and Arrow's copies of them, some 25 KB a document.
+ENCODE_ROWS = 100
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, null texts as empty ones, texts of any length whole."""
-    small_batches(spark)
+    small_batches(spark, ENCODE_ROWS)
     model = Path(TOKENIZERS, "piece_bpe_32k.model").read_bytes()
     # A smaller memo than by itself: earlier stages have left executors with full heaps.
     return piece_codec.encode_and_decode(docs, model, memo_words=200_000).select(

@@ -87,17 +87,17 @@ def merge(tokens: list[int], piece: dict[int, str], by_text: dict[str, int], ran
 
 def word_encoder(vocabulary: dict) -> Callable[[str], list[int]]:
     """Ids of a word with the blank before it (or of what follows a character without a piece)."""
-    text = {i: p for p, i, *_ in vocabulary["pieces"]}
-    rank = {i: r for _, i, r, *_ in vocabulary["pieces"]}
-    left = {i: a for _, i, _, a, _ in vocabulary["pieces"]}
-    right = {i: b for _, i, _, _, b in vocabulary["pieces"]}
+    size_of_ids = 1 + max(i for _, i, *_ in vocabulary["pieces"])
+    text, rank, left, right = [""] * size_of_ids, [NEVER] * size_of_ids, [0] * size_of_ids, [0] * size_of_ids
+    for p, i, r, a, b in vocabulary["pieces"]:
+        text[i], rank[i], left[i], right[i] = p, r, a, b
     merges, spelled = vocabulary["merges"], vocabulary["bytes"]
     single = {p: i for p, i, r, *_ in vocabulary["pieces"] if r == SINGLE}
     automaton = ahocorasick.Automaton()
     for p, i, *_ in vocabulary["pieces"]:
         automaton.add_word(p, (i, len(p)))
     automaton.make_automaton()
-    tested: dict[tuple[int, int], bool] = {}  # started anew when full
+    tested: dict[int, bool] = {}  # by a pair as one number, which takes half a tuple's memory; started anew when full
 
     def compatible(a: int, b: int) -> bool:
         """Whether no merge across the border comes before both sides have merged as they would alone.
@@ -126,7 +126,7 @@ def word_encoder(vocabulary: dict) -> Callable[[str], list[int]]:
             start = end - size
             if start >= 0:
                 before = last[start]
-                pair = (before, token)
+                pair = before * size_of_ids + token
                 fits = tested.get(pair)
                 if fits is None:
                     if len(tested) >= MEMO_PAIRS:

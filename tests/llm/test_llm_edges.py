@@ -387,6 +387,24 @@ def test_piece_codec_on_hostile_texts(model):
         assert np.frombuffer(encode(text), "<u4").tolist() == lib.encode(text, add_bos=True, add_eos=True), text
 
 
+def test_pipeline_encodes_small_batches(spark, monkeypatch):
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def rows_of_batch(model, vocabulary, memo_words):
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield pd.DataFrame({"ids": [bytes(4 * len(batch))] * len(batch), "decoded": [""] * len(batch)})
+
+        return run
+
+    monkeypatch.setattr(piece_codec, "_codec", rows_of_batch)
+    docs = spark.range(2500, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    got = [r.n_tokens for r in corpus_pipeline.encode(spark, docs, "").select("n_tokens").collect()]
+    assert len(got) == 2500 and max(got) <= 100
+
+
 def test_lattice_lm(spark, docs, none, model):
     score = lambda d: lattice_lm.score_texts(d, model, language_id.remainder("doc_id", 10) == 0)
     got = by_id(score(docs), "n_tokens", "n_known", "score", "base_score")
